@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.catalog import dated, extraction, ingests, resolution, texts
+from ledgerloom.catalog import dated, extraction, ingests, reports, resolution, stores, streams, texts
 
-MODULES = (texts, dated, ingests, resolution, extraction)
+MODULES = (texts, dated, ingests, resolution, extraction, reports, stores, streams)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -1,0 +1,177 @@
+"""Queries that write with the store, the exports or a landing, and read back.
+
+Each run writes to a folder of its own below the cluster's shared folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerloom.catalog.ingests import company_rows
+from ledgerloom.catalog.reports import (
+    job_records,
+    mapping_records,
+    news_records,
+    paper_records,
+    product_records,
+    startup_records,
+)
+from ledgerloom.catalog.tables import table, utc
+from ledgerloom.operators.dedup import exclude_seen, first_per_key
+from ledgerloom.session import run_folder
+from ledgerloom.sinks.exports import export_json, export_tabs
+from ledgerloom.sinks.store import Store, apply_updates, matched_updates
+from ledgerloom.sources.landed import feed_items, read_companies
+
+AT = "2024-02-01T00:00:00Z"
+
+
+def new_store(spark: SparkSession, label: str) -> Store:
+    return Store(spark, run_folder(spark, label))
+
+
+def store_commits(spark: SparkSession, sf: str) -> DataFrame:
+    """Three commits: one language, everything, and a replay of the second. No record is stored twice."""
+    store = new_store(spark, "commits")
+    news = news_records(spark, sf).withColumn("url", F.col("source.url"))
+    for batch_id, batch in ((1, news.where("source.name = 'en'")), (2, news), (2, news)):
+        fresh = exclude_seen(first_per_key(batch, ["url"], "collectedAt"), store.seen(batch_id), "url")
+        rejected = fresh.where("content.title = 'src1'").select("url")
+        store.commit("NEWS", batch_id, fresh.where("content.title <> 'src1'").drop("url"), rejected, utc(AT))
+    records = store.record_types().groupBy("record_type", "batch_id").agg(F.count(F.lit(1)).alias("records"))
+    seen = store.seen().groupBy("record_type", "batch_id").agg(F.count(F.lit(1)).alias("seen"))
+    return records.join(seen, ["record_type", "batch_id"], "full")
+
+
+def raw_text_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts by order key stored in two batches; the later batch and the later row win."""
+    store = new_store(spark, "texts")
+    orders = table(spark, sf, "orders").select(
+        F.concat(F.lit("HTTPS://O.example/"), F.col("o_custkey").cast("string")).alias("url"),
+        F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), "o_orderstatus").alias("raw_text"),
+        F.col("o_orderkey").alias("seq"),
+        "o_orderstatus",
+    )
+    store.append_raw_text(orders.where("o_orderstatus <> 'F'"), 1)
+    store.append_raw_text(orders.where("o_orderstatus = 'F'"), 2)
+    return store.raw_text().select("url", "raw_text")
+
+
+def record_update(spark: SparkSession, sf: str) -> DataFrame:
+    """Products with one brand's pricing replaced, and how many updates found their record."""
+    records = product_records(spark, sf)
+    updates = table(spark, sf, "part").where("p_brand = 'Brand#3'").select(
+        F.concat(F.lit("HTTPS://p.example/"), F.col("p_partkey").cast("string")).alias("url"),
+        F.struct(F.col("p_name").alias("startupName"), F.lit("ENTERPRISE").alias("pricingModel")).alias("content"),
+    )
+    updated = apply_updates(records, updates)
+    counts = updated.groupBy(F.col("content.pricingModel").alias("pricing")).agg(F.count(F.lit(1)).alias("n"))
+    matched = matched_updates(records, updates).select(F.lit("matched updates").alias("pricing"), F.col("matched").alias("n"))
+    return counts.unionByName(matched)
+
+
+def filled_store(spark: SparkSession, sf: str, label: str) -> Store:
+    store = new_store(spark, label)
+    makers = {
+        "STARTUP": startup_records, "PRODUCT": product_records, "RESEARCH_PAPER": paper_records,
+        "JOB": job_records, "NEWS": news_records,
+    }
+    for kind, records in makers.items():
+        store.append_records(records(spark, sf), kind, 1)
+    store.append_mappings(mapping_records(spark, sf), 1)
+    return store
+
+
+def json_export(spark: SparkSession, sf: str) -> DataFrame:
+    """All JSON exports read back: rows per file set, and the summary line."""
+    store = filled_store(spark, sf, "json")
+    root = f"{store.root}/export"
+    export_json(store, root)
+    merged = None
+    for name in ("startups", "products", "papers", "jobs", "news", "entity_mappings", "summary"):
+        lines = spark.read.text(f"{root}/{name}")
+        part = lines.agg(F.count(F.lit(1)).alias("lines"), F.max(F.get_json_object("value", "$.productsWithPricing")).alias("priced"))
+        part = part.select(F.lit(name).alias("name"), "lines", "priced")
+        merged = part if merged is None else merged.unionByName(part)
+    return merged
+
+
+def tab_export(spark: SparkSession, sf: str) -> DataFrame:
+    """The flat paper table, written with its header and read back."""
+    store = filled_store(spark, sf, "tabs")
+    root = f"{store.root}/export"
+    export_tabs(store, root)
+    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{root}/Research Papers")
+    return back.select(
+        F.col("`source.url`").alias("url"), "title", "authors", F.coalesce("github_stars", F.lit("")).alias("stars")
+    )
+
+
+def company_snapshot(spark: SparkSession, sf: str) -> DataFrame:
+    """Companies landed as JSON lines, read with the snapshot schema."""
+    path = run_folder(spark, "companies")
+    company_rows(spark, sf).drop("seq").write.json(path)
+    return read_companies(spark, path, multiline=False).drop("seq")
+
+
+def feed_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """One landed feed body per event: Atom for clicks, RSS for the rest, and none for sign-ups."""
+    kind = F.col("event_type")
+    title = F.concat(kind, F.lit(" &amp; more"))
+    link = F.concat(F.lit("https://f.example/"), F.col("event_id").cast("string"))
+    props = F.replace(F.col("props"), F.lit('"'), F.lit("&quot;"))
+    date = F.when(kind != "error", F.date_format("ts", "d MMM yyyy HH:mm:ss 'GMT'"))
+    rss = F.concat(
+        F.lit("<rss><channel><title>feed</title><item><title>"), title, F.lit("</title><link> "), link,
+        F.lit(" </link><description>"), props, F.lit("</description>"),
+        F.coalesce(F.concat(F.lit("<pubDate>"), date, F.lit("</pubDate>")), F.lit("")), F.lit("</item></channel></rss>"),
+    )
+    atom = F.concat(
+        F.lit('<feed><title>feed</title><entry><title type="text">'), title, F.lit('</title><link href="'), link,
+        F.lit('"/><summary>'), props, F.lit("</summary><updated>"), date, F.lit("</updated></entry></feed>"),
+    )
+    body = F.when(kind == "click", atom).when(kind != "signup", rss)
+    return table(spark, sf, "events").select(kind.alias("source"), body.alias("body"))
+
+
+def feed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return feed_items(feed_bodies(spark, sf)).drop("seq")
+
+
+_NEWS = "SELECT doc_id, lang, source FROM documents"
+_PRICING = "CASE WHEN p_size > 40 THEN 'FREE' WHEN p_size > 20 THEN 'PAID' WHEN p_size > 10 THEN '' END"
+
+QUERIES = {
+    "store_commits": store_commits,
+    "raw_text_latest": raw_text_latest,
+    "record_update": record_update,
+    "json_export": json_export,
+    "tab_export": tab_export,
+    "company_snapshot": company_snapshot,
+    "feed_items": feed_rows,
+}
+
+ORACLE = {
+    "store_commits": f"""SELECT 'NEWS' AS record_type, CASE WHEN lang = 'en' THEN 1 ELSE 2 END::BIGINT AS batch_id,
+        count(*) FILTER (source <> 'src1') AS records, count(*) AS seen FROM ({_NEWS}) GROUP BY ALL""",
+    "raw_text_latest": """SELECT 'https://o.example/' || o_custkey AS url,
+        arg_max(o_orderkey || '-' || o_orderstatus, (o_orderstatus = 'F', o_orderkey)) AS raw_text FROM orders GROUP BY o_custkey""",
+    "record_update": f"""SELECT CASE WHEN p_brand = 'Brand#3' THEN 'ENTERPRISE' ELSE {_PRICING} END AS pricing, count(*) AS n
+      FROM part GROUP BY ALL UNION ALL SELECT 'matched updates', count(*) FROM part WHERE p_brand = 'Brand#3'""",
+    "json_export": """SELECT name, lines, CASE WHEN name = 'summary' THEN (SELECT count(*) FROM part WHERE p_size > 20)::VARCHAR END AS priced
+      FROM (SELECT 'startups' AS name, count(*) AS lines FROM customer UNION ALL SELECT 'products', count(*) FROM part
+        UNION ALL SELECT 'papers', count(*) FROM documents UNION ALL SELECT 'jobs', count(*) FROM orders
+        UNION ALL SELECT 'news', count(*) FROM documents UNION ALL SELECT 'entity_mappings', count(*) FROM supplier
+        UNION ALL SELECT 'summary', 1)""",
+    "tab_export": """SELECT 'https://d.example/' || doc_id AS url, source AS title,
+        CASE WHEN lang <> 'es' THEN upper(lang) || ', ' || source || ', Li' END AS authors,
+        coalesce(quality::VARCHAR, '') AS stars FROM documents LEFT JOIN labels USING (doc_id)""",
+    "company_snapshot": """SELECT CASE WHEN c_nationkey <> 7 THEN c_name ELSE '' END AS name,
+        CASE WHEN c_mktsegment <> 'BUILDING' THEN lower(replace(c_name, '#', '-')) END AS slug,
+        CASE WHEN c_nationkey > 3 THEN 'https://x.example/' || c_custkey END AS url,
+        CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS BIGINT) END AS team_size, c_nationkey = 1 AS top_company FROM customer""",
+    "feed_items": """SELECT event_type AS source, event_type || ' & more' AS title, 'https://f.example/' || event_id AS link,
+        props AS summary, CASE WHEN event_type <> 'error' THEN strftime(ts, '%-d %b %Y %H:%M:%S GMT') END AS raw_date
+      FROM events WHERE event_type <> 'signup'""",
+}

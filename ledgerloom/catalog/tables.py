@@ -38,3 +38,21 @@ SQL_RIGHT = r"($|[^\p{L}\p{M}\p{N}_])"
 
 def sql_text(ts: str) -> str:
     return f"strftime({ts}, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+def sql_chunk(source: str, budget: int) -> str:
+    """Rows of a table with a ``text`` column, its stripped form ``whole`` and its ``chunk``."""
+    return f"""
+      SELECT *, CASE WHEN length(whole) <= {budget} THEN whole
+        WHEN para > {budget} * 0.5 THEN trim(left(win, para), {SQL_STRIP})
+        WHEN sent > {budget} * 0.5 THEN trim(left(win, sent), {SQL_STRIP})
+        ELSE trim(win, {SQL_STRIP}) END AS chunk
+      FROM (SELECT *, length(regexp_extract(win, '(?s)^(.*)\\n\\n', 1)) AS para,
+              length(regexp_extract(win, '(?s)^(.*[.!?]{SQL_SPACE})', 1)) AS sent
+            FROM (SELECT *, left(whole, {budget}) AS win
+                  FROM (SELECT *, trim(coalesce(text, ''), {SQL_STRIP}) AS whole FROM {source})))"""
+
+
+def sql_bars(labels: str) -> str:
+    return f"""WITH c AS (SELECT label, count(*) AS n FROM ({labels}) GROUP BY label)
+      SELECT label, n, CAST(round(n * 100.0 / (SELECT max(n) FROM c), 0) AS INTEGER) AS share_of_max FROM c"""

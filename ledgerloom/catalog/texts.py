@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.catalog.tables import SQL_LEFT, SQL_RIGHT, SQL_SPACE, SQL_STRIP, table
+from ledgerloom.catalog.tables import SQL_LEFT, SQL_RIGHT, sql_bars, sql_chunk, table
 from ledgerloom.functions.answers import answer_text, json_object, strip_fences, valid_enum, variant_string
 from ledgerloom.functions.html import main_text
 from ledgerloom.functions.text import (
@@ -202,24 +202,6 @@ def _sql_kind(text: str = "text") -> str:
     return f"CASE {cases} ELSE 'Unclassified' END"
 
 
-def _sql_chunk(budget: int = BUDGET) -> str:
-    """Documents with their ``chunk``."""
-    return f"""
-      SELECT *, CASE WHEN length(whole) <= {budget} THEN whole
-        WHEN para > {budget} * 0.5 THEN trim(left(win, para), {SQL_STRIP})
-        WHEN sent > {budget} * 0.5 THEN trim(left(win, sent), {SQL_STRIP})
-        ELSE trim(win, {SQL_STRIP}) END AS chunk
-      FROM (SELECT *, length(regexp_extract(win, '(?s)^(.*)\\n\\n', 1)) AS para,
-              length(regexp_extract(win, '(?s)^(.*[.!?]{SQL_SPACE})', 1)) AS sent
-            FROM (SELECT *, left(whole, {budget}) AS win
-                  FROM (SELECT *, trim(coalesce(text, ''), {SQL_STRIP}) AS whole FROM documents)))"""
-
-
-def _sql_bars(labels: str) -> str:
-    return f"""WITH c AS (SELECT label, count(*) AS n FROM ({labels}) GROUP BY label)
-      SELECT label, n, CAST(round(n * 100.0 / (SELECT max(n) FROM c), 0) AS INTEGER) AS share_of_max FROM c"""
-
-
 def _sql_host() -> str:
     return "lower(regexp_extract(trim(url), '^[^:/?#]+://([^/?#]*)', 1))"
 
@@ -258,16 +240,16 @@ QUERIES = {
 ORACLE = {
     "relevance_filter": f"""SELECT doc_id, lang FROM documents
       WHERE regexp_matches(coalesce(source, '') || ' ' || coalesce(text, ''), '(?i){_sql_topic()}')""",
-    "keyword_label_counts": _sql_bars(
+    "keyword_label_counts": sql_bars(
         """SELECT CASE WHEN contains(lower(p_name), 'ring') OR contains(lower(p_name), 'gear') THEN 'Round'
              WHEN contains(lower(p_name), 'bolt') OR contains(lower(p_name), 'screw') OR contains(lower(p_name), 'nut')
                THEN 'Fastener'
              WHEN contains(lower(p_name), 'widget') OR contains(lower(p_name), 'small ') THEN 'Misc'
              ELSE 'Unclassified' END AS label FROM part"""
     ),
-    "pattern_label_counts": _sql_bars(f"SELECT {_sql_kind()} AS label FROM documents"),
-    "relevant_label_counts": _sql_bars(
-        f"""SELECT {_sql_kind()} AS label FROM (SELECT source, chunk AS text FROM ({_sql_chunk()}))
+    "pattern_label_counts": sql_bars(f"SELECT {_sql_kind()} AS label FROM documents"),
+    "relevant_label_counts": sql_bars(
+        f"""SELECT {_sql_kind()} AS label FROM (SELECT source, chunk AS text FROM ({sql_chunk("documents", BUDGET)}))
         WHERE regexp_matches(source || ' ' || text, '(?i){_sql_topic()}|{SQL_LEFT}(the|pour){SQL_RIGHT}')"""
     ),
     "remote_flag": """SELECT event_id, CASE event_type WHEN 'view' THEN true WHEN 'error' THEN false
@@ -284,9 +266,9 @@ ORACLE = {
         FROM (SELECT page_id, regexp_replace(trim(url), '/[0-9]+(\\.html)?/?', '/') AS url FROM pages))) GROUP BY key""",
     "page_main_text": f"""SELECT page_id, length(t) AS n_chars, md5(t) AS digest FROM (SELECT page_id,
         nullif(trim(regexp_replace({_STRIPPED_HTML}, '[ \\t\\r\\n]+', ' ', 'g')), '') AS t FROM pages)""",
-    "chunk_boundary": f"SELECT doc_id, length(chunk) AS n_chars, md5(chunk) AS digest FROM ({_sql_chunk()})",
+    "chunk_boundary": f"SELECT doc_id, length(chunk) AS n_chars, md5(chunk) AS digest FROM ({sql_chunk("documents", BUDGET)})",
     "prompt_build": f"""SELECT doc_id, length(p) AS n_chars, md5(p) AS digest
-      FROM (SELECT doc_id, '{_PROMPT}' || chunk AS p FROM ({_sql_chunk()}))""",
+      FROM (SELECT doc_id, '{_PROMPT}' || chunk AS p FROM ({sql_chunk("documents", BUDGET)}))""",
     "cell_truncation": """SELECT doc_id, length(c) AS n_chars, md5(c) AS digest, ends_with(c, '... [truncated]') AS cut
       FROM (SELECT doc_id, CASE WHEN length(text) > 5000 THEN left(text, 5000) || '... [truncated]'
         ELSE coalesce(text, '') END AS c FROM documents)""",

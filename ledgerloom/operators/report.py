@@ -198,4 +198,4 @@ def yes_no(flag: Column) -> Column:
 
 
 def two_decimals(value: Column) -> Column:
-    return F.coalesce(F.format_string("%.2f", value), F.lit(fv.DASH))
+    return F.when(value.isNotNull(), F.format_string("%.2f", value)).otherwise(F.lit(fv.DASH))

@@ -62,32 +62,52 @@ def read_papers(spark: SparkSession, path: str) -> DataFrame:
 
 
 RSS_ITEM = "title string, link string, description string, pubDate string, updated string"
-ATOM_ENTRY = (
-    "title string, link struct<_href:string>, summary string, published string, updated string"
-)
+ATOM_ENTRY = "title string, link struct<_href:string>, summary string, published string, updated string"
+ITEM_COLUMNS = ("source", "title", "link", "summary", "raw_date")
+
+
+def _rss_columns(item: Callable[[str], Column]) -> list[Column]:
+    return [
+        item("title").alias("title"),
+        strip(item("link")).alias("link"),
+        item("description").alias("summary"),
+        first_non_empty(item("pubDate"), item("updated")).alias("raw_date"),
+    ]
+
+
+def _atom_columns(entry: Callable[[str], Column]) -> list[Column]:
+    return [
+        entry("title").alias("title"),
+        entry("link._href").alias("link"),
+        entry("summary").alias("summary"),
+        first_non_empty(entry("published"), entry("updated")).alias("raw_date"),
+    ]
 
 
 def read_rss(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Items of RSS files: ``source, title, link, summary, raw_date``."""
     items = spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM).load(path)
-    return items.select(
-        F.lit(source).alias("source"),
-        "title",
-        strip(F.col("link")).alias("link"),
-        F.col("description").alias("summary"),
-        first_non_empty(F.col("pubDate"), F.col("updated")).alias("raw_date"),
-    )
+    return items.select(F.lit(source).alias("source"), *_rss_columns(F.col))
 
 
 def read_atom(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Entries of Atom files, in the same columns as ``read_rss``."""
     entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
-    return entries.select(
-        F.lit(source).alias("source"),
-        "title",
-        F.col("link._href").alias("link"),
-        "summary",
-        first_non_empty(F.col("published"), F.col("updated")).alias("raw_date"),
+    return entries.select(F.lit(source).alias("source"), *_atom_columns(F.col))
+
+
+def feed_items(landed: DataFrame) -> DataFrame:
+    """Items of landed feed bodies (``source, body``), RSS and Atom; ``seq`` is the list position.
+
+    A feed without a readable body gives no items.
+    """
+    schema = f"channel struct<item:array<struct<{RSS_ITEM}>>>, item array<struct<{RSS_ITEM}>>, entry array<struct<{ATOM_ENTRY}>>"
+    feeds = landed.where(F.col("body").isNotNull()).select("source", F.from_xml("body", schema).alias("feed"))
+    rss = feeds.select("source", F.posexplode(F.coalesce("feed.channel.item", "feed.item")).alias("seq", "item"))
+    atom = feeds.select("source", F.posexplode("feed.entry").alias("seq", "item"))
+    field = lambda name: F.col(f"item.{name}")
+    return rss.select("source", "seq", *_rss_columns(field)).unionByName(
+        atom.select("source", "seq", *_atom_columns(field))
     )
 
 
