@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
+from ledgerloom.functions.binding import let
 from ledgerloom.functions.text import strip
 
 
@@ -22,16 +23,20 @@ def json_object(raw: Column) -> Column:
     The built-in parser ignores text after the first value. No tail survives both wrappings:
     one would have to continue an array, the other an object.
     """
-    text = strip_fences(raw)
-    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    keyed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
-    single = (
-        keyed.isNotNull()
-        & text.startswith("{")
-        & F.try_variant_get(listed, "$[0]", "variant").isNotNull()
-        & F.try_variant_get(listed, "$[1]", "variant").isNull()
-    )
-    return F.when(single, F.try_variant_get(listed, "$[0]", "variant"))
+
+    def single(text: Column) -> Column:
+        keyed = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+        listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+        # An element besides the first would be a second answer.
+        only = let(
+            listed,
+            lambda v: F.when(
+                F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant")
+            ),
+        )
+        return F.when(text.startswith("{") & text.endswith("}") & keyed.isNotNull(), only)
+
+    return let(strip_fences(raw), single)
 
 
 def answer_text(body: Column, path: str) -> Column:

@@ -6,10 +6,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
+from ledgerloom.functions.binding import let
 from ledgerloom.functions.text import strip
 
-_ZONE = r"(Z|z|UTC|GMT|[A-Z]{3,4}|[+-]\d{2}:?\d{2}|[+-]\d{2})?"
+_ZONE = r"(Z|[A-Z]{3,4}|[+-]\d{2}:?\d{2}|[+-]\d{2})?"
 _CLOCK = r"(\d{1,2}:\d{2}(?::\d{2})?)"
+_WEEKDAY = r"(?:(?:mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun)(?:day|nesday|rsday|urday|sday)?,?\s+)?"
+_MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
+_TAIL = r"(?:,?\s+" + _CLOCK + r"\s*" + _ZONE + ")?$"
+
+_PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,9})?(?:Z|[+-]\d{2}:\d{2})$"
+_PLAIN_MAIL = r"^(?:[A-Za-z]{3}, )?(\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2}) (?:GMT|UTC|\+0000)$"
+_ISO = (
+    r"(?i)^(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[T ]\s*(\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)\s*" + _ZONE + ")?$"
+)
+_DAY_FIRST = "(?i)^" + _WEEKDAY + r"(\d{1,2})[\s-]+" + _MONTH + r",?[\s-]+(\d{4})" + _TAIL
+_MONTH_FIRST = "(?i)^" + _WEEKDAY + _MONTH + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TAIL
+_SLASHED = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _EARLIEST = 62135596800  # seconds between year 1 and the epoch
 
 
@@ -19,100 +33,96 @@ def seconds_before(now: Column, seconds: Column) -> Column:
     return F.when(in_range, F.timestamp_micros(F.unix_micros(now) - seconds * F.lit(1000000)))
 
 
-def _offset(zone: Column) -> Column:
-    """A numeric offset; zone names and absent zones count as UTC."""
-    digits = F.regexp_replace(zone, ":", "")
-    return (
-        F.when(digits.rlike(r"^[+-]\d{4}$"), F.regexp_replace(digits, r"^(...)(..)$", "$1:$2"))
-        .when(digits.rlike(r"^[+-]\d{2}$"), F.concat(digits, F.lit(":00")))
-        .otherwise(F.lit("Z"))
-    )
-
-
-def _iso(text: Column) -> Column:
-    pattern = (
-        r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[T ]\s*(\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)\s*" + _ZONE + ")?$"
-    )
-    part = lambda i: F.regexp_extract(text, pattern, i)
-    day = F.concat_ws("-", part(1), F.lpad(part(2), 2, "0"), F.lpad(part(3), 2, "0"))
-    clock = F.coalesce(F.nullif(F.regexp_replace(part(4), ",", "."), F.lit("")), F.lit("00:00:00"))
-    clock = F.when(F.length(clock) <= 5, F.concat(clock, F.lit(":00"))).otherwise(clock)
-    stamp = F.concat(day, F.lit("T"), clock, _offset(part(5)))
-    return F.when(text.rlike(pattern), stamp.try_cast("timestamp"))
+def _complete(stamp: Column) -> Column:
+    """Fill in ``day [clock]|[zone]``: midnight, whole seconds, and a numeric offset.
 
-
-def _compact(text: Column) -> Column:
-    return F.when(text.rlike(r"^\d{8}$"), F.try_to_timestamp(F.concat(text, F.lit(" +00:00")), F.lit("yyyyMMdd xxx")))
+    Zone names and absent zones count as UTC.
+    """
+    for pattern, filled in (
+        (r" \|", " 00:00|"),
+        (r"( \d{1,2}:\d{2})\|", "$1:00|"),
+        (r",(\d+)\|", ".$1|"),
+        (r"\|([+-]\d{2}):?(\d{2})$", "$1:$2"),
+        (r"\|([+-]\d{2})$", "$1:00"),
+        (r"\|.*$", "+00:00"),
+    ):
+        stamp = F.regexp_replace(stamp, pattern, filled)
+    return stamp
 
 
-def _named(text: Column, pattern: str, day: int, month: int, year: int, clock: int, zone: int) -> Column:
-    """Dates with a month name; the pieces are put into one layout and parsed once."""
-    part = lambda i: F.regexp_extract(text, pattern, i)
-    time = F.coalesce(F.nullif(part(clock), F.lit("")), F.lit("00:00"))
-    time = F.when(F.length(time) <= 5, F.concat(time, F.lit(":00"))).otherwise(time)
-    name = F.initcap(F.left(part(month), F.lit(3)))
-    offset = F.regexp_replace(_offset(part(zone)), "^Z$", "+00:00")
-    stamp = F.concat_ws(" ", part(day), name, part(year), time, offset)
-    return F.when(text.rlike(pattern), F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:mm:ss xxx")))
+def _named(text: Column, pattern: str, layout: str) -> Column:
+    stamp = _complete(F.regexp_replace(text, pattern, layout))
+    return F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:mm:ssxxx"))
 
 
 def _slashed(text: Column) -> Column:
     """Month first, unless the first number cannot be a month."""
-    pattern = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$"
-    first = F.regexp_extract(text, pattern, 1)
-    second = F.regexp_extract(text, pattern, 2)
-    swap = first.try_cast("int") > 12
-    month = F.when(swap, second).otherwise(first)
-    day = F.when(swap, first).otherwise(second)
-    stamp = F.concat_ws(" ", day, month, F.regexp_extract(text, pattern, 3), F.lit("+00:00"))
-    return F.when(text.rlike(pattern), F.try_to_timestamp(stamp, F.lit("d M yyyy xxx")))
+    month_first = F.regexp_extract(text, _SLASHED, 1).try_cast("int") <= 12
+    day = F.when(month_first, F.regexp_replace(text, _SLASHED, "$3-$1-$2")).otherwise(
+        F.regexp_replace(text, _SLASHED, "$3-$2-$1")
+    )
+    return F.concat(day, F.lit(" 00:00:00Z")).try_cast("timestamp")
+
+
+def _absolute(text: Column) -> Column:
+    compact = F.concat(F.regexp_replace(text, _COMPACT, "$1-$2-$3"), F.lit(" 00:00:00Z"))
+    return (
+        F.when(text.rlike(_ISO), _complete(F.regexp_replace(text, _ISO, "$1-$2-$3 $4|$5")).try_cast("timestamp"))
+        .when(text.rlike(_DAY_FIRST), _named(text, _DAY_FIRST, "$1 $2 $3 $4|$5"))
+        .when(text.rlike(_MONTH_FIRST), _named(text, _MONTH_FIRST, "$2 $1 $3 $4|$5"))
+        .when(text.rlike(_SLASHED), _slashed(text))
+        .when(text.rlike(_COMPACT), compact.try_cast("timestamp"))
+    )
 
 
 def parse_absolute(text: Column) -> Column:
     """ISO 8601, mail-header dates, month-name dates, slashed dates and ``yyyymmdd``; else null."""
-    clean = strip(text)
-    weekday = r"(?i)^(?:(?:mon|tue|tues|wed|thu|thur|thurs|fri|sat|sun)(?:day|nesday|rsday|urday|sday)?,?\s+)?"
-    month = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\.?"
-    tail = r"(?:,?\s+" + _CLOCK + r"\s*" + _ZONE + ")?$"
-    day_first = weekday + r"(\d{1,2})[\s-]+" + month + r",?[\s-]+(\d{4})" + tail
-    month_first = weekday + month + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + tail
-    return F.coalesce(
-        _iso(clean),
-        _named(clean, day_first, 1, 2, 3, 4, 5),
-        _named(clean, month_first, 2, 1, 3, 4, 5),
-        _slashed(clean),
-        _compact(clean),
-    )
+    return let(strip(text), _absolute)
 
 
-def parse_relative(text: Column, now: Column) -> Column:
-    """``now`` phrases, ``yesterday`` and ``N units ago`` anywhere in the text; else null."""
-    clean = F.lower(strip(text))
+def _relative(clean: Column, now: Column) -> Column:
     amount = F.regexp_extract(clean, fv.RELATIVE_PATTERN, 1)
     unit = F.regexp_extract(clean, fv.RELATIVE_PATTERN, 2)
     per_unit = F.lit(None).cast("bigint")
     for name, seconds in fv.UNIT_SECONDS.items():
         per_unit = F.when(unit == name, F.lit(seconds).cast("bigint")).otherwise(per_unit)
     # Up to twelve digits the product stays inside 64 bits; longer amounts are out of range anyway.
-    count = F.when(F.length(F.ltrim(amount, F.lit("0"))) <= 12, amount.try_cast("bigint"))
+    count = F.when(F.length(amount) <= 12, amount.try_cast("bigint"))
     return (
         F.when(clean.isin(*fv.NOW_PHRASES), now)
         .when(clean == "yesterday", seconds_before(now, F.lit(86400).cast("bigint")))
-        .when(amount != "", seconds_before(now, count * per_unit))
+        .when(F.length(amount) > 0, seconds_before(now, count * per_unit))
     )
 
 
-def is_relative(text: Column) -> Column:
-    clean = F.lower(strip(text))
-    return clean.isin(*fv.NOW_PHRASES, "yesterday") | clean.rlike(fv.RELATIVE_PATTERN)
+def parse_relative(text: Column, now: Column) -> Column:
+    """``now`` phrases, ``yesterday`` and ``N units ago`` anywhere in the text; else null."""
+    return let(F.lower(strip(text)), lambda clean: _relative(clean, now))
+
+
+def _is_relative(clean: Column) -> Column:
+    return clean.isin(*fv.NOW_PHRASES, "yesterday") | (clean.contains("ago") & clean.rlike(fv.RELATIVE_PATTERN))
 
 
 def normalize_date(raw: Column, now: Column) -> Column:
     """A UTC timestamp, or null when the text is blank or in no known form.
 
-    A relative phrase is tried first, and one that is out of range stays null.
+    A relative phrase comes before the absolute forms, and one that is out of range stays null.
+    The two commonest absolute forms are tried first of all; no relative phrase looks like them.
     """
-    return F.when(is_relative(raw), parse_relative(raw, now)).otherwise(parse_absolute(raw))
+
+    def dated(text: Column) -> Column:
+        mail = F.try_to_timestamp(
+            F.concat(F.regexp_replace(text, _PLAIN_MAIL, "$1"), F.lit("+0000")), F.lit("d MMM yyyy HH:mm:ssxx")
+        )
+        return (
+            F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp"))
+            .when(text.rlike(_PLAIN_MAIL), mail)
+            .when(_is_relative(F.lower(text)), _relative(F.lower(text), now))
+            .otherwise(_absolute(text))
+        )
+
+    return let(strip(raw), dated)
 
 
 def epoch_millis(millis: Column) -> Column:

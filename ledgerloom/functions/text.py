@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
+from ledgerloom.functions.binding import let
 
 
 def strip(text: Column) -> Column:
@@ -44,14 +46,15 @@ def label_by_patterns(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
 
 def label_by_keywords(text: Column, rules: Sequence[tuple[Sequence[str], str]]) -> Column:
     """The label of the first rule with a keyword contained in the lower-cased text, else null."""
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    label = F.lit(None).cast("string")
-    for keywords, name in reversed(rules):
-        found = F.lit(False)
-        for keyword in keywords:
-            found = found | lowered.contains(keyword)
-        label = F.when(found, F.lit(name)).otherwise(label)
-    return label
+
+    def label(lowered: Column) -> Column:
+        chosen = F.lit(None).cast("string")
+        for keywords, name in reversed(rules):
+            found = reduce(Column.__or__, [lowered.contains(k) for k in keywords])
+            chosen = F.when(found, F.lit(name)).otherwise(chosen)
+        return chosen
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), label)
 
 
 def pricing_label(text: Column) -> Column:
@@ -68,10 +71,39 @@ def remote_flag(location: Column, explicit: Column | None = None) -> Column:
     return found if explicit is None else F.coalesce(explicit, found)
 
 
+def _search_parts(patterns: Sequence[str]) -> tuple[list[str], str]:
+    """Split patterns into plain phrases and one regex, in which patterns that start at a word
+    boundary share it, so that most positions are rejected by one test."""
+    phrases, bounded, others = [], [], []
+    for pattern in patterns:
+        plain = pattern.replace(r"\-", "-")
+        if all(c.isalnum() or c in " -" for c in plain):
+            phrases.append(plain.lower())
+        elif pattern.startswith(r"\b") and "|" not in pattern:
+            bounded.append(pattern[2:])
+        else:
+            others.append(f"(?:{pattern})")
+    if bounded:
+        others.insert(0, r"\b(?:" + "|".join(bounded) + ")")
+    return phrases, "|".join(others)
+
+
+def mentions(text: Column, patterns: Sequence[str]) -> Column:
+    """True when the text contains one of the patterns, ignoring case."""
+    phrases, regex = _search_parts(patterns)
+
+    def found(low: Column) -> Column:
+        tests = [low.contains(p) for p in phrases]
+        if regex:
+            tests.append(low.rlike(f"(?iU){regex}"))
+        return reduce(Column.__or__, tests)
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), found)
+
+
 def is_relevant(title: Column, summary: Column, patterns: Sequence[str] = fv.TOPIC_PATTERNS) -> Column:
     """True when title or summary mentions one of the topic patterns."""
-    joined = F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(summary, F.lit("")))
-    return matches(joined, "(?:" + "|".join(patterns) + ")")
+    return mentions(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.coalesce(summary, F.lit(""))), patterns)
 
 
 def normalize_name(raw: Column) -> Column:
@@ -89,17 +121,22 @@ def chunk_text(text: Column, budget: int = fv.CHAR_BUDGET) -> Column:
 
     A boundary counts only if it lies past half of the budget.
     """
-    whole = strip(F.coalesce(text, F.lit("")))
-    window = F.substring(whole, 1, budget)
-    paragraph = F.length(F.regexp_extract(window, r"(?s)^(.*)\n\n", 1))
-    sentence = F.length(F.regexp_extract(window, r"(?sU)^(.*[.!?][\s\x1c-\x1f])", 1))
     half = budget * 0.5
-    cut = (
-        F.when(paragraph > half, F.left(window, paragraph))
-        .when(sentence > half, F.left(window, sentence))
-        .otherwise(window)
-    )
-    return F.when(F.length(whole) <= budget, whole).otherwise(strip(cut))
+
+    def cut(window: Column) -> Column:
+        paragraph = F.regexp_extract(window, r"(?s)^(.*)\n\n", 1)
+        sentence = F.regexp_extract(window, r"(?sU)^(.*[.!?][\s\x1c-\x1f])", 1)
+        return (
+            F.when(F.length(paragraph) > half, paragraph)
+            .when(F.length(sentence) > half, sentence)
+            .otherwise(window)
+        )
+
+    def chunk(whole: Column) -> Column:
+        shortened = strip(let(F.substring(whole, 1, budget), cut))
+        return F.when(F.length(whole) <= budget, whole).otherwise(shortened)
+
+    return let(strip(F.coalesce(text, F.lit(""))), chunk)
 
 
 def build_prompt(text: Column, schema_description: str, budget: int = fv.CHAR_BUDGET) -> Column:

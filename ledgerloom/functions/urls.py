@@ -6,8 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
+from ledgerloom.functions.binding import let
 from ledgerloom.functions.text import empty_to_null, first_non_empty, strip
 
+_URL = r"(?s)^([A-Za-z][A-Za-z0-9+.\-]*)://([^/?#]*)(.*)$"
+
 
 def company_profile_url(slug: Column, url: Column) -> Column:
     """Profile page by slug, else the row's own URL, else the directory page."""
@@ -41,15 +44,18 @@ def paper_short_id(entry_id: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """Lower-case scheme and host, drop a default port, and end a bare host with a slash."""
-    text = strip(url)
-    scheme = F.lower(F.regexp_extract(text, r"^([A-Za-z][A-Za-z0-9+.\-]*)://", 1))
-    host = F.lower(F.regexp_extract(text, r"^[^:/?#]+://([^/?#]*)", 1))
-    host = F.when(scheme == "http", F.regexp_replace(host, ":80$", "")).when(
-        scheme == "https", F.regexp_replace(host, ":443$", "")
-    ).otherwise(host)
-    rest = F.regexp_extract(text, r"^[^:/?#]+://[^/?#]*(.*)$", 1)
-    rest = F.when(rest.startswith("/"), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when(scheme == "", text).otherwise(F.concat(scheme, F.lit("://"), host, rest))
+
+    def canonical(text: Column) -> Column:
+        scheme = F.lower(F.regexp_extract(text, _URL, 1))
+        host = F.lower(F.regexp_extract(text, _URL, 2))
+        origin = F.regexp_replace(
+            F.concat(scheme, F.lit("://"), host), r"^(?:(http://.*):80|(https://.*):443)$", "$1$2"
+        )
+        rest = F.regexp_extract(text, _URL, 3)
+        slash = F.when(rest.startswith("/"), F.lit("")).otherwise(F.lit("/"))
+        return F.when(text.rlike(_URL), F.concat(origin, slash, rest)).otherwise(text)
+
+    return let(strip(url), canonical)
 
 
 def dedup_key(url: Column) -> Column:
