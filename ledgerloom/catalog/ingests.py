@@ -177,12 +177,12 @@ def envelope_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def startup_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """All companies ranked, with those whose country is 2 seen before."""
+    """The 1000 most prominent companies, with those whose country is 2 seen before."""
     companies = company_rows(spark, sf)
     seen = table(spark, sf, "customer").where("c_nationkey = 2").select(
         F.concat(F.lit(fv.COMPANY_PROFILE_BASE + "/"), F.lower(F.replace("c_name", F.lit("#"), F.lit("-")))).alias("url")
     )
-    decisions = ingest.startups(companies, seen, 10_000_000, utc(AT))
+    decisions = ingest.startups(companies, seen, 1000, utc(AT))
     return decisions.select(
         "url", "outcome", "copies", F.col("content.entityName").alias("entity_name"),
         F.col("content.data.employeeCount").alias("employees"),
@@ -420,7 +420,8 @@ ORACLE = {
     "startup_ingest": f"""SELECT url, CASE WHEN url IN (SELECT 'https://www.ycombinator.com/companies/'
           || lower(replace(c_name, '#', '-')) FROM customer WHERE c_nationkey = 2) THEN 'already_seen' ELSE 'saved' END AS outcome,
         count(*) AS copies, arg_min(name, seq) AS entity_name, list(team_size ORDER BY seq)[1] AS employees
-      FROM (SELECT {_PROFILE} AS url, name, team_size, seq FROM ({_COMPANIES}) WHERE name <> '') GROUP BY url""",
+      FROM (SELECT {_PROFILE} AS url, name, team_size, seq FROM (SELECT * FROM ({_COMPANIES})
+          ORDER BY top_company DESC, coalesce(team_size, 0) DESC, seq LIMIT 1000) WHERE name <> '') GROUP BY url""",
     "product_pages": f"""SELECT page, CAST(pos AS INTEGER) AS pos, id, name, tagline, maker FROM ({_POSTS})""",
     "product_ingest": f"""SELECT url, copies, raw_text, startup, pricing FROM (SELECT url, min(seq) AS seq, count(*) AS copies,
           list(concat_ws(' ', tagline, description) ORDER BY seq)[1] AS raw_text,

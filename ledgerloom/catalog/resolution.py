@@ -94,7 +94,7 @@ def mapping_changed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mapping_resolved(spark: SparkSession, sf: str) -> DataFrame:
-    return by_confidence(resolved_mappings(mappings(spark, sf)))
+    return by_confidence(resolved_mappings(mappings(spark, sf)), "id")
 
 
 def mapping_review(spark: SparkSession, sf: str) -> DataFrame:

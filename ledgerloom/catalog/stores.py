@@ -79,7 +79,7 @@ def filled_store(spark: SparkSession, sf: str, label: str) -> Store:
     }
     for kind, records in makers.items():
         store.append_records(records(spark, sf), kind, 1)
-    store.append_mappings(mapping_records(spark, sf), 1)
+    store.append_mappings(mapping_records(spark, sf).withColumn("url", F.col("raw_name")), 1)
     return store
 
 

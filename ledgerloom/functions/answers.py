@@ -40,17 +40,24 @@ def json_object(raw: Column) -> Column:
 
 
 def answer_text(body: Column, path: str) -> Column:
-    """The answer inside a provider's response body; null when the shape is unexpected."""
-    return F.try_variant_get(F.try_parse_json(body), path, "string")
+    """The answer inside a provider's response body; null when the shape is unexpected.
+
+    A JSON null in the right place is an empty answer.
+    """
+    return let(
+        F.try_variant_get(F.try_parse_json(body), path, "variant"),
+        lambda value: F.when(F.is_variant_null(value), F.lit("")).otherwise(F.try_variant_get(value, "$", "string")),
+    )
 
 
 def variant_string(data: Column, field: str) -> Column:
     """A field's value if it is a JSON string; numbers and other types give null."""
-    value = F.try_variant_get(data, f"$.{field}", "variant")
-    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(data, f"$.{field}", "string"))
+    return let(
+        F.try_variant_get(data, f"$.{field}", "variant"),
+        lambda value: F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string")),
+    )
 
 
 def valid_enum(value: Column, allowed: Sequence[str] = fv.PRICING_VALUES) -> Column:
     """The stripped, upper-cased value if it is allowed, else null."""
-    upper = F.upper(strip(value))
-    return F.when(upper.isin(*allowed), upper)
+    return let(F.upper(strip(value)), lambda upper: F.when(upper.isin(*allowed), upper))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import first_non_empty
 from ledgerloom.functions.urls import canonical_url, owner_repo, paper_short_id, repo_url
-from ledgerloom.operators.skew import HOT_ROWS, SALTS, hot_keys, lookup
+from ledgerloom.operators.skew import HOT_ROWS, SALTS, lookup
 
 
 def repo_stars(
@@ -28,12 +28,12 @@ def repo_stars(
     unique = stats.groupBy(F.concat_ws("/", "owner", "repo").alias("_repo")).agg(
         F.max("stargazers_count").alias("github_stars")
     )
-    hot = hot_keys(keyed, F.col("_repo"), min_hot_rows)
-    # Rows without a repository would share one null key; they need no partner.
-    spread_key = F.col(spread)
-    linked = lookup(keyed.where(F.col("_repo").isNotNull()), unique, "_repo", spread_key, hot, salts)
-    unlinked = keyed.where(F.col("_repo").isNull()).withColumn("github_stars", F.lit(None).cast("bigint"))
-    return linked.unionByName(unlinked).drop("_repo")
+    # Papers without a repository would share one null key; each gets a key of its own instead.
+    alone = F.concat(F.lit("#"), F.col(spread).cast("string"))
+    keyed = keyed.withColumn("_repo", F.coalesce("_repo", alone))
+    counts = keyed.where(parts.isNotNull()).groupBy("_repo").agg(F.count(F.lit(1)).alias("_rows"))
+    stars = counts.join(unique, "_repo")
+    return lookup(keyed, stars, counts, "_repo", "_rows", F.col(spread), min_hot_rows, salts).drop("_repo")
 
 
 def linked_repo(papers: DataFrame, index: DataFrame, entry_id: str, comment: str, summary: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions.dates import iso_utc
 from ledgerloom.functions.text import empty_to_null, truncate_cell
+from ledgerloom.operators.ranking import top_rows
 from ledgerloom.sources.seeds import labels
 
 
@@ -114,14 +115,19 @@ def resolved_mappings(mappings: DataFrame) -> DataFrame:
     return mappings.where(F.col("confidence") > 0)
 
 
-def by_confidence(mappings: DataFrame) -> DataFrame:
-    """All mappings, most certain first; the name settles ties."""
-    return mappings.orderBy(F.desc("confidence"), "raw_name")
+def by_confidence(mappings: DataFrame, *ties: str) -> DataFrame:
+    """All mappings, most certain first; the name and then ``ties`` settle the rest.
+
+    Give a column that differs between records of one name, so that the sort can split a name that
+    many records share.
+    """
+    return mappings.orderBy(F.desc("confidence"), "raw_name", *ties)
 
 
 def review_list(mappings: DataFrame, rows: int = fv.REVIEW_ROWS) -> DataFrame:
     """The least certain changed names."""
-    return changed_mappings(mappings).orderBy("confidence", "raw_name", "canonical_name").limit(rows)
+    order = [F.col(c).asc() for c in ("confidence", "raw_name", "canonical_name")]
+    return top_rows(changed_mappings(mappings), order, rows)
 
 
 def or_empty(value: Column) -> Column:

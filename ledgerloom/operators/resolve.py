@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions.similarity import edit_budget, lcs_length, length_ratio_ok, passes_cutoff
 from ledgerloom.functions.text import normalize_name, strip
-from ledgerloom.operators.skew import HOT_ROWS, SALTS, hot_keys, lookup
+from ledgerloom.operators.skew import HOT_ROWS, SALTS, lookup
+from ledgerloom.session import written
 from ledgerloom.sources.seeds import labels
 
 
@@ -155,7 +156,9 @@ def resolve_distinct(
     keyed = names.withColumn("norm", normalize_name(F.col(raw)))
     # A blank name is never looked up: its key is null.
     keyed = keyed.withColumn("norm", F.when(~blank, F.col("norm")))
-    exact = keyed.join(alias_dimension(seeds), "norm", "left")
+    # Written, because two steps use it: a filter on the normal form would otherwise be pushed below
+    # the distinct and normalise every record's name again.
+    exact = written(keyed.join(alias_dimension(seeds), "norm", "left"), "names")
     open_names = (
         exact.where(F.col("canonical").isNull() & (F.length("norm") >= min_length)).select("norm").distinct()
     )
@@ -198,8 +201,9 @@ def mapping_log(
     salts: int = SALTS,
 ) -> DataFrame:
     """One mapping per record, matched or not. Names are resolved once and joined back, hot names salted."""
-    resolved = resolve_distinct(names.select(raw).distinct(), seeds, raw)
-    return lookup(names, resolved, raw, F.col(spread), hot_keys(names, F.col(raw), min_hot_rows), salts)
+    counts = written(distinct_names(names, raw), "name-counts")
+    resolved = resolve_distinct(counts, seeds, raw)
+    return lookup(names, resolved, counts, raw, "records", F.col(spread), min_hot_rows, salts)
 
 
 def method_counts(resolved: DataFrame, records: str = "records") -> DataFrame:

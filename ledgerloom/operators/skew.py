@@ -9,50 +9,35 @@ HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def hot_keys(df: DataFrame, key: Column, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Hashes of the keys with at least ``min_rows`` rows.
+def hot_keys(counts: DataFrame, key: str, rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys with at least ``min_rows`` rows, from a table of distinct keys and their row counts.
 
-    There are at most ``rows / min_rows`` of them, eight bytes each: 200 billion rows give at
-    most 200,000 hashes (under 2 MB), which is what makes broadcasting them safe. The count
-    reads the key column only and combines before its shuffle.
+    There are at most ``all rows / min_rows`` of them: 200 billion rows give at most 200,000 short
+    keys, some megabytes, whatever the number of distinct keys. That bound is what makes
+    broadcasting them safe; raise ``min_rows`` with the data to keep it.
     """
-    return (
-        df.where(key.isNotNull())
-        .groupBy(F.xxhash64(key).alias("hot"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= min_rows)
-        .select("hot")
-    )
+    return counts.where(F.col(key).isNotNull() & (F.col(rows) >= min_rows)).select(F.col(key).alias("_hot"))
 
 
 def lookup(
     left: DataFrame,
     right: DataFrame,
+    counts: DataFrame,
     key: str,
+    rows: str,
     spread: Column,
-    hot: DataFrame,
+    min_rows: int = HOT_ROWS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Left join to a table that is unique on ``key``, with hot left keys spread over ``salts`` tasks.
+    """Left join to a table that is unique on ``key``.
 
-    Rows of a hot key get a salt from ``spread`` (any column that varies within the key); only the
-    matching right rows are repeated, so the right side grows by at most ``salts`` rows per hot key.
+    ``counts`` and ``right`` both have the number of left ``rows`` per key; ``counts`` is the cheaper
+    one to read. Left rows of a hot key are spread over ``salts`` tasks by ``spread`` (a column that varies
+    within the key), and only the right rows of hot keys are repeated, ``salts`` times each.
     """
-    marks = F.broadcast(hot)
-    salted = (
-        left.join(marks, F.xxhash64(F.col(key)) == F.col("hot"), "left")
-        .withColumn(
-            "salt",
-            F.when(F.col("hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0),
-        )
-        .drop("hot")
-    )
-    copies = (
-        right.join(marks, F.xxhash64(F.col(key)) == F.col("hot"), "left")
-        .withColumn(
-            "salt",
-            F.explode(F.when(F.col("hot").isNotNull(), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("hot")
-    )
-    return salted.join(copies, [key, "salt"], "left").drop("salt")
+    hot = F.broadcast(hot_keys(counts, key, rows, min_rows))
+    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
+    salted = left.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot")
+    all_salts = F.when(F.col(rows) >= min_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copies = right.withColumn("_salt", F.explode(all_salts)).drop(rows)
+    return salted.join(copies, [key, "_salt"], "left").drop("_salt")

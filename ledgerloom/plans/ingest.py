@@ -33,7 +33,7 @@ from ledgerloom.operators.ingest import (
     keys_to_mark,
 )
 from ledgerloom.operators.lookups import linked_repo, repo_stars
-from ledgerloom.operators.ranking import newest_first, prominence_topk
+from ledgerloom.operators.ranking import newest_first, prominence_topk, top_rows
 from ledgerloom.operators.validate import checks, envelope
 from ledgerloom.sinks.store import Store
 
@@ -87,7 +87,7 @@ def products(posts: DataFrame, seen: DataFrame, k: int, at: Column) -> DataFrame
         *envelope("PRODUCT", F.lit(fv.PRODUCT_SOURCE), F.col("url"), content, at),
     )
     decisions = decide(enveloped, seen, "url", ["seq"], invalid_reason("PRODUCT"))
-    return decisions.where(F.col("outcome") == SAVED).orderBy("seq").limit(k)
+    return top_rows(decisions.where(F.col("outcome") == SAVED), [F.col("seq").asc()], k)
 
 
 def papers(

@@ -5,13 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Let every top-k keep its k rows per input task before the shuffle, whatever k is.
+    "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
+    # Of repeated keys in a JSON answer the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 
@@ -54,3 +58,14 @@ def shared_folder(spark: SparkSession) -> str:
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for one run below the shared folder."""
     return f"{shared_folder(spark)}/ledgerloom/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The rows as a table written to the shared folder and read back.
+
+    It cuts the lineage: several uses read one result, a lost executor does not bring back the work
+    behind it, and Spark knows the table's size when it chooses a join.
+    """
+    path = run_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -36,7 +36,7 @@ def export_json(store: Store, root: str) -> None:
     for name, df in records.items():
         _json(df.drop("batch_id"), f"{root}/{name}")
     mappings = store.mappings()
-    shown = by_confidence(mappings).select(
+    shown = by_confidence(mappings, "url").select(
         F.col("raw_name").alias("raw"), F.col("canonical_name").alias("canonical"), "confidence"
     )
     _json(shown, f"{root}/entity_mappings")

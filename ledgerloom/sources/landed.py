@@ -63,37 +63,35 @@ def read_papers(spark: SparkSession, path: str) -> DataFrame:
 
 RSS_ITEM = "title string, link string, description string, pubDate string, updated string"
 ATOM_ENTRY = "title string, link struct<_href:string>, summary string, published string, updated string"
-ITEM_COLUMNS = ("source", "title", "link", "summary", "raw_date")
 
 
-def _rss_columns(item: Callable[[str], Column]) -> list[Column]:
-    return [
-        item("title").alias("title"),
-        strip(item("link")).alias("link"),
-        item("description").alias("summary"),
-        first_non_empty(item("pubDate"), item("updated")).alias("raw_date"),
-    ]
+def _item(title: Column, link: Column, summary: Column, date: Column, other_date: Column) -> Column:
+    return F.struct(
+        title.alias("title"),
+        strip(link).alias("link"),
+        summary.alias("summary"),
+        first_non_empty(date, other_date).alias("raw_date"),
+    )
+
+
+def _rss(item: Callable[[str], Column]) -> Column:
+    return _item(item("title"), item("link"), item("description"), item("pubDate"), item("updated"))
 
 
-def _atom_columns(entry: Callable[[str], Column]) -> list[Column]:
-    return [
-        entry("title").alias("title"),
-        entry("link._href").alias("link"),
-        entry("summary").alias("summary"),
-        first_non_empty(entry("published"), entry("updated")).alias("raw_date"),
-    ]
+def _atom(entry: Callable[[str], Column]) -> Column:
+    return _item(entry("title"), entry("link")["_href"], entry("summary"), entry("published"), entry("updated"))
 
 
 def read_rss(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Items of RSS files: ``source, title, link, summary, raw_date``."""
     items = spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM).load(path)
-    return items.select(F.lit(source).alias("source"), *_rss_columns(F.col))
+    return items.select(F.lit(source).alias("source"), _rss(F.col).alias("item")).select("source", "item.*")
 
 
 def read_atom(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Entries of Atom files, in the same columns as ``read_rss``."""
     entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
-    return entries.select(F.lit(source).alias("source"), *_atom_columns(F.col))
+    return entries.select(F.lit(source).alias("source"), _atom(F.col).alias("item")).select("source", "item.*")
 
 
 def feed_items(landed: DataFrame) -> DataFrame:
@@ -101,14 +99,15 @@ def feed_items(landed: DataFrame) -> DataFrame:
 
     A feed without a readable body gives no items.
     """
-    schema = f"channel struct<item:array<struct<{RSS_ITEM}>>>, item array<struct<{RSS_ITEM}>>, entry array<struct<{ATOM_ENTRY}>>"
-    feeds = landed.where(F.col("body").isNotNull()).select("source", F.from_xml("body", schema).alias("feed"))
-    rss = feeds.select("source", F.posexplode(F.coalesce("feed.channel.item", "feed.item")).alias("seq", "item"))
-    atom = feeds.select("source", F.posexplode("feed.entry").alias("seq", "item"))
-    field = lambda name: F.col(f"item.{name}")
-    return rss.select("source", "seq", *_rss_columns(field)).unionByName(
-        atom.select("source", "seq", *_atom_columns(field))
+    schema = (
+        f"channel struct<item:array<struct<{RSS_ITEM}>>>, item array<struct<{RSS_ITEM}>>, "
+        f"entry array<struct<{ATOM_ENTRY}>>"
     )
+    feeds = landed.where(F.col("body").isNotNull()).select("source", F.from_xml("body", schema).alias("feed"))
+    rss = F.transform(F.coalesce("feed.channel.item", "feed.item"), lambda i: _rss(lambda name: i[name]))
+    atom = F.transform("feed.entry", lambda e: _atom(lambda name: e[name]))
+    items = F.coalesce(rss, atom)
+    return feeds.select("source", F.posexplode(items).alias("seq", "item")).select("source", "seq", "item.*")
 
 
 def union_feeds(feeds: Mapping[str, Callable[[str], DataFrame] | DataFrame]) -> DataFrame:
@@ -144,41 +143,35 @@ def first_boards(candidates: DataFrame, landed: DataFrame) -> DataFrame:
     return first_success(tried, ["company"], "rank", responded, ["platform", "token", "body"])
 
 
-def _greenhouse(now: Column) -> list[Column]:
-    job = F.col("job")
-    return [
-        job["absolute_url"].alias("job_url"),
-        normalize_date(job["updated_at"], now).alias("published"),
-        job["title"].alias("title"),
-        job["location"]["name"].alias("location"),
-        F.lit(None).cast("boolean").alias("remote"),
-    ]
-
-
-def _lever(now: Column) -> list[Column]:
-    job = F.col("job")
-    return [
-        job["hostedUrl"].alias("job_url"),
-        epoch_millis(job["createdAt"]).alias("published"),
-        job["text"].alias("title"),
-        job["categories"]["location"].alias("location"),
-        F.lit(None).cast("boolean").alias("remote"),
-    ]
-
-
-def _ashby(now: Column) -> list[Column]:
-    job = F.col("job")
-    return [
-        first_non_empty(job["jobUrl"], job["applyUrl"]).alias("job_url"),
-        normalize_date(job["publishedAt"], now).alias("published"),
-        job["title"].alias("title"),
-        job["location"].alias("location"),
-        job["isRemote"].alias("remote"),
-    ]
-
-
-# Platform -> (schema of the body, path of the job list, columns of a job).
-DIALECTS: dict[str, tuple[str, str | None, Callable[[Column], list[Column]]]] = {
+def _job(url: Column, published: Column, title: Column, location: Column, remote: Column) -> Column:
+    return F.struct(
+        url.alias("job_url"),
+        published.alias("published"),
+        title.alias("title"),
+        location.alias("location"),
+        remote.alias("remote"),
+    )
+
+
+def _greenhouse(job: Column, now: Column) -> Column:
+    unknown = F.lit(None).cast("boolean")
+    return _job(
+        job["absolute_url"], normalize_date(job["updated_at"], now), job["title"], job["location"]["name"], unknown
+    )
+
+
+def _lever(job: Column, now: Column) -> Column:
+    unknown = F.lit(None).cast("boolean")
+    return _job(job["hostedUrl"], epoch_millis(job["createdAt"]), job["text"], job["categories"]["location"], unknown)
+
+
+def _ashby(job: Column, now: Column) -> Column:
+    url = first_non_empty(job["jobUrl"], job["applyUrl"])
+    return _job(url, normalize_date(job["publishedAt"], now), job["title"], job["location"], job["isRemote"])
+
+
+# Platform -> (schema of the body, field with the job list or null for a bare list, mapping of a job).
+DIALECTS: dict[str, tuple[str, str | None, Callable[[Column, Column], Column]]] = {
     "greenhouse": (GREENHOUSE, "jobs", _greenhouse),
     "lever": (LEVER, None, _lever),
     "ashby": (ASHBY, "jobs", _ashby),
@@ -186,18 +179,18 @@ DIALECTS: dict[str, tuple[str, str | None, Callable[[Column], list[Column]]]] =
 
 
 def board_jobs(boards: DataFrame, now: Column, dialects=None) -> DataFrame:
-    """Jobs of all boards in one schema; ``seq`` is the list position. The boards are read once per dialect."""
-    merged = None
-    for platform, (schema, path, columns) in (dialects or DIALECTS).items():
+    """Jobs of all boards in one schema, in one pass; ``seq`` is the list position."""
+
+    def mapped(schema: str, field: str | None, mapping: Callable[[Column, Column], Column]) -> Column:
         parsed = F.from_json("body", schema)
-        listed = parsed if path is None else parsed[path]
-        jobs = (
-            boards.where(F.col("platform") == platform)
-            .select("company", "platform", F.posexplode(listed).alias("seq", "job"))
-            .select("company", "platform", "seq", *columns(now))
-        )
-        merged = jobs if merged is None else merged.unionByName(jobs)
-    return merged
+        return F.transform(parsed if field is None else parsed[field], lambda job: mapping(job, now))
+
+    jobs = F.lit(None)
+    for platform, dialect in (dialects or DIALECTS).items():
+        jobs = F.when(F.col("platform") == platform, mapped(*dialect)).otherwise(jobs)
+    return boards.select("company", "platform", F.posexplode(jobs).alias("seq", "job")).select(
+        "company", "platform", "seq", "job.*"
+    )
 
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
