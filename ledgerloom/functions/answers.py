@@ -14,7 +14,12 @@ from ledgerloom.functions.text import strip
 
 def strip_fences(raw: Column) -> Column:
     """Remove a Markdown code fence around an answer."""
-    return strip(F.regexp_replace(strip(raw), f"(?Umd){fv.FENCE_PATTERN}", ""))
+    return let(
+        strip(raw),
+        lambda text: F.when(
+            text.contains("```"), strip(F.regexp_replace(text, f"(?Umd){fv.FENCE_PATTERN}", ""))
+        ).otherwise(text),
+    )
 
 
 def json_object(raw: Column) -> Column:

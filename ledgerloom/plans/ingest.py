@@ -24,6 +24,7 @@ from ledgerloom.functions.text import (
 from ledgerloom.functions.urls import company_profile_url
 from ledgerloom.operators.dedup import exclude_seen, first_per_key, require
 from ledgerloom.operators.ingest import (
+    ALREADY_SEEN,
     INVALID,
     IRRELEVANT,
     SAVED,
@@ -34,7 +35,8 @@ from ledgerloom.operators.ingest import (
 )
 from ledgerloom.operators.lookups import linked_repo, repo_stars
 from ledgerloom.operators.ranking import newest_first, prominence_topk, top_rows
-from ledgerloom.operators.validate import checks, envelope
+from ledgerloom.operators.validate import checks, envelope, reject_reasons
+from ledgerloom.session import written
 from ledgerloom.sinks.store import Store
 
 ENVELOPE_COLUMNS = ("schemaVersion", "recordType", "source", "content", "collectedAt")
@@ -158,9 +160,23 @@ def jobs(listings: DataFrame, seen: DataFrame, now: Column, at: Column) -> DataF
     return decide(enveloped, seen, "url", ["company", "seq"], reason)
 
 
+def rejections(decisions: DataFrame, record_type: str) -> DataFrame:
+    """Keys that were judged and not saved, with the outcome and every schema rule they break."""
+    reasons = reject_reasons(checks(record_type)) if record_type != "NEWS" else F.array().cast("array<string>")
+    judged = decisions.where(~F.col("outcome").isin(SAVED, ALREADY_SEEN))
+    return judged.select("url", "outcome", reasons.alias("reject_reason"))
+
+
 def commit(store: Store, record_type: str, batch_id: int, decisions: DataFrame, at: Column) -> int:
     """Store the saved records of a batch and mark their keys; see ``Store.commit``."""
-    marked = keys_to_mark(
-        decisions.where(F.col("outcome") != SAVED), "url", MARKS_REJECTED[record_type]
-    )
+    marks_rejected = MARKS_REJECTED[record_type]
+    rejected = decisions.where(F.col("outcome") != SAVED) if marks_rejected else decisions.where(F.lit(False))
+    marked = keys_to_mark(rejected, "url", marks_rejected)
     return store.commit(record_type, batch_id, saved_records(decisions), marked, at)
+
+
+def commit_products(store: Store, batch_id: int, decisions: DataFrame, at: Column) -> int:
+    """Store products and the text behind each, which a later backfill reads."""
+    kept = written(decisions, "products")
+    store.append_raw_text(kept.select("url", "raw_text", F.lit(0).alias("seq")), batch_id)
+    return commit(store, "PRODUCT", batch_id, kept, at)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.plans import ingest
+from ledgerloom.sinks.store import Store
 from ledgerloom.sources import landed as L
 from ledgerloom.sources.seeds import board_candidates, feed_catalogue, seed_names
 from tests_support import AT
@@ -46,6 +47,17 @@ def test_company_snapshot_and_startup_ingest(spark, tmp_path):
     assert decided["known"].content.data.employeeCount == 5
     everything = ingest.startups(rows, seen, 10, AT)
     assert {r.content.entityName for r in ingest.saved_records(everything).collect()} == {"Obscure", "Known", "Plain"}
+    assert ingest.rejections(everything, "STARTUP").count() == 0
+
+
+def test_invalid_rows_are_reported_not_stored(spark, tmp_path):
+    rows = L.read_companies(spark, put(tmp_path / "c.json", json.dumps([{"name": "Bad", "url": "nowhere"}, {"name": "Good", "slug": "g"}])))
+    decided = ingest.startups(rows, spark.createDataFrame([], NO_KEYS), 9, AT)
+    assert [(r.url, r.outcome, list(r.reject_reason)) for r in ingest.rejections(decided, "STARTUP").collect()] == [
+        ("nowhere", "invalid", ["source.url is not a URL"])]
+    store = Store(spark, str(tmp_path / "store"))
+    assert ingest.commit(store, "STARTUP", 1, decided, AT) == 1
+    assert [r.url for r in store.seen().collect()] == ["https://www.ycombinator.com/companies/g"]
 
 
 def page(number, *nodes):
@@ -68,6 +80,11 @@ def test_product_pages_and_ingest(spark, tmp_path):
     assert {k: (r.content.startupName, r.content.pricingModel, r.raw_text, r.copies) for k, r in kept.items()} == {
         "1": ("Ann", "FREE", "A free tool", 2), "2": ("P2", "ENTERPRISE", "Enterprise", 1), "5": ("P5", None, "", 1)}
     assert [r.url[-1] for r in ingest.products(posts, seen, 2, AT).orderBy("seq").collect()] == ["1", "2"]
+    store = Store(spark, str(tmp_path / "store"))
+    assert ingest.commit_products(store, 1, ingest.products(posts, seen, 3, AT), AT) == 3
+    assert store.raw_text().where("raw_text = 'A free tool'").count() == 1
+    assert sorted(r.url[-1] for r in store.seen().collect()) == ["1", "2", "5"]
+    assert ingest.commit_products(store, 2, ingest.products(posts, store.seen(2), 9, AT), AT) == 1
 
 
 def test_papers(spark, tmp_path):
