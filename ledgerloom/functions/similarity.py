@@ -31,6 +31,35 @@ def lcs_length(a: Column, b: Column) -> Column:
     return F.element_at(rows, -1)
 
 
+def letter_mask(text: Column) -> Column:
+    """A bit per letter that occurs, letters sharing 64 bits.
+
+    One insertion or deletion changes at most one bit, so two masks that differ in more bits than
+    the edit budget prove the texts too far apart.
+    """
+    bit = lambda mask, char: mask.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.ascii(char) % 64)
+    )
+    return F.aggregate(F.split(text, ""), F.lit(0).cast("bigint"), bit)
+
+
+def pair_mask(text: Column) -> Column:
+    """A bit per pair of neighbouring letters that occurs, pairs sharing 64 bits.
+
+    One insertion or deletion removes or adds at most three pairs.
+    """
+    code = lambda i: F.ascii(F.substring(text, i, F.lit(1)))
+    bit = lambda mask, i: mask.bitwiseOR(
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), (code(i) * 7 + code(i + 1)) % 64)
+    )
+    places = F.when(F.length(text) > 1, F.sequence(F.lit(1), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, F.lit(0).cast("bigint"), bit)
+
+
+def differing_bits(a: Column, b: Column) -> Column:
+    return F.bit_count(a.bitwiseXOR(b))
+
+
 def edit_budget(total_length: Column, cutoff: int) -> Column:
     """Most insertions plus deletions that keep the similarity at or above the cut-off percent."""
     return F.floor(total_length * F.lit(100 - cutoff) / F.lit(100)).cast("int")

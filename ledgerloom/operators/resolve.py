@@ -13,7 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.functions.similarity import edit_budget, lcs_length, length_ratio_ok, passes_cutoff
+from ledgerloom.functions.similarity import (
+    differing_bits,
+    edit_budget,
+    lcs_length,
+    length_ratio_ok,
+    letter_mask,
+    pair_mask,
+    passes_cutoff,
+)
 from ledgerloom.functions.text import normalize_name, strip
 from ledgerloom.operators.skew import HOT_ROWS, SALTS, lookup
 from ledgerloom.session import written
@@ -65,6 +73,8 @@ def candidate_segments(candidates: DataFrame, cutoff: int) -> DataFrame:
     stop = _segment_start(length, F.col("parts"), F.col("seg_no") + 1)
     return (
         candidates.withColumn("cand_len", F.length("cand"))
+        .withColumn("cand_letters", letter_mask(F.col("cand")))
+        .withColumn("cand_pairs", pair_mask(F.col("cand")))
         .where("cand_len > 0")
         .withColumn("parts", _segments(length, cutoff))
         .withColumn("seg_no", F.explode(F.sequence(F.lit(1), F.col("parts"))))
@@ -90,6 +100,8 @@ def name_probes(names: DataFrame, norm: str, cutoff: int) -> DataFrame:
     position = start + F.col("shift")
     return (
         names.withColumn("norm_len", F.length(norm))
+        .withColumn("letters", letter_mask(F.col(norm)))
+        .withColumn("pairs", pair_mask(F.col(norm)))
         .where("norm_len > 0")
         .withColumn("cand_len", F.explode(F.sequence(low, high)))
         .withColumn("parts", _segments(F.col("cand_len"), cutoff))
@@ -121,20 +133,28 @@ def best_fuzzy(
     pairs = name_probes(names.select(norm), norm, cutoff).join(
         candidate_segments(candidates, cutoff), ["cand_len", "seg_no", "seg"]
     )
-    near = (
-        pairs.where(length_ratio_ok(F.col(norm), F.col("cand"), max_length_ratio))
-        # Plain edit distance never exceeds insertions plus deletions, so this loses no match.
-        .where(F.call_function("levenshtein", F.col(norm), F.col("cand"), F.col("budget")) >= 0)
-        .select(norm, "cand", "cand_canonical", "cand_order")
+    # Short segments are shared by many names; the masks drop nearly all of those pairs at the cost
+    # of a few machine instructions each. Plain edit distance never exceeds insertions plus
+    # deletions, so its bound loses no match. One CASE keeps the tests in this order, cheap ones
+    # first; separate filters would be merged into the join in an order of the optimizer's choice.
+    budget = F.col("budget")
+    cheap = (
+        (differing_bits(F.col("pairs"), F.col("cand_pairs")) <= budget * 3)
+        & (differing_bits(F.col("letters"), F.col("cand_letters")) <= budget)
+        & length_ratio_ok(F.col(norm), F.col("cand"), max_length_ratio)
     )
-    scored = near.withColumn("lcs", lcs_length(F.col(norm), F.col("cand"))).where(
-        passes_cutoff(F.col("lcs"), total, cutoff)
-    )
-    score = F.lit(2.0) * F.col("lcs") / total
+    near = F.call_function("levenshtein", F.col(norm), F.col("cand"), budget) >= 0
+    survivors = pairs.where(F.when(cheap, near)).select(norm, "cand", "cand_canonical", "cand_order")
+    # The subsequence length is interpreted. As a filter it would become part of the join and take
+    # that out of compiled code; a pair that fails has no score and no place in the order instead.
+    lcs = lcs_length(F.col(norm), F.col("cand"))
+    score = F.when(passes_cutoff(F.col("lcs"), total, cutoff), F.lit(2.0) * F.col("lcs") / total)
+    scored = survivors.withColumn("lcs", lcs).withColumn("score", score)
+    order = F.when(F.col("score").isNotNull(), F.struct(-F.col("score"), "cand_order"))
     return (
-        scored.withColumn("score", score)
-        .groupBy(norm)
-        .agg(F.min_by(F.struct("cand_canonical", "score"), F.struct(-F.col("score"), "cand_order")).alias("best"))
+        scored.groupBy(norm)
+        .agg(F.min_by(F.struct("cand_canonical", "score"), order).alias("best"))
+        .where(F.col("best").isNotNull())
         .select(
             norm,
             F.col("best.cand_canonical").alias("fuzzy_canonical"),
