@@ -24,7 +24,7 @@ from ledgerloom.operators.lookups import linked_repo, repo_stars
 from ledgerloom.operators.ranking import first_success, limit_new, newest_first, prominence_topk
 from ledgerloom.operators.validate import envelope, reject_reasons, split_valid
 from ledgerloom.plans import ingest
-from ledgerloom.sources.landed import POST_PAGE, board_jobs, product_posts
+from ledgerloom.sources.landed import POST_PAGE, board_jobs, first_boards, product_posts
 
 HALF = "2024-01-16T00:00:00Z"
 AT = "2024-02-01T00:00:00Z"
@@ -105,6 +105,33 @@ def first_responder(spark: SparkSession, sf: str) -> DataFrame:
     return first.select("conv_id", "turn", F.md5("text").alias("digest"))
 
 
+def landed_boards(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers as board candidates of their country, in key order; balance and segment decide the response."""
+    empty, wrong = F.col("c_acctbal") < 1000, F.col("c_mktsegment") == "BUILDING"
+    lever = F.col("c_mktsegment") == "FURNITURE"
+    body = (
+        F.when(wrong, F.when(lever, F.lit("{}")).otherwise(F.lit("[]")))
+        .when(lever, F.lit("[]"))
+        .otherwise(F.lit('{"jobs": []}'))
+    )
+    return table(spark, sf, "customer").select(
+        F.concat(F.lit("Co-"), F.col("c_nationkey").cast("string")).alias("company"),
+        F.col("c_custkey").alias("rank"),
+        F.when(lever, F.lit("lever")).otherwise(F.lit("ashby")).alias("platform"),
+        F.col("c_name").alias("token"),
+        F.when(~empty, body).alias("body"),
+        F.when(F.col("c_acctbal") > 9000, F.lit("timeout")).alias("error"),
+    )
+
+
+def board_choice(spark: SparkSession, sf: str) -> DataFrame:
+    """The first responding board per company; a response of the wrong shape or with an error is none."""
+    rows = landed_boards(spark, sf)
+    candidates = rows.select("company", "rank", "platform", "token")
+    landed = rows.select("platform", "token", "body", "error")
+    return first_boards(candidates, landed).select("company", "platform", "token")
+
+
 def paper_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as papers; the source stands for the linked repository, so few repositories are shared by many."""
     note = F.concat(F.lit("Code: https://github.com/"), F.col("lang"), F.lit("/"), F.col("source"), F.lit("."))
@@ -263,7 +290,7 @@ def news_ingest(spark: SparkSession, sf: str) -> DataFrame:
     pages = items.where("source = 'Feed purchase'").select(
         F.col("link").alias("url"), F.concat(F.lit("<html><nav>x</nav><p>Body of "), F.col("link"), F.lit("</p></html>")).alias("html")
     )
-    decided = ingest.news(items, seen, pages, utc("2024-01-31T00:00:00Z"), utc(AT))
+    decided = ingest.news(items, seen, pages, utc("2024-01-31T00:00:00Z"), utc(AT), ["seq"])
     return decided.select(
         "url", "outcome", "copies", F.col("source.name").alias("feed"),
         text_of(F.col("content.publishedDate")).alias("published"), F.col("content.fullText").alias("full_text"),
@@ -372,6 +399,7 @@ QUERIES = {
     "newest_first": newest,
     "latest_per_key": latest_orders,
     "first_responder": first_responder,
+    "board_choice": board_choice,
     "left_lookup": left_lookup,
     "salted_lookup": salted_lookup,
     "envelope_rows": envelope_rows,
@@ -410,6 +438,10 @@ ORACLE = {
         PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS r FROM orders) WHERE r = 1""",
     "first_responder": """SELECT conv_id, min(turn) AS turn, md5(arg_min(text, turn)) AS digest
       FROM conversations WHERE role = 'assistant' GROUP BY conv_id""",
+    "board_choice": """SELECT 'Co-' || c_nationkey AS company,
+        arg_min(CASE WHEN c_mktsegment = 'FURNITURE' THEN 'lever' ELSE 'ashby' END, c_custkey) AS platform,
+        arg_min(c_name, c_custkey) AS token
+      FROM customer WHERE c_acctbal BETWEEN 1000 AND 9000 AND c_mktsegment <> 'BUILDING' GROUP BY c_nationkey""",
     "left_lookup": f"""SELECT doc_id, github_url, stars AS github_stars FROM ({_PAPERS}) LEFT JOIN ({_STATS}) USING (github_url)""",
     "salted_lookup": """SELECT d.doc_id, s.n AS github_stars FROM documents d LEFT JOIN
       (SELECT lang, source, sum(n_chars)::BIGINT AS n FROM documents WHERE lang <> 'de' GROUP BY ALL) s USING (lang, source)""",

@@ -21,7 +21,8 @@ from ledgerloom.operators.report import (
     two_decimals,
     yes_no,
 )
-from ledgerloom.operators.validate import envelope
+from ledgerloom.operators.validate import envelope, split_records
+from ledgerloom.sources.landed import payload_records
 
 AT = "2024-02-01T00:00:00Z"
 
@@ -162,9 +163,38 @@ def display_projection(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def payload_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Papers and jobs as JSON payloads in one table; the papers read back as typed records."""
+    options = {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ssXXX"}
+
+    def payloads(df: DataFrame, kind: str) -> DataFrame:
+        return df.select(F.lit(kind).alias("record_type"), F.to_json(F.struct("*"), options).alias("payload"))
+
+    rows = payloads(paper_records(spark, sf), "RESEARCH_PAPER").unionByName(payloads(job_records(spark, sf), "JOB"))
+    content = F.col("content")
+    return payload_records(rows, "RESEARCH_PAPER").select(
+        F.col("source.url").alias("url"),
+        F.array_join(content["authors"], "|").alias("authors"),
+        content["github_stars"].alias("stars"),
+        minute_text(content["published_date"]).alias("published"),
+        minute_text(F.col("collectedAt")).alias("collected"),
+    )
+
+
+def record_validation(spark: SparkSession, sf: str) -> DataFrame:
+    """Products split by the schema; an empty pricing is not one of the allowed values."""
+    valid, rejected = split_records(product_records(spark, sf), "PRODUCT")
+    url = F.col("source.url").alias("url")
+    return valid.select(url, F.lit("").alias("reasons")).unionByName(
+        rejected.select(url, F.array_join("reject_reason", "; ").alias("reasons"))
+    )
+
+
 _AT_ISO = "2024-02-01T00:00:00Z"
 
 QUERIES = {
+    "payload_scan": payload_scan,
+    "record_validation": record_validation,
     "record_counts": record_counts,
     "summary_counts": summary_counts,
     "search_counts": search_counts,
@@ -178,6 +208,12 @@ QUERIES = {
 }
 
 ORACLE = {
+    "payload_scan": """SELECT 'https://d.example/' || doc_id AS url,
+        CASE WHEN lang <> 'es' THEN upper(lang) || '|' || source || '|Li' END AS authors, quality::BIGINT AS stars,
+        CASE WHEN lang = 'en' THEN '2024-02-01 00:00' ELSE '' END AS published, '2024-02-01 00:00' AS collected
+      FROM documents LEFT JOIN labels USING (doc_id)""",
+    "record_validation": """SELECT 'https://p.example/' || p_partkey AS url,
+        CASE WHEN p_size BETWEEN 11 AND 20 THEN 'pricingModel is not allowed' ELSE '' END AS reasons FROM part""",
     "record_counts": """SELECT k.record_type, count(conv_id) AS n FROM (VALUES ('assistant'), ('system'), ('tool'), ('user')) k(record_type)
       LEFT JOIN conversations ON role = k.record_type GROUP BY k.record_type""",
     "summary_counts": """SELECT (SELECT count(*) FROM customer) AS startups, (SELECT count(*) FROM part) AS products,

@@ -6,6 +6,8 @@ repeated gives the same result.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,9 +119,19 @@ def papers(
     return enveloped.withColumn("outcome", reason).withColumn("copies", F.lit(1))
 
 
-def news(items: DataFrame, seen: DataFrame, pages: DataFrame, now: Column, at: Column) -> DataFrame:
-    """Relevant items that are fresh or have no date. ``items`` has ``source, title, link, summary,
-    raw_date, seq``; ``pages`` has ``url, html`` and is read for saved items only."""
+def news(
+    items: DataFrame,
+    seen: DataFrame,
+    pages: DataFrame,
+    now: Column,
+    at: Column,
+    landing: Sequence[str] = ("source", "seq"),
+) -> DataFrame:
+    """Relevant items that are fresh or have no date.
+
+    ``items`` has ``source, title, link, summary, raw_date, seq``, and ``landing`` names the columns
+    that give its order; ``pages`` has ``url, html`` and is read for saved items only.
+    """
     rows = require(items.withColumnRenamed("link", "url"), "url").withColumn(
         "published", normalize_date(F.col("raw_date"), now)
     )
@@ -127,8 +139,9 @@ def news(items: DataFrame, seen: DataFrame, pages: DataFrame, now: Column, at: C
     reason = first_reason(
         F.when(~relevant, F.lit(IRRELEVANT)), freshness_reason(F.col("published"), now, dateless="keep")
     )
-    narrow = rows.select("url", "seq", "source", "title", "summary", "published")
-    decisions = decide(narrow, seen, "url", ["seq"], reason)
+    order = F.struct(*[F.col(c) for c in landing])
+    narrow = rows.select("url", order.alias("landing"), "source", "title", "summary", "published")
+    decisions = decide(narrow, seen, "url", ["landing"], reason)
     wanted = decisions.where(F.col("outcome") == SAVED).select("url")
     bodies = (
         first_per_key(pages.join(wanted, "url", "left_semi"), ["url"], "html")

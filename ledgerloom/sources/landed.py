@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.dates import epoch_millis, normalize_date
 from ledgerloom.functions.text import first_non_empty, strip
 from ledgerloom.operators.ranking import first_success
+from ledgerloom.operators.validate import CONTENT, record_schema
 
 COMPANY = "name string, slug string, url string, team_size bigint, top_company boolean"
 POST = (
@@ -40,6 +41,22 @@ ASHBY = (
 )
 
 
+def payload_records(rows: DataFrame, record_type: str) -> DataFrame:
+    """Typed records of one type from a table ``record_type, payload`` with JSON payloads.
+
+    For records that were stored as text; a time that cannot be read is null.
+    """
+    text_times = record_schema(record_type).replace("timestamp", "string")
+    parsed = rows.where(F.col("record_type") == record_type).select(F.from_json("payload", text_times).alias("r"))
+    return parsed.select(
+        "r.schemaVersion",
+        "r.recordType",
+        "r.source",
+        F.col("r.content").try_cast(CONTENT[record_type]).alias("content"),
+        F.col("r.collectedAt").try_cast("timestamp").alias("collectedAt"),
+    )
+
+
 def read_companies(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """A company snapshot. A single JSON array needs ``multiline`` and is read by one task per file;
     land large snapshots as JSON lines and pass ``multiline=False``. ``seq`` follows file order."""

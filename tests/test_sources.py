@@ -142,7 +142,7 @@ def test_news_ingest(spark, tmp_path):
     items = feeds(spark, tmp_path).withColumn("seq", F.when(F.col("source") == "First", 0).otherwise(1))
     pages = spark.createDataFrame([("https://n.example/1", "<p>Body <b>text</b></p>"), ("https://n.example/2", "<p>old</p>")], "url string, html string")
     seen = spark.createDataFrame([], NO_KEYS)
-    decided = {r.url: r for r in ingest.news(items, seen, pages, NOW_COL, AT).collect()}
+    decided = {r.url: r for r in ingest.news(items, seen, pages, NOW_COL, AT, ["seq"]).collect()}
     assert {u: (r.outcome, r.copies) for u, r in decided.items()} == {
         "https://n.example/1": ("saved", 2), "https://n.example/2": ("stale", 1), "https://n.example/3": ("irrelevant", 1),
         "https://n.example/4": ("saved", 1), "https://a.example/1": ("saved", 1)}
@@ -189,3 +189,15 @@ def test_job_dialects_and_ingest(spark):
 def test_responses_file(spark, tmp_path):
     path = put(tmp_path / "r.json", json.dumps({"key": "a", "provider": "groq", "body": "{}", "seq": 3}))
     assert tuple(L.read_responses(spark, path).first()) == ("a", "groq", "{}", None, 3)
+
+
+def test_payload_records(spark):
+    def job(date):
+        return json.dumps({"schemaVersion": "1.0", "recordType": "JOB", "source": {"name": "s", "url": "https://x"},
+                           "content": {"company": "Co", "date": date, "is_remote": None, "role_family": "Sales"},
+                           "collectedAt": "2026-07-19T12:00:00.123456+00:00"})
+    rows = [("JOB", job("2026-07-19T10:00:00+02:00")), ("JOB", job("garbage")), ("NEWS", "{}")]
+    found = L.payload_records(spark.createDataFrame(rows, "record_type string, payload string"), "JOB").collect()
+    assert [(r.content.company, r.content.date, r.content.role_family) for r in found] == [
+        ("Co", datetime(2026, 7, 19, 8), "Sales"), ("Co", None, "Sales")]
+    assert found[0].collectedAt == datetime(2026, 7, 19, 12, 0, 0, 123456)
