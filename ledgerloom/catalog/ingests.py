@@ -22,7 +22,7 @@ from ledgerloom.operators.dedup import (
 from ledgerloom.operators.ingest import accounting, decide, freshness_reason
 from ledgerloom.operators.lookups import linked_repo, repo_stars
 from ledgerloom.operators.ranking import first_success, limit_new, newest_first, prominence_topk
-from ledgerloom.operators.validate import envelope, reject_reasons, split_valid
+from ledgerloom.operators.validate import envelope, split_valid
 from ledgerloom.plans import ingest
 from ledgerloom.sources.landed import POST_PAGE, board_jobs, first_boards, product_posts
 

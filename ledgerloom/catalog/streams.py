@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog.tables import table, utc
+from ledgerloom.catalog.tables import utc
 from ledgerloom.session import configure, run_folder
 from ledgerloom.streaming.ingest import StreamTables, bounded_dedup, event_time, fresh_only, ingest_stream
 
