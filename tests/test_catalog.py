@@ -7,14 +7,15 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from ledgerloom.catalog import registry
 
 SF = "/root/testdata/sf0.01"
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
     "benchmark", "labels", "conversations",
 )
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -38,6 +39,7 @@ def ordered(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE) and len(QUERIES) > 60
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLE) <= set(entry_points.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
