@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.tables import table
-from ledgerloom.llm import decontaminate, secrets, sharding
+from ledgerloom.llm import decontaminate, embeddings, language, minhash, packing, secrets, sharding
 from ledgerloom.llm.line_dedup import LineIndex
 
 
@@ -18,6 +18,24 @@ def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_pack(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), tokenizer_path())
+
+
+def op3_embeddings(spark: SparkSession, sf: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf, "embeddings"))
+
+
+def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     cleaned = LineIndex(spark).insert(docs).clean(docs)
@@ -36,5 +54,9 @@ def op9_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op5_line_dedup, op6_shards, op9_secrets)}
+def op10_language(spark: SparkSession, sf: str) -> DataFrame:
+    return language.identify(table(spark, sf, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op9_secrets, op10_language)}
 ORACLE: dict[str, str] = {}

@@ -95,3 +95,41 @@ def secrets(docs, scope=400):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def shingle_set(text, size=2):
+    own = [w for w in re.split(r"[\x20\x09-\x0D]+", (text or "").translate(UPPER)) if w]
+    return {tuple(own)} if 0 < len(own) < size else {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}
+
+
+def roots(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            parent[n] = parent[parent[n]]
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def near_duplicates(docs, percent=80, size=2):
+    sets = [(d, shingle_set(t, size)) for d, t in docs]
+    inside = defaultdict(list)
+    links = set()
+    for i, (_, s) in enumerate(sets):
+        shared = defaultdict(int)
+        for x in s:
+            for j in inside[x]:
+                shared[j] += 1
+            inside[x].append(i)
+        for j, n in shared.items():
+            a, b = sets[i][0], sets[j][0]
+            if None not in (a, b) and 100 * n >= percent * (len(s) + len(sets[j][1]) - n):
+                links.add((a, b))
+    root = roots({d for d, _ in docs if d is not None}, links)
+    return [(d, len(s), root.get(d), d is None or root[d] == d) for d, s in sets]
