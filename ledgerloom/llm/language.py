@@ -114,20 +114,21 @@ def infer(classes: np.ndarray, counts: np.ndarray, logs: np.ndarray) -> tuple[in
 def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The carried columns with lang_pred and score; a row per input row. No letter, no text or an empty model: ``und``, 0."""
     names, logs = model
+    alone = "text" not in carry
     schema = docs.select(*carry).schema
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ", lang_pred string, score double"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores = [], []
-            for text in batch.column(batch.num_columns - 1).to_pylist():
+            for text in batch.column(batch.num_columns - 1 if alone else carry.index("text")).to_pylist():
                 classes, counts = trigrams(text)
                 best, score = infer(classes, counts, logs) if len(classes) and names else (-1, 0.0)
                 langs.append(names[best] if best >= 0 else UNKNOWN)
                 scores.append(min(1.0, max(0.0, score)))
-            yield pa.record_batch([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*carry, "lang_pred", "score"])
+            yield pa.record_batch([*batch.columns[: len(carry)], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*carry, "lang_pred", "score"])
 
-    return docs.select(*carry, F.col("text").alias("_text")).mapInArrow(judge, out)
+    return docs.select(*carry, *([F.col("text").alias("_text")] if alone else [])).mapInArrow(judge, out)
 
 
 def held_out(ids: F.Column) -> F.Column:

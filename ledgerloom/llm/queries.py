@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.tables import table
-from ledgerloom.llm import decontaminate, embeddings, language, minhash, packing, pages, secrets, sharding
+from ledgerloom.llm import decontaminate, embeddings, language, minhash, packing, pages, secrets, sharding, suffixes
 from ledgerloom.llm.line_dedup import LineIndex
 
 
@@ -48,6 +48,12 @@ def op6_shards(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op7_suffixes(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.extract(table(spark, sf, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
 
@@ -62,5 +68,5 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
     return language.identify(table(spark, sf, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op8_pages, op9_secrets, op10_language)}
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op7_suffixes, op8_pages, op9_secrets, op10_language)}
 ORACLE: dict[str, str] = {}

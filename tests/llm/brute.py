@@ -133,3 +133,21 @@ def near_duplicates(docs, percent=80, size=2):
                 links.add((a, b))
     root = roots({d for d, _ in docs if d is not None}, links)
     return [(d, len(s), root.get(d), d is None or root[d] == d) for d, s in sets]
+
+
+def remove_repeats(docs, span=100):
+    first, out = {}, []
+    rows = sorted({(d, t or "") for d, t in docs}, key=lambda r: (r[0] is not None, r[0] or 0))
+    for d, t in rows:
+        data = t.encode()
+        for p in range(len(data) - span + 1):
+            first.setdefault(data[p : p + span], (d, p))
+    for d, t in docs:
+        data = (t or "").encode()
+        gone = bytearray(len(data))
+        for p in range(len(data) - span + 1):
+            if first[data[p : p + span]] != (d, p):
+                gone[p : p + span] = b"\1" * span
+        runs = sum(1 for i, g in enumerate(gone) if g and not (i and gone[i - 1]))
+        out.append((d, len(data), sum(gone), runs, sha(bytes(b for b, g in zip(data, gone, strict=True) if not g))))
+    return out
