@@ -21,8 +21,8 @@ def latest_event(spark: SparkSession, sf: str):
 
 
 def raw_dates(spark: SparkSession, sf: str) -> DataFrame:
-    """Events with a date text in one of ten forms."""
-    form = F.col("event_id") % 10
+    """Events with a date text in one of sixteen forms."""
+    form = F.col("event_id") % 16
     amount = (F.col("user_id") + 1).cast("string")
     unit = F.get(F.array(*[F.lit(u) for u in ("second", "minutes", "Hours", "day", "weeks", "month")]), (F.col("event_id") % 6).cast("int"))
     raw = (
@@ -35,6 +35,12 @@ def raw_dates(spark: SparkSession, sf: str) -> DataFrame:
         .when(form == 6, F.lit("soon"))
         .when(form == 7, F.lit("just now"))
         .when(form == 8, F.date_format("ts", "yyyy-MM-dd HH:mm"))
+        .when(form == 10, F.date_format("ts", "MMM d, yyyy hh:mm a"))
+        .when(form == 11, F.date_format("ts", "yyyy-MM-dd hh:mm:ss a"))
+        .when(form == 12, F.date_format("ts", "EEE, dd MMM yy HH:mm:ss 'GMT'"))
+        .when(form == 13, F.date_format("ts", "EEE MMM d HH:mm:ss yyyy"))
+        .when(form == 14, F.date_format("ts", "yyyyMMdd'T'HHmmss'Z'"))
+        .when(form == 15, F.concat(F.lit("000000000000"), amount, F.lit(" hours ago")))
         .otherwise(F.lit(""))
     )
     return events(spark, sf).withColumn("raw_date", raw)
@@ -68,14 +74,16 @@ def epoch_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 _NOW = "TIMESTAMP '2024-02-01 12:00:00'"
 _AGO = """INTERVAL 1 SECOND * (user_id + 1) * [1, 60, 3600, 86400, 604800, 2592000][event_id % 6 + 1]"""
-_PUBLISHED = f"""CASE event_id % 10 WHEN 0 THEN {_NOW} - {_AGO}
+_PUBLISHED = f"""CASE event_id % 16 WHEN 0 THEN {_NOW} - {_AGO}
   WHEN 1 THEN {_NOW} - INTERVAL 1 DAY
   WHEN 2 THEN date_trunc('second', ts)
   WHEN 3 THEN date_trunc('second', ts) - INTERVAL 330 MINUTE
   WHEN 4 THEN ts
   WHEN 5 THEN date_trunc('day', ts)
   WHEN 7 THEN {_NOW}
-  WHEN 8 THEN date_trunc('minute', ts) END"""
+  WHEN 8 THEN date_trunc('minute', ts) WHEN 10 THEN date_trunc('minute', ts)
+  WHEN 11 THEN date_trunc('second', ts) WHEN 12 THEN date_trunc('second', ts) WHEN 13 THEN date_trunc('second', ts)
+  WHEN 14 THEN date_trunc('second', ts) WHEN 15 THEN {_NOW} - INTERVAL 1 HOUR * (user_id + 1) END"""
 
 QUERIES = {
     "date_normalise": date_normalise,

@@ -112,6 +112,7 @@ def landed_boards(spark: SparkSession, sf: str) -> DataFrame:
     body = (
         F.when(wrong, F.when(lever, F.lit("{}")).otherwise(F.lit("[]")))
         .when(lever, F.lit("[]"))
+        .when(F.col("c_custkey") % 7 == 0, F.lit('{"jobs": null}'))
         .otherwise(F.lit('{"jobs": []}'))
     )
     return table(spark, sf, "customer").select(
@@ -441,7 +442,8 @@ ORACLE = {
     "board_choice": """SELECT 'Co-' || c_nationkey AS company,
         arg_min(CASE WHEN c_mktsegment = 'FURNITURE' THEN 'lever' ELSE 'ashby' END, c_custkey) AS platform,
         arg_min(c_name, c_custkey) AS token
-      FROM customer WHERE c_acctbal BETWEEN 1000 AND 9000 AND c_mktsegment <> 'BUILDING' GROUP BY c_nationkey""",
+      FROM customer WHERE c_acctbal BETWEEN 1000 AND 9000 AND c_mktsegment <> 'BUILDING'
+        AND (c_mktsegment = 'FURNITURE' OR c_custkey % 7 <> 0) GROUP BY c_nationkey""",
     "left_lookup": f"""SELECT doc_id, github_url, stars AS github_stars FROM ({_PAPERS}) LEFT JOIN ({_STATS}) USING (github_url)""",
     "salted_lookup": """SELECT d.doc_id, s.n AS github_stars FROM documents d LEFT JOIN
       (SELECT lang, source, sum(n_chars)::BIGINT AS n FROM documents WHERE lang <> 'de' GROUP BY ALL) s USING (lang, source)""",

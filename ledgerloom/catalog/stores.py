@@ -44,6 +44,23 @@ def store_commits(spark: SparkSession, sf: str) -> DataFrame:
     return records.join(seen, ["record_type", "batch_id"], "full")
 
 
+def store_two_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Two types committed under one batch id, the same rows again under the next: nothing is stored twice."""
+    store = new_store(spark, "two-types")
+    batches = {"STARTUP": startup_records(spark, sf), "PRODUCT": product_records(spark, sf)}
+    none = table(spark, sf, "region").select(F.col("r_name").alias("url")).where(F.lit(False))
+    for batch_id in (17, 18):
+        for kind, records in batches.items():
+            keyed = first_per_key(records.withColumn("url", F.col("source.url")), ["url"], "content")
+            fresh = exclude_seen(keyed, store.seen(batch_id, kind, keyed), "url")
+            store.commit(kind, batch_id, fresh.drop("url"), none, utc(AT))
+        if batch_id == 17:
+            store.compact_seen("STARTUP", 17)
+    rows = store.record_types().groupBy("record_type", "batch_id").agg(F.count(F.lit(1)).alias("records"))
+    seen = store.seen().groupBy("record_type").agg(F.count(F.lit(1)).alias("seen"), F.count_distinct("url").alias("urls"))
+    return rows.join(seen, "record_type", "full")
+
+
 def raw_text_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Texts by order key stored in two batches; the later batch and the later row win."""
     store = new_store(spark, "texts")
@@ -144,6 +161,7 @@ _PRICING = "CASE WHEN p_size > 40 THEN 'FREE' WHEN p_size > 20 THEN 'PAID' WHEN
 
 QUERIES = {
     "store_commits": store_commits,
+    "store_two_types": store_two_types,
     "raw_text_latest": raw_text_latest,
     "record_update": record_update,
     "json_export": json_export,
@@ -155,6 +173,10 @@ QUERIES = {
 ORACLE = {
     "store_commits": f"""SELECT 'NEWS' AS record_type, CASE WHEN lang = 'en' THEN 1 ELSE 2 END::BIGINT AS batch_id,
         count(*) FILTER (source <> 'src1') AS records, count(*) AS seen FROM ({_NEWS}) GROUP BY ALL""",
+    "store_two_types": """SELECT record_type, 17::BIGINT AS batch_id, count(DISTINCT url) AS records, count(DISTINCT url) AS seen,
+        count(DISTINCT url) AS urls
+      FROM (SELECT 'PRODUCT' AS record_type, 'https://p.example/' || p_partkey AS url FROM part
+        UNION ALL SELECT 'STARTUP', 'https://c.example/' || c_custkey FROM customer) GROUP BY record_type""",
     "raw_text_latest": """SELECT 'https://o.example/' || o_custkey AS url,
         arg_max(o_orderkey || '-' || o_orderstatus, (o_orderstatus = 'F', o_orderkey)) AS raw_text FROM orders GROUP BY o_custkey""",
     "record_update": f"""SELECT CASE WHEN p_brand = 'Brand#3' THEN 'ENTERPRISE' ELSE {_PRICING} END AS pricing, count(*) AS n

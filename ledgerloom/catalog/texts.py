@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,9 +66,8 @@ def pattern_label_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def relevant_label_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Cut every document at a boundary, keep the relevant ones, label them, count the labels."""
-    cut = documents(spark, sf).select("source", chunk_text(F.col("text"), BUDGET).alias("text"))
-    kept = cut.where(is_relevant(F.col("source"), F.col("text"), (*fv.TOPIC_PATTERNS, r"\bthe\b", r"\bpour\b")))
+    """Keep the documents that are relevant anywhere in their text, label them, count the labels."""
+    kept = documents(spark, sf).where(is_relevant(F.col("source"), F.col("text"), (*fv.TOPIC_PATTERNS, r"\bthe\b", r"\bpour\b")))
     return category_counts(kept.select(label_by_patterns(F.col("text"), WORD_RULES).alias("kind")), "kind")
 
 
@@ -184,12 +185,8 @@ def enum_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sql_topic() -> str:
-    words = "ai|llm|llms|genai|gpt|claude|gemini|agi|slm"
-    phrases = (
-        "artificial intelligence|machine learning|large language model|neural network|generative ai|chatbot|openai"
-        "|anthropic|deepmind|machine-learning|foundation model|transformer model|diffusion model"
-    )
-    return f"{SQL_LEFT}({words}){SQL_RIGHT}|{phrases}|{SQL_LEFT}ml model"
+    """The topic patterns with word boundaries as the comparison engine spells them."""
+    return "|".join(re.sub(r"\\b$", lambda _: SQL_RIGHT, re.sub(r"^\\b", lambda _: SQL_LEFT, p)) for p in fv.TOPIC_PATTERNS)
 
 
 def _sql_word(words: str) -> str:
@@ -249,8 +246,8 @@ ORACLE = {
     ),
     "pattern_label_counts": sql_bars(f"SELECT {_sql_kind()} AS label FROM documents"),
     "relevant_label_counts": sql_bars(
-        f"""SELECT {_sql_kind()} AS label FROM (SELECT source, chunk AS text FROM ({sql_chunk("documents", BUDGET)}))
-        WHERE regexp_matches(source || ' ' || text, '(?i){_sql_topic()}|{SQL_LEFT}(the|pour){SQL_RIGHT}')"""
+        f"""SELECT {_sql_kind()} AS label FROM documents
+        WHERE regexp_matches(coalesce(source, '') || ' ' || coalesce(text, ''), '(?i){_sql_topic()}|{SQL_LEFT}(the|pour){SQL_RIGHT}')"""
     ),
     "remote_flag": """SELECT event_id, CASE event_type WHEN 'view' THEN true WHEN 'error' THEN false
         WHEN 'click' THEN false WHEN 'purchase' THEN CAST(json_extract_string(props, '$.k') AS INTEGER) >= 50

@@ -20,8 +20,11 @@ _PLAIN_MAIL = r"^(?:[A-Za-z]{3}, )?(\d{1,2} [A-Za-z]{3} \d{4} \d{2}:\d{2}:\d{2})
 _ISO = (
     r"(?i)^(\d{4})[-/](\d{1,2})[-/](\d{1,2})(?:[T ]\s*(\d{1,2}:\d{2}(?::\d{2}(?:[.,]\d{1,9})?)?)\s*" + _ZONE + ")?$"
 )
-_DAY_FIRST = "(?i)^" + _WEEKDAY + r"(\d{1,2})[\s-]+" + _MONTH + r",?[\s-]+(\d{4})" + _TAIL
+_DAY_FIRST = "(?i)^" + _WEEKDAY + r"(\d{1,2})[\s-]+" + _MONTH + r",?[\s-]+(\d{4}|\d{2}(?=[\s,]))" + _TAIL
 _MONTH_FIRST = "(?i)^" + _WEEKDAY + _MONTH + r"\s+(\d{1,2})(?:st|nd|rd|th)?,?\s+(\d{4})" + _TAIL
+_YEAR_LAST = "(?i)^" + _WEEKDAY + _MONTH + r"\s+(\d{1,2})\s+" + _CLOCK + r"\s*" + _ZONE + r"\s+(\d{4})$"
+_BASIC_ISO = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})?" + _ZONE + "$"
+_HALF_DAY = r"(?i)(?<![\d:])(\d{1,2})(:\d{2}(?::\d{2})?)?\s*([ap])\.?m\b\.?"
 _SLASHED = r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})$"
 _COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
 _EARLIEST = 62135596800  # seconds between year 1 and the epoch
@@ -52,9 +55,20 @@ def _complete(stamp: Column) -> Column:
 
 def _named(text: Column, pattern: str, layout: str) -> Column:
     stamp = _complete(F.regexp_replace(text, pattern, layout))
+    # Of a year with two digits, 00 to 68 lie after 2000 and 69 to 99 before, as in mail headers.
+    stamp = F.regexp_replace(F.regexp_replace(stamp, r"^(\S+ \S+ )([0-5]\d|6[0-8]) ", "$120$2 "), r"^(\S+ \S+ )(\d\d) ", "$119$2 ")
     return F.try_to_timestamp(stamp, F.lit("d MMM yyyy H:mm:ssxxx"))
 
 
+def _full_day(text: Column) -> Column:
+    """A 12-hour clock as a 24-hour one; an hour above 12 leaves a text that is no date."""
+    hour = F.regexp_extract(text, _HALF_DAY, 1).try_cast("int")
+    after_noon = F.lower(F.regexp_extract(text, _HALF_DAY, 3)) == "p"
+    full = F.when(hour.between(1, 12), hour % 12 + F.when(after_noon, 12).otherwise(0)).otherwise(99).cast("string")
+    minutes = F.when(F.regexp_extract(text, _HALF_DAY, 2) == "", F.lit(":00")).otherwise(F.regexp_extract(text, _HALF_DAY, 2))
+    return F.when(text.rlike(_HALF_DAY), F.regexp_replace(text, F.lit(_HALF_DAY), F.concat(full, minutes))).otherwise(text)
+
+
 def _slashed(text: Column) -> Column:
     """Month first, unless the first number cannot be a month."""
     month_first = F.regexp_extract(text, _SLASHED, 1).try_cast("int") <= 12
@@ -65,19 +79,22 @@ def _slashed(text: Column) -> Column:
 
 
 def _absolute(text: Column) -> Column:
+    basic = _complete(F.regexp_replace(F.regexp_replace(text, _BASIC_ISO, "$1-$2-$3 $4:$5:$6|$7"), r":\|", "|"))
     compact = F.concat(F.regexp_replace(text, _COMPACT, "$1-$2-$3"), F.lit(" 00:00:00Z"))
     return (
         F.when(text.rlike(_ISO), _complete(F.regexp_replace(text, _ISO, "$1-$2-$3 $4|$5")).try_cast("timestamp"))
         .when(text.rlike(_DAY_FIRST), _named(text, _DAY_FIRST, "$1 $2 $3 $4|$5"))
         .when(text.rlike(_MONTH_FIRST), _named(text, _MONTH_FIRST, "$2 $1 $3 $4|$5"))
+        .when(text.rlike(_YEAR_LAST), _named(text, _YEAR_LAST, "$2 $1 $5 $3|$4"))
+        .when(text.rlike(_BASIC_ISO), basic.try_cast("timestamp"))
         .when(text.rlike(_SLASHED), _slashed(text))
         .when(text.rlike(_COMPACT), compact.try_cast("timestamp"))
     )
 
 
 def parse_absolute(text: Column) -> Column:
-    """ISO 8601, mail-header dates, month-name dates, slashed dates and ``yyyymmdd``; else null."""
-    return let(strip(text), _absolute)
+    """ISO 8601, mail-header dates, month-name dates, slashed dates and ``yyyymmdd``, with a 12- or 24-hour clock; else null."""
+    return let(_full_day(strip(text)), _absolute)
 
 
 def _relative(clean: Column, now: Column) -> Column:
@@ -86,8 +103,9 @@ def _relative(clean: Column, now: Column) -> Column:
     per_unit = F.lit(None).cast("bigint")
     for name, seconds in fv.UNIT_SECONDS.items():
         per_unit = F.when(unit == name, F.lit(seconds).cast("bigint")).otherwise(per_unit)
-    # Up to twelve digits the product stays inside 64 bits; longer amounts are out of range anyway.
-    count = F.when(F.length(amount) <= 12, amount.try_cast("bigint"))
+    digits = F.ltrim(amount, F.lit("0"))
+    # From 10^12 on the result lies before year 1 with any unit, which the range test below finds.
+    count = F.when(F.length(digits) > 12, F.lit(10**12).cast("bigint")).when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
     return (
         F.when(clean.isin(*fv.NOW_PHRASES), now)
         .when(clean == "yesterday", seconds_before(now, F.lit(86400).cast("bigint")))
@@ -119,7 +137,7 @@ def normalize_date(raw: Column, now: Column) -> Column:
             F.when(text.rlike(_PLAIN_ISO), text.try_cast("timestamp"))
             .when(text.rlike(_PLAIN_MAIL), mail)
             .when(_is_relative(F.lower(text)), _relative(F.lower(text), now))
-            .otherwise(_absolute(text))
+            .otherwise(let(_full_day(text), _absolute))
         )
 
     return let(strip(raw), dated)

@@ -19,7 +19,7 @@ def main_text(html: Column) -> Column:
     """Body text without scripts, styles, navigation, comments and tags; null when nothing is left."""
     text = F.regexp_replace(html, r"(?s)<!--.*?-->", " ")
     names = "|".join(SKIPPED_ELEMENTS)
-    text = F.regexp_replace(text, rf"(?is)<(?:{names})\b[^>]*>.*?</(?:{names})>", " ")
+    text = F.regexp_replace(text, rf"(?is)<({names})\b[^>]*>.*?</\1\s*>", " ")
     text = F.regexp_replace(text, r"<[^>]*>", " ")
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))

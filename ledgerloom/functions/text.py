@@ -36,12 +36,43 @@ def matches(text: Column, pattern: str) -> Column:
     return F.coalesce(text, F.lit("")).rlike(f"(?iU){pattern}")
 
 
+def _folded(text: Column) -> Column:
+    """Lower case, with the two letters that equal ``s`` and ``i`` when case is ignored but have no such lower case."""
+    return let(
+        F.lower(F.coalesce(text, F.lit(""))),
+        lambda low: F.when(low.contains("ſ") | low.contains("ı"), F.translate(low, "ſı", "si")).otherwise(low),
+    )
+
+
+def _plain_words(pattern: str) -> list[str] | None:
+    """Texts of which every match of a pattern contains one: a pattern of words, boundaries and top-level choices."""
+    bare = pattern.replace(r"\b", "").replace(r"\-", "-")
+    if bare.startswith("(") and bare.endswith(")"):
+        bare = bare[1:-1].removeprefix("?:")
+    words = [w.lower() for w in bare.split("|")]
+    return words if all(w and all(c.isalnum() or c in " -" for c in w) for w in words) else None
+
+
+def _found(folded: Column, pattern: str) -> Column:
+    """Search for one pattern. A plain word is looked for first, which costs far less than the regex and mostly fails."""
+    words = _plain_words(pattern)
+    regex = folded.rlike(f"(?iU){pattern}")
+    if words is None:
+        return regex
+    contained = reduce(Column.__or__, [folded.contains(w) for w in words])
+    return contained & regex if r"\b" in pattern else contained
+
+
 def label_by_patterns(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """The label of the first pattern found in the text, else null."""
-    label = F.lit(None).cast("string")
-    for pattern, name in reversed(rules):
-        label = F.when(matches(text, pattern), F.lit(name)).otherwise(label)
-    return label
+
+    def label(folded: Column) -> Column:
+        chosen = F.lit(None).cast("string")
+        for pattern, name in reversed(rules):
+            chosen = F.when(_found(folded, pattern), F.lit(name)).otherwise(chosen)
+        return chosen
+
+    return let(_folded(text), label)
 
 
 def label_by_keywords(text: Column, rules: Sequence[tuple[Sequence[str], str]]) -> Column:
@@ -71,34 +102,9 @@ def remote_flag(location: Column, explicit: Column | None = None) -> Column:
     return found if explicit is None else F.coalesce(explicit, found)
 
 
-def _search_parts(patterns: Sequence[str]) -> tuple[list[str], str]:
-    """Split patterns into plain phrases and one regex, in which patterns that start at a word
-    boundary share it, so that most positions are rejected by one test."""
-    phrases, bounded, others = [], [], []
-    for pattern in patterns:
-        plain = pattern.replace(r"\-", "-")
-        if all(c.isalnum() or c in " -" for c in plain):
-            phrases.append(plain.lower())
-        elif pattern.startswith(r"\b") and "|" not in pattern:
-            bounded.append(pattern[2:])
-        else:
-            others.append(f"(?:{pattern})")
-    if bounded:
-        others.insert(0, r"\b(?:" + "|".join(bounded) + ")")
-    return phrases, "|".join(others)
-
-
 def mentions(text: Column, patterns: Sequence[str]) -> Column:
     """True when the text contains one of the patterns, ignoring case."""
-    phrases, regex = _search_parts(patterns)
-
-    def found(low: Column) -> Column:
-        tests = [low.contains(p) for p in phrases]
-        if regex:
-            tests.append(low.rlike(f"(?iU){regex}"))
-        return reduce(Column.__or__, tests)
-
-    return let(F.lower(F.coalesce(text, F.lit(""))), found)
+    return let(_folded(text), lambda folded: reduce(Column.__or__, [_found(folded, p) for p in patterns]))
 
 
 def is_relevant(title: Column, summary: Column, patterns: Sequence[str] = fv.TOPIC_PATTERNS) -> Column:

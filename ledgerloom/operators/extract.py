@@ -35,9 +35,11 @@ def latest_responses(
     """
     aggregates = []
     for name in providers:
+        # A response without ``seq`` comes before all others; equal ones are told apart by their content.
+        rank = F.struct(F.col(seq).isNotNull(), F.col(seq), F.col("error").isNull(), "body", "error")
         last = F.max_by(
             F.when(F.col("provider") == name, F.struct("body", "error")),
-            F.when(F.col("provider") == name, F.col(seq)),
+            F.when(F.col("provider") == name, rank),
         )
         aggregates.append(last.alias(f"_{name}"))
     grouped = responses.where(F.col("provider").isin(*providers)).groupBy(key).agg(*aggregates)

@@ -46,10 +46,14 @@ def local_session(cpus: str = "*", **extra: str) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by the cluster in ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) gets a temporary folder.
+    Only a single-machine session (``local`` or ``local[...]``) without that setting gets a temporary
+    folder; on a cluster each executor would write its part to a disk that no other can read.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -60,9 +60,10 @@ def payload_records(rows: DataFrame, record_type: str) -> DataFrame:
 
 def read_companies(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """A company snapshot. A single JSON array needs ``multiline`` and is read by one task per file;
-    land large snapshots as JSON lines and pass ``multiline=False``. ``seq`` follows file order."""
+    land large snapshots as JSON lines and pass ``multiline=False``. ``seq`` follows file order: path, then place in the file."""
     rows = spark.read.schema(COMPANY).option("multiLine", multiline).json(path)
-    return rows.withColumn("seq", F.monotonically_increasing_id())
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+    return rows.withColumn("seq", place)
 
 
 def product_posts(pages: DataFrame) -> DataFrame:
@@ -145,9 +146,11 @@ def union_feeds(feeds: Mapping[str, Callable[[str], DataFrame] | DataFrame]) ->
 
 
 def board_responded(platform: Column, body: Column, error: Column) -> Column:
-    """True when a board answered in its own shape, an empty list of jobs included."""
+    """True when a board answered in its own shape, an empty or absent list of jobs included; null for the list is no answer."""
+    keys = F.json_object_keys(body)
+    listed = F.json_array_length(F.get_json_object(body, "$.jobs")).isNotNull()
     shaped = F.when(platform == "lever", F.json_array_length(body).isNotNull()).otherwise(
-        F.json_object_keys(body).isNotNull()
+        keys.isNotNull() & (~F.array_contains(keys, "jobs") | listed)
     )
     return error.isNull() & F.coalesce(shaped, F.lit(False))
 
@@ -156,7 +159,9 @@ def first_boards(candidates: DataFrame, landed: DataFrame) -> DataFrame:
     """Per company the first candidate board that responded; companies without one are left out."""
     tried = candidates.join(landed, ["platform", "token"])
     responded = board_responded(F.col("platform"), F.col("body"), F.col("error"))
-    return first_success(tried, ["company"], "rank", responded, ["platform", "token", "body"])
+    # Of several landings of one board the greatest body counts, so that the choice does not depend on the order of rows.
+    once = tried.where(responded).groupBy("company", "rank", "platform", "token").agg(F.max("body").alias("body"))
+    return first_success(once, ["company"], "rank", F.lit(True), ["platform", "token", "body"])
 
 
 def _job(url: Column, published: Column, title: Column, location: Column, remote: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ledgerloom.functions.dates import is_fresh
 from ledgerloom.operators.dedup import exclude_seen_small_batch, first_per_key
 from ledgerloom.operators.ingest import SAVED, freshness_reason, keys_to_mark
+from ledgerloom.sinks.store import seen_bucket
 
 
 def event_time(published: Column, arrival: Column) -> Column:
@@ -27,7 +28,7 @@ def bounded_dedup(stream: DataFrame, key: str, ts: str, delay: str = "24 hours")
 
 
 class StreamTables:
-    """The tables that a stream writes, one folder per micro-batch."""
+    """The tables that a stream writes, one folder per micro-batch; seen keys are filed by a hash bucket below it."""
 
     def __init__(self, spark: SparkSession, root: str, key: str, schema: str, key_type: str):
         self.spark = spark
@@ -41,20 +42,36 @@ class StreamTables:
 
     def prepare(self) -> None:
         """Create both tables with an empty batch, so that they can be read from the start."""
-        for table, schema in (("saved", self.schema), ("seen", self.key_schema)):
+        for table, schema in (("saved", self.schema), ("seen", f"{self.key_schema}")):
             empty = self.spark.createDataFrame([], schema)
-            empty.write.mode("overwrite").parquet(self._folder(table, -1))
+            empty.write.mode("overwrite").parquet(self._folder(table, -1) + ("/bucket=0" if table == "seen" else ""))
 
     def saved(self) -> DataFrame:
         return self.spark.read.schema(f"{self.schema}, batch_id bigint").parquet(f"{self.root}/saved")
 
-    def seen(self, batch_id: int) -> DataFrame:
-        """Keys written by earlier micro-batches."""
-        table = self.spark.read.schema(f"{self.key_schema}, batch_id bigint").parquet(f"{self.root}/seen")
-        return table.where(F.col("batch_id") < batch_id)
+    def seen(self, batch_id: int, keys: DataFrame | None = None) -> DataFrame:
+        """Keys written by earlier micro-batches; with ``keys``, only of the buckets that they fall into."""
+        table = self.spark.read.schema(f"{self.key_schema}, batch_id bigint, bucket int").parquet(f"{self.root}/seen")
+        table = table.where(F.col("batch_id") < batch_id)
+        if keys is not None:  # a number for each bucket at most
+            wanted = [r.bucket for r in keys.select(self._bucket()).distinct().collect()]
+            table = table.where(F.col("bucket").isin(wanted))
+        return table.drop("bucket")
+
+    def _bucket(self) -> Column:
+        return seen_bucket(F.col(self.key)).alias("bucket")
 
     def write(self, df: DataFrame, table: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._folder(table, batch_id))
+        if table == "seen":
+            filed = df.select(self.key, self._bucket()).repartition("bucket")
+            filed.write.mode("overwrite").partitionBy("bucket").parquet(self._folder(table, batch_id))
+        else:
+            df.write.mode("overwrite").parquet(self._folder(table, batch_id))
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """A micro-batch written once, so that its several uses do not compute it again."""
+        df.write.mode("overwrite").parquet(f"{self.root}/staged")
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/staged")
 
 
 def ingest_stream(
@@ -76,15 +93,10 @@ def ingest_stream(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         reason = F.lit(None).cast("string") if ts is None else freshness_reason(F.col(ts), now, dateless)
         firsts = first_per_key(batch.where(F.col(tables.key).isNotNull()), [tables.key], *seq)
-        # Held for the two writes below; a lost executor's part is computed again from the source.
-        fresh = exclude_seen_small_batch(firsts, tables.seen(batch_id), tables.key).withColumn(
-            "outcome", F.coalesce(reason, F.lit(SAVED))
-        ).persist()
-        try:
-            tables.write(fresh.where(F.col("outcome") == SAVED).drop("outcome"), "saved", batch_id)
-            tables.write(keys_to_mark(fresh, tables.key, mark_rejected), "seen", batch_id)
-        finally:
-            fresh.unpersist()
+        firsts = tables.stage(firsts.withColumn("outcome", F.coalesce(reason, F.lit(SAVED))))
+        fresh = exclude_seen_small_batch(firsts, tables.seen(batch_id, firsts), tables.key)
+        tables.write(fresh.where(F.col("outcome") == SAVED).drop("outcome"), "saved", batch_id)
+        tables.write(keys_to_mark(fresh, tables.key, mark_rejected), "seen", batch_id)
 
     return stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
 

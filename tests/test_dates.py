@@ -38,6 +38,20 @@ CASES = [
     ("07/19/2026", datetime(2026, 7, 19)),
     ("19/07/2026", datetime(2026, 7, 19)),
     ("20260719", datetime(2026, 7, 19)),
+    ("Jul 19, 2026 10:30 AM", datetime(2026, 7, 19, 10, 30)),
+    ("2026-07-19 10:00:00 PM", datetime(2026, 7, 19, 22)),
+    ("19 Jul 2026 12:05 a.m.", datetime(2026, 7, 19, 0, 5)),
+    ("July 19, 2026, 9pm", datetime(2026, 7, 19, 21)),
+    ("Sun, 19 Jul 26 10:00:00 GMT", datetime(2026, 7, 19, 10)),
+    ("19 Jul 99 10:00:00 GMT", datetime(1999, 7, 19, 10)),
+    ("Sun Jul 19 10:00:00 2026", datetime(2026, 7, 19, 10)),
+    ("Sun Jul 19 10:00:00 UTC 2026", datetime(2026, 7, 19, 10)),
+    ("20260719T100000Z", datetime(2026, 7, 19, 10)),
+    ("20260719T1000", datetime(2026, 7, 19, 10)),
+    ("20260719T100000+0200", datetime(2026, 7, 19, 8)),
+    ("0000000000005 days ago", NOW - timedelta(days=5)),
+    ("000000000000000000000000000000000000000000000 days ago", NOW),
+    ("2026-07-19 13:00 PM", None), ("19 Jul 26", None), ("1" * 60 + " days ago", None),
     ("", None), ("  ", None), (None, None), ("not a date at all", None), ("2026-02-30", None), ("32 Jul 2026", None),
     ("99999999999999999999 days ago", None), ("999999999999 weeks ago", None), ("13/13/2026", None),
 ]

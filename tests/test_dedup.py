@@ -112,3 +112,21 @@ def test_salted_lookup_equals_a_plain_join(spark):
     got = lookup(left, right, counts, "k", "n", F.col("id"), min_rows=100, salts=7)
     plain = left.join(right.drop("n"), "k", "left")
     assert sorted(map(tuple, got.select("k", "id", "v").collect()), key=str) == sorted(map(tuple, plain.select("k", "id", "v").collect()), key=str)
+
+
+def test_working_folder_needs_a_shared_place_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    import pytest
+
+    from ledgerloom import session
+
+    def fake(master, folder=None):
+        conf = SimpleNamespace(get=lambda key, default: folder, set=lambda key, value: None)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(fake(master))
+        assert session.shared_folder(fake(master, "s3a://x/")) == "s3a://x"
+    assert session.shared_folder(fake("local[4]")) and session.shared_folder(fake("local"))
