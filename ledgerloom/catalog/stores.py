@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import fixed_values as fv
 from ledgerloom.catalog.ingests import company_rows
 from ledgerloom.catalog.reports import (
     job_records,
@@ -22,7 +23,7 @@ from ledgerloom.operators.dedup import exclude_seen, first_per_key
 from ledgerloom.session import run_folder
 from ledgerloom.sinks.exports import export_json, export_tabs
 from ledgerloom.sinks.store import Store, apply_updates, matched_updates
-from ledgerloom.sources.landed import feed_items, read_companies
+from ledgerloom.sources.landed import feed_items, read_atom, read_companies, read_rss, rejected_entries, union_feeds
 
 AT = "2024-02-01T00:00:00Z"
 
@@ -133,20 +134,31 @@ def company_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feed_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """One landed feed body per event: Atom for clicks, RSS for the rest, and none for sign-ups."""
+    """One landed feed body per event: Atom for clicks, RSS for the rest, and none for sign-ups.
+
+    Atom entries have an enclosure before their own link and, each second one, content instead of a summary. RSS
+    items of views are dated by ``dc:date``; every fifth purchase has a bare ampersand, every seventh view is cut off.
+    """
     kind = F.col("event_type")
     title = F.concat(kind, F.lit(" &amp; more"))
     link = F.concat(F.lit("https://f.example/"), F.col("event_id").cast("string"))
     props = F.replace(F.col("props"), F.lit('"'), F.lit("&quot;"))
     date = F.when(kind != "error", F.date_format("ts", "d MMM yyyy HH:mm:ss 'GMT'"))
     rss = F.concat(
-        F.lit("<rss><channel><title>feed</title><item><title>"), title, F.lit("</title><link> "), link,
-        F.lit(" </link><description>"), props, F.lit("</description>"),
-        F.coalesce(F.concat(F.lit("<pubDate>"), date, F.lit("</pubDate>")), F.lit("")), F.lit("</item></channel></rss>"),
+        F.lit("<rss><channel><title>feed</title><item><title>"), title,
+        F.when((kind == "purchase") & (F.col("event_id") % 5 == 0), F.lit(" & so on")).otherwise(F.lit("")),
+        F.lit("</title><link> "), link, F.lit(" </link><description>"), props, F.lit("</description>"),
+        F.when(kind == "view", F.concat(F.lit("<dc:date>"), date, F.lit("</dc:date>")))
+        .otherwise(F.coalesce(F.concat(F.lit("<pubDate>"), date, F.lit("</pubDate>")), F.lit(""))),
+        F.when((kind == "view") & (F.col("event_id") % 7 == 0), F.lit("</item><item><title>cut"))
+        .otherwise(F.lit("</item></channel></rss>")),
     )
     atom = F.concat(
-        F.lit('<feed><title>feed</title><entry><title type="text">'), title, F.lit('</title><link href="'), link,
-        F.lit('"/><summary>'), props, F.lit("</summary><updated>"), date, F.lit("</updated></entry></feed>"),
+        F.lit('<feed><title>feed</title><entry><title type="text">'), title, F.lit('</title><link rel="enclosure" href="https://f.example/x.mp3"/>'),
+        F.lit('<link rel="alternate" href="'), link, F.lit('"/>'),
+        F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("<summary>"), props, F.lit("</summary>")))
+        .otherwise(F.concat(F.lit('<content type="html">'), props, F.lit("</content>"))),
+        F.lit("<updated>"), date, F.lit("</updated></entry></feed>"),
     )
     body = F.when(kind == "click", atom).when(kind != "signup", rss)
     return table(spark, sf, "events").select(kind.alias("source"), body.alias("body"))
@@ -156,9 +168,41 @@ def feed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return feed_items(feed_bodies(spark, sf)).drop("seq")
 
 
+def feed_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Bodies and entries that cannot be read, by source and reason."""
+    lost = rejected_entries(feed_bodies(spark, sf))
+    return lost.groupBy("source", "reject_reason").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_place"))
+
+
+def feed_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Feeds landed as files of some thousand entries, a folder per known feed: one Atom, the others RSS, and one that never arrived."""
+    whole = feed_bodies(spark, sf).where("body NOT LIKE '%cut' AND body NOT LIKE '% & so on%'")
+    entries = whole.select("source", F.regexp_extract("body", r"(?s)<(item|entry)>.*</\1>", 0).alias("entry"))
+    number = F.regexp_extract("entry", r"f\.example/(\d+)", 1).cast("bigint")
+    files = entries.groupBy("source", F.floor(number / 2500).alias("file")).agg(F.array_join(F.collect_list("entry"), "").alias("all"))
+    atom = F.concat(F.lit("<feed>"), F.col("all"), F.lit("</feed>"))
+    rss = F.concat(F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), F.col("all"), F.lit("</channel></rss>"))
+    bodies = files.select("source", "file", F.when(F.col("source") == "click", atom).otherwise(rss).alias("body"))
+    kinds = dict(zip(fv.FEEDS, ("click", "view", "purchase", "error", None)))
+    root = run_folder(spark, "feeds")
+    feeds = {}
+    for number, (name, kind) in enumerate(kinds.items()):
+        folder = f"{root}/{number}"
+        if kind:
+            bodies.where(F.col("source") == kind).select("body", "file").write.partitionBy("file").text(folder)
+        reader = read_atom if kind == "click" else read_rss
+        feeds[name] = lambda source, reader=reader, folder=folder: reader(spark, folder, source)
+    return union_feeds(feeds)
+
+
 _NEWS = "SELECT doc_id, lang, source FROM documents"
 _PRICING = "CASE WHEN p_size > 40 THEN 'FREE' WHEN p_size > 20 THEN 'PAID' WHEN p_size > 10 THEN '' END"
 
+_FEEDS = """SELECT event_id, event_type, props, 'https://f.example/' || event_id AS link,
+    event_type || ' & more' || CASE WHEN event_type = 'purchase' AND event_id % 5 = 0 THEN ' & so on' ELSE '' END AS title,
+    CASE WHEN event_type <> 'error' THEN strftime(ts, '%-d %b %Y %H:%M:%S GMT') END AS raw_date
+  FROM events WHERE event_type <> 'signup'"""
+
 QUERIES = {
     "store_commits": store_commits,
     "store_two_types": store_two_types,
@@ -168,6 +212,8 @@ QUERIES = {
     "tab_export": tab_export,
     "company_snapshot": company_snapshot,
     "feed_items": feed_rows,
+    "feed_rejects": feed_rejects,
+    "feed_union": feed_union,
 }
 
 ORACLE = {
@@ -193,7 +239,12 @@ ORACLE = {
         CASE WHEN c_mktsegment <> 'BUILDING' THEN lower(replace(c_name, '#', '-')) END AS slug,
         CASE WHEN c_nationkey > 3 THEN 'https://x.example/' || c_custkey END AS url,
         CASE WHEN c_acctbal > 0 THEN CAST(trunc(c_acctbal) AS BIGINT) END AS team_size, c_nationkey = 1 AS top_company FROM customer""",
-    "feed_items": """SELECT event_type AS source, event_type || ' & more' AS title, 'https://f.example/' || event_id AS link,
-        props AS summary, CASE WHEN event_type <> 'error' THEN strftime(ts, '%-d %b %Y %H:%M:%S GMT') END AS raw_date
-      FROM events WHERE event_type <> 'signup'""",
+    "feed_items": f"SELECT event_type AS source, title, link, props AS summary, raw_date FROM ({_FEEDS})",
+    "feed_rejects": """SELECT event_type AS source, CASE event_type WHEN 'signup' THEN 'no body' ELSE 'unreadable entry' END AS reject_reason,
+        count(*) AS n, CASE event_type WHEN 'view' THEN 1 END AS first_place
+      FROM events WHERE event_type = 'signup' OR (event_type = 'view' AND event_id % 7 = 0) GROUP BY event_type""",
+    "feed_union": f"""SELECT name AS source, title, link, props AS summary, raw_date FROM ({_FEEDS}) JOIN
+        (VALUES {", ".join(f"('{n}', '{k}')" for n, k in zip(fv.FEEDS, ("click", "view", "purchase", "error")))}) f(name, kind)
+        ON event_type = kind
+      WHERE NOT (event_type = 'view' AND event_id % 7 = 0) AND title NOT LIKE '%so on'""",
 }

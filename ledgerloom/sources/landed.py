@@ -80,53 +80,119 @@ def read_papers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PAPER).json(path)
 
 
-RSS_ITEM = "title string, link string, description string, pubDate string, updated string"
-ATOM_ENTRY = "title string, link struct<_href:string>, summary string, published string, updated string"
-
-
-def _item(title: Column, link: Column, summary: Column, date: Column, other_date: Column) -> Column:
+RSS_ITEM = (
+    "title string, link string, description string, `content:encoded` string, pubDate string, updated string, `dc:date` string"
+)
+ATOM_ENTRY = (
+    "title string, link array<struct<_rel:string,_href:string>>, summary string, content string, published string, updated string, "
+    "`dc:date` string"
+)
+_BROKEN = "_broken"
+# An ampersand that starts none of XML's own references; inside CDATA it needs no escape.
+_BARE_AMPERSAND = r"&(?!(?:#[0-9]+|#x[0-9a-fA-F]+|amp|lt|gt|quot|apos);)(?![^<]*\]\]>)"
+_ENTRY = r"(?is)<(item|entry)\b[^>]*>.*?</\1\s*>"
+_ENTRY_START = r"(?i)<(?:item|entry)\b"
+_ITEM_TYPE = "struct<title:string,link:string,summary:string,raw_date:string>"
+NO_BODY = "no body"
+UNREADABLE_BODY = "unreadable body"
+UNREADABLE_ENTRY = "unreadable entry"
+
+
+def _item(title: Column, link: Column, summary: Column, date: Column) -> Column:
     return F.struct(
         title.alias("title"),
         strip(link).alias("link"),
         summary.alias("summary"),
-        first_non_empty(date, other_date).alias("raw_date"),
+        date.alias("raw_date"),
     )
 
 
 def _rss(item: Callable[[str], Column]) -> Column:
-    return _item(item("title"), item("link"), item("description"), item("pubDate"), item("updated"))
+    date = first_non_empty(item("pubDate"), item("updated"), item("dc:date"))
+    return _item(item("title"), item("link"), first_non_empty(item("description"), item("content:encoded")), date)
 
 
 def _atom(entry: Callable[[str], Column]) -> Column:
-    return _item(entry("title"), entry("link")["_href"], entry("summary"), entry("published"), entry("updated"))
+    """The link is the first one to the entry's own page; enclosures and the like are other things."""
+    own = F.filter(entry("link"), lambda link: F.coalesce(link["_rel"], F.lit("alternate")) == "alternate")
+    date = first_non_empty(entry("published"), entry("updated"), entry("dc:date"))
+    return _item(entry("title"), F.get(own, F.lit(0))["_href"], first_non_empty(entry("summary"), entry("content")), date)
+
+
+def _column(name: str) -> Column:
+    return F.col(f"`{name}`")
 
 
 def read_rss(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Items of RSS files: ``source, title, link, summary, raw_date``."""
     items = spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM).load(path)
-    return items.select(F.lit(source).alias("source"), _rss(F.col).alias("item")).select("source", "item.*")
+    return items.select(F.lit(source).alias("source"), _rss(_column).alias("item")).select("source", "item.*")
 
 
 def read_atom(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Entries of Atom files, in the same columns as ``read_rss``."""
     entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
-    return entries.select(F.lit(source).alias("source"), _atom(F.col).alias("item")).select("source", "item.*")
+    return entries.select(F.lit(source).alias("source"), _atom(_column).alias("item")).select("source", "item.*")
 
 
-def feed_items(landed: DataFrame) -> DataFrame:
-    """Items of landed feed bodies (``source, body``), RSS and Atom; ``seq`` is the list position.
+def _entries(landed: DataFrame) -> DataFrame:
+    """One row per entry: ``source, seq, item, reject_reason``.
 
-    A feed without a readable body gives no items.
+    A body that is no XML is read again with its bare ampersands escaped; if that fails too, its complete
+    entries are read one by one.
     """
+    options = {"columnNameOfCorruptRecord": _BROKEN}
     schema = (
         f"channel struct<item:array<struct<{RSS_ITEM}>>>, item array<struct<{RSS_ITEM}>>, "
-        f"entry array<struct<{ATOM_ENTRY}>>"
+        f"entry array<struct<{ATOM_ENTRY}>>, {_BROKEN} string"
     )
-    feeds = landed.where(F.col("body").isNotNull()).select("source", F.from_xml("body", schema).alias("feed"))
+    escaped = F.regexp_replace("body", _BARE_AMPERSAND, "&amp;")
+    rows = landed.select("source", "body", F.from_xml("body", schema, options).alias("strict"))
+    again = F.when(F.col("body").isNull() | F.col(f"strict.{_BROKEN}").isNotNull(), F.from_xml(escaped, schema, options))
+    rows = rows.withColumn("feed", F.coalesce(again, "strict")).withColumn("escaped", escaped)
     rss = F.transform(F.coalesce("feed.channel.item", "feed.item"), lambda i: _rss(lambda name: i[name]))
     atom = F.transform("feed.entry", lambda e: _atom(lambda name: e[name]))
-    items = F.coalesce(rss, atom)
-    return feeds.select("source", F.posexplode(items).alias("seq", "item")).select("source", "seq", "item.*")
+    found = F.regexp_extract_all("escaped", F.lit(_ENTRY), F.lit(0))
+    cut_off = F.when(F.regexp_count("escaped", F.lit(_ENTRY_START)) > F.size(found), F.array(F.lit("")))
+    fragments = F.concat(found, F.coalesce(cut_off, F.array().cast("array<string>")))
+    unknown = F.lit(None).cast(_ITEM_TYPE)
+    no_text = F.lit(None).cast("string")
+    row = lambda item, text, reason: F.struct(item.alias("item"), text.alias("text"), reason.alias("reason"))
+    broken = F.col(f"feed.{_BROKEN}").isNotNull()
+    entries = (
+        F.when(F.col("body").isNull(), F.array(row(unknown, no_text, F.lit(NO_BODY))))
+        .when(broken & (F.size(fragments) == 0), F.array(row(unknown, no_text, F.lit(UNREADABLE_BODY))))
+        .when(broken, F.transform(fragments, lambda text: row(unknown, text, no_text)))
+        .otherwise(F.transform(F.coalesce(rss, atom), lambda item: row(item.cast(_ITEM_TYPE), no_text, no_text)))
+    )
+    each = rows.select("source", F.posexplode(entries).alias("seq", "e")).select("source", "seq", "e.*")
+    alone = f"{RSS_ITEM.replace('link string', 'link array<struct<_VALUE:string,_rel:string,_href:string>>')}, summary string, content string, published string, {_BROKEN} string"
+    each = each.withColumn("one", F.from_xml("text", alone, options))
+    part = lambda name: F.col("one")[name]
+    own = F.filter(part("link"), lambda x: F.coalesce(x["_rel"], F.lit("alternate")) == "alternate")
+    first = F.get(own, F.lit(0))
+    summary = first_non_empty(part("description"), part("summary"), part("content:encoded"), part("content"))
+    date = first_non_empty(part("pubDate"), part("published"), part("updated"), part("dc:date"))
+    single = _item(part("title"), first_non_empty(first["_href"], first["_VALUE"]), summary, date)
+    unreadable = F.when(F.col("text").isNotNull() & part(_BROKEN).isNotNull(), F.lit(UNREADABLE_ENTRY))
+    reason = F.coalesce("reason", unreadable)
+    item = F.when(F.col("text").isNull(), F.col("item")).otherwise(single.cast(_ITEM_TYPE))
+    return each.select("source", "seq", item.alias("item"), reason.alias("reject_reason"))
+
+
+def feed_items(landed: DataFrame) -> DataFrame:
+    """Items of landed feed bodies (``source, body``), RSS and Atom; ``seq`` is the list position.
+
+    What cannot be read is in ``rejected_entries``.
+    """
+    return _entries(landed).where(F.col("reject_reason").isNull()).select("source", "seq", "item.*")
+
+
+def rejected_entries(landed: DataFrame) -> DataFrame:
+    """``source, seq, reject_reason`` of bodies and entries that cannot be read; ``seq`` is null for a whole body."""
+    lost = _entries(landed).where(F.col("reject_reason").isNotNull())
+    seq = F.when(F.col("reject_reason") == UNREADABLE_ENTRY, F.col("seq"))
+    return lost.select("source", seq.alias("seq"), "reject_reason")
 
 
 def union_feeds(feeds: Mapping[str, Callable[[str], DataFrame] | DataFrame]) -> DataFrame:

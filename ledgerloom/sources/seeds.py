@@ -46,10 +46,3 @@ def board_candidates(
 def labels(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
     """A one-column dimension, used to fill counts with zeros."""
     return spark.createDataFrame(pa.table({name: pa.array(values, pa.string())}))
-
-
-def feed_catalogue(spark: SparkSession, feeds: dict[str, str] | None = None) -> DataFrame:
-    table = fv.FEEDS if feeds is None else feeds
-    return spark.createDataFrame(
-        pa.table({"source": pa.array(table.keys(), pa.string()), "url": pa.array(table.values(), pa.string())})
-    )

@@ -7,7 +7,7 @@ from ledgerloom import fixed_values as fv
 from ledgerloom.plans import ingest
 from ledgerloom.sinks.store import Store
 from ledgerloom.sources import landed as L
-from ledgerloom.sources.seeds import board_candidates, feed_catalogue, seed_names
+from ledgerloom.sources.seeds import board_candidates, seed_names
 from tests_support import AT
 
 NOW = datetime(2026, 7, 19, 12)
@@ -28,7 +28,6 @@ def test_dimensions(spark):
     assert seed_names(spark).count() == len(fv.SEED_NAMES)
     assert [tuple(r) for r in board_candidates(spark).where("company = 'OpenAI'").orderBy("rank").collect()] == [
         ("OpenAI", 0, "ashby", "openai"), ("OpenAI", 1, "greenhouse", "openai")]
-    assert feed_catalogue(spark).count() == len(fv.FEEDS)
 
 
 def test_company_snapshot_and_startup_ingest(spark, tmp_path):
@@ -201,3 +200,38 @@ def test_payload_records(spark):
     assert [(r.content.company, r.content.date, r.content.role_family) for r in found] == [
         ("Co", datetime(2026, 7, 19, 8), "Sales"), ("Co", None, "Sales")]
     assert found[0].collectedAt == datetime(2026, 7, 19, 12, 0, 0, 123456)
+
+
+def test_feed_readers_are_lenient_and_account_for_losses(spark):
+    bodies = [
+        ("links", '<feed><entry><title>t</title><link rel="enclosure" href="https://f/1.mp3"/><link rel="alternate" href="https://f/1"/>'
+                  "<content>body text</content></entry></feed>"),
+        ("dates", "<rss><channel><item><title>d</title><link>https://f/2</link><dc:date>2026-07-19</dc:date></item></channel></rss>"),
+        ("amp", "<rss><channel><item><title>a</title><link>https://f/3</link></item><item><title>b & c</title><link>https://f/4?x=1&y=2</link></item></channel></rss>"),
+        ("cut", "<rss><channel><item><title>e</title><link>https://f/5</link></item><item><title>f"),
+        ("bad", "<rss><channel><item><title>g</b></item><item><title>h</title><link>https://f/6</link></item></channel></rss>"),
+        ("none", None), ("text", "no xml"), ("empty", "<rss><channel><title>x</title></channel></rss>"),
+        ("cdata", "<rss><channel><item><title><![CDATA[a & b]]></title><link>https://f/7</link></item></channel></rss>"),
+    ]
+    landed_rows = spark.createDataFrame(bodies, "source string, body string")
+    items = {(r.source, r.link): (r.title, r.summary, r.raw_date) for r in L.feed_items(landed_rows).collect()}
+    assert items == {
+        ("links", "https://f/1"): ("t", "body text", None), ("dates", "https://f/2"): ("d", None, "2026-07-19"),
+        ("amp", "https://f/3"): ("a", None, None), ("amp", "https://f/4?x=1&y=2"): ("b & c", None, None),
+        ("cut", "https://f/5"): ("e", None, None), ("bad", "https://f/6"): ("h", None, None), ("cdata", "https://f/7"): ("a & b", None, None),
+    }
+    lost = sorted((r.source, r.seq, r.reject_reason) for r in L.rejected_entries(landed_rows).collect())
+    assert lost == [
+        ("bad", 0, "unreadable entry"), ("cut", 1, "unreadable entry"), ("none", None, "no body"), ("text", None, "unreadable body"),
+    ]
+
+
+def test_null_job_list_is_no_answer(values):
+    responded = L.board_responded(F.lit("ashby"), F.col("x"), F.lit(None).cast("string"))
+    assert values(['{"jobs": null}', '{"jobs": []}', "{}", '{"jobs": 3}', "[]"], responded) == [False, True, True, False, False]
+
+
+def test_nested_skipped_elements(values):
+    from ledgerloom.functions.html import main_text
+
+    assert values(["<nav><script>x</script>menu</nav><p>body</p>"], main_text(F.col("x"))) == ["body"]
