@@ -172,7 +172,7 @@ def salted_lookup(spark: SparkSession, sf: str) -> DataFrame:
     papers = table(spark, sf, "documents").select(
         "doc_id", F.concat(F.lit("https://github.com/"), F.col("lang"), F.lit("/"), F.col("source")).alias("github_url")
     )
-    return repo_stars(papers, repo_stats(spark, sf), "github_url", "doc_id", min_hot_rows=2, salts=4).select("doc_id", "github_stars")
+    return repo_stars(papers, repo_stats(spark, sf), "github_url", "doc_id", min_hot_rows=2).select("doc_id", "github_stars")
 
 
 def company_rows(spark: SparkSession, sf: str) -> DataFrame:

@@ -61,7 +61,7 @@ def alias_exact(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.concat(F.lit("Elsewhere "), number))
     )
     names = table(spark, sf, "customer").select("c_custkey", raw.alias("raw_name"))
-    log = mapping_log(names, seeds, "c_custkey", min_hot_rows=50, salts=4)
+    log = mapping_log(names, seeds, "c_custkey", min_hot_rows=50)
     return log.select("c_custkey", "canonical_name", "method")
 
 

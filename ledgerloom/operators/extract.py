@@ -128,16 +128,24 @@ def enum_backfill(
 ) -> DataFrame:
     """Fill a null enum from validated answers; adds ``new_value`` and the resulting ``value``.
 
-    Only rows with a null value and a non-blank text are looked at; an answer outside the
-    allowed values is no answer.
+    Only rows with a null value and a non-blank text are looked at, and only their keys meet the
+    responses; an answer outside the allowed values is no answer.
     """
     open_row = F.col(stored).isNull() & ~is_blank(F.col(text))
-    tried = provider_fallback(records, responses, key, **options)
-    answer = valid_enum(variant_string(F.col("data"), field), allowed)
+    wanted = records.where(open_row).select(key).distinct()
+    mine = responses.join(wanted, key, "left_semi")
+    tried = provider_fallback(wanted, mine, key, **options)
+    answers = tried.select(
+        F.col(key).alias("_open"),
+        valid_enum(variant_string(F.col("data"), field), allowed).alias("_answer"),
+        F.col("provider_used").alias("_provider"),
+    )
     return (
-        tried.withColumn("new_value", F.when(open_row, answer))
+        records.join(answers, F.col(key) == F.col("_open"), "left")
+        .withColumn("provider_used", F.when(open_row, F.col("_provider")))
+        .withColumn("new_value", F.when(open_row, F.col("_answer")))
         .withColumn("value", fill_nulls(F.col(stored), F.col("new_value")))
-        .drop("data", "attempts")
+        .drop("_open", "_answer", "_provider")
     )
 
 

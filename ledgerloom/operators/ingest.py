@@ -32,30 +32,39 @@ def first_reason(*reasons: Column) -> Column:
     return F.coalesce(*reasons)
 
 
-def decide(
-    rows: DataFrame,
-    seen: DataFrame,
-    key: str,
-    seq: Sequence[str],
-    reason: Column,
-) -> DataFrame:
-    """One row per key, the first in landing order, with ``outcome`` and the number of ``copies``.
+def firsts(rows: DataFrame, seen: DataFrame, key: str, seq: Sequence[str]) -> DataFrame:
+    """One row per key, the first in landing order, with the number of ``copies`` and whether the key is ``_seen``.
 
-    The copies are combined before the shuffle. A key that was seen before is settled whatever its
-    content; otherwise the first row's ``reason`` decides, and a null reason means saved.
+    The copies are combined before the shuffle. Call it on the narrow landed columns; what is worked
+    out of them is then worked out once per key.
     """
     rest = [c for c in rows.columns if c != key]
     order = F.struct(*[F.col(c) for c in seq])
-    firsts = rows.groupBy(key).agg(
+    one = rows.groupBy(key).agg(
         F.min_by(F.struct(*[F.col(c) for c in rest]), order).alias("_first"),
         F.count(F.lit(1)).alias("copies"),
     ).select(key, "_first.*", "copies")
     known = seen.select(F.col(key).alias("_seen_key")).distinct()
-    joined = firsts.join(known, F.col(key) == F.col("_seen_key"), "left")
-    outcome = F.when(F.col("_seen_key").isNotNull(), F.lit(ALREADY_SEEN)).otherwise(
-        F.coalesce(reason, F.lit(SAVED))
-    )
-    return joined.withColumn("outcome", outcome).drop("_seen_key")
+    joined = one.join(known, F.col(key) == F.col("_seen_key"), "left")
+    return joined.withColumn("_seen", F.col("_seen_key").isNotNull()).drop("_seen_key")
+
+
+def settle(rows: DataFrame, reason: Column) -> DataFrame:
+    """Add ``outcome``: a key that was seen before is settled whatever its content; otherwise the
+    ``reason`` decides, and a null reason means saved."""
+    outcome = F.when(F.col("_seen"), F.lit(ALREADY_SEEN)).otherwise(F.coalesce(reason, F.lit(SAVED)))
+    return rows.withColumn("outcome", outcome).drop("_seen")
+
+
+def decide(
+    rows: DataFrame,
+    seen: DataFrame,
+    key: str,
+    seq: Sequence[str],
+    reason: Column,
+) -> DataFrame:
+    """One row per key, the first in landing order, with ``outcome`` and the number of ``copies``."""
+    return settle(firsts(rows, seen, key, seq), reason)
 
 
 def accounting(decisions: DataFrame) -> DataFrame:

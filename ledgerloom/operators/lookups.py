@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import first_non_empty
 from ledgerloom.functions.urls import canonical_url, owner_repo, paper_short_id, repo_url
-from ledgerloom.operators.skew import HOT_ROWS, SALTS, lookup
+from ledgerloom.operators.skew import HOT_ROWS, lookup
+from ledgerloom.session import written
 
 
 def repo_stars(
@@ -16,11 +17,11 @@ def repo_stars(
     url: str,
     spread: str,
     min_hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Add ``github_stars`` by owner and repository; an unknown repository gives null, not 0.
 
-    Many papers may link the same repository, so hot repositories are salted.
+    Many papers may link the same repository, so hot repositories are salted. The papers are written
+    once, as both their counts and the lookup use what was worked out for them.
     """
     parts = owner_repo(F.col(url))
     keyed = papers.withColumn("_repo", F.concat_ws("/", parts["owner"], parts["repo"]))
@@ -30,10 +31,10 @@ def repo_stars(
     )
     # Papers without a repository would share one null key; each gets a key of its own instead.
     alone = F.concat(F.lit("#"), F.col(spread).cast("string"))
-    keyed = keyed.withColumn("_repo", F.coalesce("_repo", alone))
-    counts = keyed.where(parts.isNotNull()).groupBy("_repo").agg(F.count(F.lit(1)).alias("_rows"))
+    keyed = written(keyed.withColumn("_linked", parts.isNotNull()).withColumn("_repo", F.coalesce("_repo", alone)), "repo-keys")
+    counts = keyed.where("_linked").groupBy("_repo").agg(F.count(F.lit(1)).alias("_rows"))
     stars = counts.join(unique, "_repo")
-    return lookup(keyed, stars, counts, "_repo", "_rows", F.col(spread), min_hot_rows, salts).drop("_repo")
+    return lookup(keyed.drop("_linked"), stars, counts, "_repo", "_rows", F.col(spread), min_hot_rows).drop("_repo")
 
 
 def linked_repo(papers: DataFrame, index: DataFrame, entry_id: str, comment: str, summary: str) -> DataFrame:

@@ -23,7 +23,7 @@ from ledgerloom.functions.similarity import (
     passes_cutoff,
 )
 from ledgerloom.functions.text import normalize_name, strip
-from ledgerloom.operators.skew import HOT_ROWS, SALTS, lookup
+from ledgerloom.operators.skew import HOT_ROWS, lookup
 from ledgerloom.session import written
 from ledgerloom.sources.seeds import labels
 
@@ -83,9 +83,17 @@ def candidate_segments(candidates: DataFrame, cutoff: int) -> DataFrame:
     )
 
 
-def name_probes(names: DataFrame, norm: str, cutoff: int) -> DataFrame:
+def candidate_lengths(candidates: DataFrame) -> DataFrame:
+    """``cand_len``: the distinct lengths of the candidates."""
+    return candidates.select(F.length("cand").alias("cand_len")).where("cand_len > 0").distinct()
+
+
+def name_probes(names: DataFrame, norm: str, cutoff: int, lengths: DataFrame) -> DataFrame:
     """Every segment text that an acceptable candidate of a name could share with it.
 
+    Names meet the tiny table of candidate ``lengths`` before their segments are laid out, so a name
+    beyond the reach of every candidate has no probes.
+
     With segment ``i`` as the first one the edits spare, exactly ``i - 1`` edits lie before it. So
     its shift has the parity and range of ``i - 1`` single insertions and deletions, and the rest
     of the budget must cover the remaining length difference.
@@ -104,6 +112,7 @@ def name_probes(names: DataFrame, norm: str, cutoff: int) -> DataFrame:
         .withColumn("pairs", pair_mask(F.col(norm)))
         .where("norm_len > 0")
         .withColumn("cand_len", F.explode(F.sequence(low, high)))
+        .join(lengths, "cand_len", "left_semi")
         .withColumn("parts", _segments(F.col("cand_len"), cutoff))
         .withColumn("budget", budget)
         .withColumn("seg_no", F.explode(F.sequence(F.lit(1), F.least(F.col("parts"), F.col("budget") + 1))))
@@ -130,9 +139,10 @@ def best_fuzzy(
     if not 80 <= cutoff <= 100:
         raise ValueError("the cut-off must lie between 80 and 100")
     total = F.length(norm) + F.length("cand")
-    pairs = name_probes(names.select(norm), norm, cutoff).join(
-        candidate_segments(candidates, cutoff), ["cand_len", "seg_no", "seg"]
-    )
+    probes = name_probes(names.select(norm), norm, cutoff, candidate_lengths(candidates))
+    # A segment that many names and candidates share is one key of this join. The sides meet in a plain
+    # shuffle join with nothing grouped above it, which AQE splits by size (forced in ``session.SETTINGS``).
+    pairs = probes.join(candidate_segments(candidates, cutoff), ["cand_len", "seg_no", "seg"])
     # Short segments are shared by many names; the masks drop nearly all of those pairs at the cost
     # of a few machine instructions each. Plain edit distance never exceeds insertions plus
     # deletions, so its bound loses no match. One CASE keeps the tests in this order, cheap ones
@@ -218,12 +228,11 @@ def mapping_log(
     spread: str,
     raw: str = "raw_name",
     min_hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """One mapping per record, matched or not. Names are resolved once and joined back, hot names salted."""
     counts = written(distinct_names(names, raw), "name-counts")
     resolved = resolve_distinct(counts, seeds, raw)
-    return lookup(names, resolved, counts, raw, "records", F.col(spread), min_hot_rows, salts)
+    return lookup(names, resolved, counts, raw, "records", F.col(spread), min_hot_rows)
 
 
 def method_counts(resolved: DataFrame, records: str = "records") -> DataFrame:

@@ -6,17 +6,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-SALTS = 64
+# A key below this part of all rows is no burden among so many tasks; it also bounds the number of hot keys.
+HOT_SHARE = 10_000
 
 
-def hot_keys(counts: DataFrame, key: str, rows: str, min_rows: int = HOT_ROWS) -> DataFrame:
-    """The keys with at least ``min_rows`` rows, from a table of distinct keys and their row counts.
-
-    There are at most ``all rows / min_rows`` of them: 200 billion rows give at most 200,000 short
-    keys, some megabytes, whatever the number of distinct keys. That bound is what makes
-    broadcasting them safe; raise ``min_rows`` with the data to keep it.
-    """
-    return counts.where(F.col(key).isNotNull() & (F.col(rows) >= min_rows)).select(F.col(key).alias("_hot"))
+def hot_keys(counts: DataFrame, key: str, rows: str, min_rows: int = HOT_ROWS, share: int = HOT_SHARE) -> DataFrame:
+    """Keys with at least ``min_rows`` rows and a ``share``-th part of all, with the ``_salts`` that leave
+    ``min_rows`` rows to each. ``counts`` has distinct keys and their rows; at most ``share`` keys are hot."""
+    total = counts.agg(F.sum(rows)).scalar()
+    hot = F.col(key).isNotNull() & (F.col(rows) >= min_rows) & (F.col(rows) * share >= total)
+    return counts.where(hot).select(F.col(key).alias("_hot"), F.ceil(F.col(rows) / min_rows).cast("int").alias("_salts"))
 
 
 def lookup(
@@ -27,17 +26,17 @@ def lookup(
     rows: str,
     spread: Column,
     min_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    share: int = HOT_SHARE,
 ) -> DataFrame:
     """Left join to a table that is unique on ``key``.
 
-    ``counts`` and ``right`` both have the number of left ``rows`` per key; ``counts`` is the cheaper
-    one to read. Left rows of a hot key are spread over ``salts`` tasks by ``spread`` (a column that varies
-    within the key), and only the right rows of hot keys are repeated, ``salts`` times each.
+    ``counts`` has the number of left ``rows`` per key. Left rows of a hot key are spread over as many
+    tasks as its rows call for, by ``spread`` (a column that varies within the key), and only the right
+    rows of hot keys are repeated. The few hot keys are joined in whatever way Spark finds best.
     """
-    hot = F.broadcast(hot_keys(counts, key, rows, min_rows))
-    salt = F.when(F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(0)
-    salted = left.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot")
-    all_salts = F.when(F.col(rows) >= min_rows, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copies = right.withColumn("_salt", F.explode(all_salts)).drop(rows)
-    return salted.join(copies, [key, "_salt"], "left").drop("_salt")
+    hot = hot_keys(counts, key, rows, min_rows, share)
+    salt = F.coalesce(F.pmod(F.xxhash64(spread), F.col("_salts")).cast("int"), F.lit(0))
+    salted = left.join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", salt).drop("_hot", "_salts")
+    all_salts = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    copies = right.drop(rows).join(hot, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(all_salts))
+    return salted.join(copies.drop("_hot", "_salts"), [key, "_salt"], "left").drop("_salt")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions.urls import is_http_url
+from ledgerloom.session import run_folder
 
 CONTENT = {
     "STARTUP": "struct<entityName:string,data:struct<employeeCount:bigint>>",
@@ -80,10 +81,15 @@ def reject_reasons(rules: list[Column]) -> Column:
 
 
 def split_valid(df: DataFrame, rules: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Valid rows, and rejected rows with ``reject_reason``. No row is coerced or lost."""
-    checked = df.withColumn("reject_reason", reject_reasons(rules))
-    valid = checked.where(F.size("reject_reason") == 0).drop("reject_reason")
-    return valid, checked.where(F.size("reject_reason") > 0)
+    """Valid rows, and rejected rows with ``reject_reason``. No row is coerced or lost.
+
+    The checked rows are written once, in a folder for each of the two, so neither repeats the other's work.
+    """
+    checked = df.withColumn("reject_reason", reject_reasons(rules)).withColumn("_valid", F.size("reject_reason") == 0)
+    path = run_folder(df.sparkSession, "checked")
+    checked.write.partitionBy("_valid").parquet(path)
+    back = df.sparkSession.read.schema(checked.schema).parquet(path)
+    return back.where("_valid").drop("reject_reason", "_valid"), back.where("NOT _valid").drop("_valid")
 
 
 def split_records(df: DataFrame, record_type: str) -> tuple[DataFrame, DataFrame]:

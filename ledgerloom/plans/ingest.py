@@ -24,7 +24,7 @@ from ledgerloom.functions.text import (
     strip,
 )
 from ledgerloom.functions.urls import company_profile_url
-from ledgerloom.operators.dedup import exclude_seen, first_per_key, require
+from ledgerloom.operators.dedup import exclude_seen, first_per_key, latest_per_key, require
 from ledgerloom.operators.ingest import (
     ALREADY_SEEN,
     INVALID,
@@ -32,8 +32,10 @@ from ledgerloom.operators.ingest import (
     SAVED,
     decide,
     first_reason,
+    firsts,
     freshness_reason,
     keys_to_mark,
+    settle,
 )
 from ledgerloom.operators.lookups import linked_repo, repo_stars
 from ledgerloom.operators.ranking import newest_first, prominence_topk, top_rows
@@ -78,7 +80,8 @@ def products(posts: DataFrame, seen: DataFrame, k: int, at: Column) -> DataFrame
 
     Only new rows use up the quota; rows after the ``k``-th are left for a later run.
     """
-    named = require(posts, "url", "name")
+    fields = ["url", "seq", "name", "tagline", "description", "makers"]
+    named = firsts(require(posts, "url", "name").select(*fields), seen, "url", ["seq"])
     maker = F.get(F.col("makers.name"), F.lit(0))
     text = pricing_text(F.col("tagline"), F.col("description"))
     content = F.struct(
@@ -88,9 +91,11 @@ def products(posts: DataFrame, seen: DataFrame, k: int, at: Column) -> DataFrame
         "url",
         "seq",
         text.alias("raw_text"),
+        "copies",
+        "_seen",
         *envelope("PRODUCT", F.lit(fv.PRODUCT_SOURCE), F.col("url"), content, at),
     )
-    decisions = decide(enveloped, seen, "url", ["seq"], invalid_reason("PRODUCT"))
+    decisions = settle(enveloped, invalid_reason("PRODUCT"))
     return top_rows(decisions.where(F.col("outcome") == SAVED), [F.col("seq").asc()], k)
 
 
@@ -126,27 +131,33 @@ def news(
     now: Column,
     at: Column,
     landing: Sequence[str] = ("source", "seq"),
+    page_order: str | None = None,
 ) -> DataFrame:
     """Relevant items that are fresh or have no date.
 
     ``items`` has ``source, title, link, summary, raw_date, seq``, and ``landing`` names the columns
-    that give its order; ``pages`` has ``url, html`` and is read for saved items only.
+    that give its order; ``pages`` has ``url, html`` and is read for saved items only. Of several landed
+    pages of a URL the last one by ``page_order`` counts.
+
+    Copies go first; relevance and dates are worked out once per key, and relevance only of new keys.
+    The decisions are written once, for the pages and the result both start from them.
     """
-    rows = require(items.withColumnRenamed("link", "url"), "url").withColumn(
-        "published", normalize_date(F.col("raw_date"), now)
-    )
-    relevant = is_relevant(F.col("title"), F.col("summary"))
+    rows = require(items.withColumnRenamed("link", "url"), "url")
+    order = F.struct(*[F.col(c) for c in landing])
+    narrow = rows.select("url", order.alias("landing"), "source", "title", "summary", "raw_date")
+    single = firsts(narrow, seen, "url", ["landing"])
+    relevant = F.when(~F.col("_seen"), is_relevant(F.col("title"), F.col("summary")))
+    judged = single.withColumn("_relevant", relevant)
+    dated = judged.withColumn("published", normalize_date(F.col("raw_date"), now))
     reason = first_reason(
-        F.when(~relevant, F.lit(IRRELEVANT)), freshness_reason(F.col("published"), now, dateless="keep")
+        F.when(~F.col("_relevant"), F.lit(IRRELEVANT)), freshness_reason(F.col("published"), now, dateless="keep")
     )
-    order = F.struct(*[F.col(c) for c in landing])
-    narrow = rows.select("url", order.alias("landing"), "source", "title", "summary", "published")
-    decisions = decide(narrow, seen, "url", ["landing"], reason)
+    kept = settle(dated, reason).select("url", "source", "title", "published", "copies", "outcome")
+    decisions = written(kept, "news-decisions")
     wanted = decisions.where(F.col("outcome") == SAVED).select("url")
-    bodies = (
-        first_per_key(pages.join(wanted, "url", "left_semi"), ["url"], "html")
-        .select("url", main_text(F.col("html")).alias("_body"))
-    )
+    landed = pages.join(wanted, "url", "left_semi")
+    latest = latest_per_key(landed, ["url"], *([page_order] if page_order else []), "html")
+    bodies = latest.select("url", main_text(F.col("html")).alias("_body"))
     content = F.struct("title", F.col("published").alias("publishedDate"), F.col("_body").alias("fullText"))
     return decisions.withColumnRenamed("source", "feed").join(bodies, "url", "left").select(
         "url", "outcome", "copies", *envelope("NEWS", F.col("feed"), F.col("url"), content, at)
@@ -158,7 +169,9 @@ def jobs(listings: DataFrame, seen: DataFrame, now: Column, at: Column) -> DataF
 
     ``listings`` are the rows of ``board_jobs``.
     """
-    rows = require(listings.withColumnRenamed("job_url", "url"), "url")
+    landed = require(listings.withColumnRenamed("job_url", "url"), "url")
+    fields = ["url", "company", "platform", "seq", "title", "location", "remote", "published"]
+    rows = firsts(landed.select(*fields), seen, "url", ["company", "seq"])
     content = F.struct(
         "company",
         F.col("published").alias("date"),
@@ -166,11 +179,11 @@ def jobs(listings: DataFrame, seen: DataFrame, now: Column, at: Column) -> DataF
         role_family(F.col("title")).alias("role_family"),
     )
     label = source_label(F.col("company"), F.col("platform"))
-    enveloped = rows.select("url", "seq", "company", *envelope("JOB", label, F.col("url"), content, at))
+    enveloped = rows.select("url", "copies", "_seen", *envelope("JOB", label, F.col("url"), content, at))
     reason = first_reason(
         freshness_reason(F.col("content.date"), now, dateless="drop"), invalid_reason("JOB")
     )
-    return decide(enveloped, seen, "url", ["company", "seq"], reason)
+    return settle(enveloped, reason)
 
 
 def rejections(decisions: DataFrame, record_type: str) -> DataFrame:
@@ -183,6 +196,8 @@ def rejections(decisions: DataFrame, record_type: str) -> DataFrame:
 def commit(store: Store, record_type: str, batch_id: int, decisions: DataFrame, at: Column) -> int:
     """Store the saved records of a batch and mark their keys; see ``Store.commit``."""
     marks_rejected = MARKS_REJECTED[record_type]
+    if marks_rejected:  # two uses: the saved records and the rejected keys
+        decisions = written(decisions, "decisions")
     rejected = decisions.where(F.col("outcome") != SAVED) if marks_rejected else decisions.where(F.lit(False))
     marked = keys_to_mark(rejected, "url", marks_rejected)
     return store.commit(record_type, batch_id, saved_records(decisions), marked, at)

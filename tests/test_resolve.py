@@ -98,6 +98,13 @@ def test_fuzzy_equals_brute_force(spark, cutoff):
     assert got == expected and len(expected) > 30
 
 
+def test_a_junk_name_has_no_probes(spark):
+    candidates = R.canonical_dimension(seed_names(spark))
+    names = spark.createDataFrame([("x" * 5000,), ("antropic",)], "norm string")
+    probes = R.name_probes(names, "norm", 90, R.candidate_lengths(candidates))
+    assert {r.norm for r in probes.select("norm").distinct().collect()} == {"antropic"}
+
+
 def test_cutoff_limits(spark):
     left = spark.createDataFrame([("a",)], "norm string")
     with pytest.raises(ValueError):
@@ -126,6 +133,6 @@ def test_method_counts_are_zero_filled(spark):
 def test_mapping_log_with_a_hot_name(spark):
     rows = [(f"u{i}", "Open AI" if i % 3 else f"Name {i}") for i in range(300)]
     names = spark.createDataFrame(rows, "url string, raw_name string")
-    log = R.mapping_log(names, seed_names(spark), "url", min_hot_rows=50, salts=8).collect()
+    log = R.mapping_log(names, seed_names(spark), "url", min_hot_rows=50).collect()
     assert len(log) == 300 and {r.url for r in log} == {u for u, _ in rows}
     assert all(r.canonical_name == ("OpenAI" if r.raw_name == "Open AI" else r.raw_name) for r in log)
