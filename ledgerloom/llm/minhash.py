@@ -6,10 +6,11 @@ about one in a million), so it is enough to post each under its ``COORDS - MATCH
 that agree often enough share one of those. That prefix skips the long lists of common pairs.
 
 Only connections are asked for, so a list is not expanded into all its pairs. First every member of a list meets the
-list's least document; pairs whose sketches agree in ``MATCHES`` coordinates are compared on full shingle sets. Then
-the lists are looked at again by component: documents outside a list's largest component meet all others of the list
-that they are not connected with. So each pair that shares a list is either compared or already connected. Equal
-shingle sets are one representative all along.
+list's least document. Then the lists are looked at again by component: documents outside a list's largest component
+meet one member of it, another one in every list. At last those that are still outside meet all others of the list that
+they are not connected with. So each pair that shares a list is either compared or already connected. Pairs are
+compared on full shingle sets if their sketches, two bits of each of ``SKETCH`` further coordinates, agree as often as
+similar documents do. Equal shingle sets are one representative all along.
 """
 
 from __future__ import annotations
@@ -29,13 +30,15 @@ from ledgerloom.session import written
 COORDS = 32
 MATCHES = 14
 PREFIX = COORDS - MATCHES + 1
+SKETCH = 128  # coordinates in the sketch, two bits of each
+AGREEING = 88  # of them; a pair at the threshold agrees in 109, with a deviation of 4
 PERCENT = 80
 SHINGLE = 2
 BUCKETS = 1 << 18  # of the table of pair frequencies, the only thing that is collected
 WORDS_HELD = 500_000
 
-_ODD = (np.random.default_rng(7).integers(1, 2**63, COORDS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
-_ADD = np.random.default_rng(8).integers(1, 2**63, COORDS, dtype=np.uint64)
+_ODD = (np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
+_ADD = np.random.default_rng(8).integers(1, 2**63, SKETCH, dtype=np.uint64)
 _K = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -71,45 +74,45 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The least permuted value in each coordinate."""
-    least = np.full(COORDS, 2**32 - 1, np.uint64)
-    for start in range(0, len(hashes), 8192):
-        part = hashes[start : start + 8192]
-        least = np.minimum(least, ((part[None, :] * _ODD[:, None] + _ADD[:, None]) >> np.uint64(32)).min(1))
-    return least.astype(np.uint32)
+    least = np.full(SKETCH, 2**64 - 1, np.uint64)
+    for start in range(0, len(hashes), 512):
+        part = hashes[start : start + 512]
+        least = np.minimum(least, (part[None, :] * _ODD[:, None] + _ADD[:, None]).min(1))
+    return (least >> np.uint64(32)).astype(np.uint32)
 
 
-def _sketch(signatures: np.ndarray) -> np.ndarray:
-    """Four bits of every coordinate, in two 64-bit numbers a row."""
-    bits = _mixed(signatures.astype(np.uint64) * _K) & np.uint64(15)
-    shifts = (np.arange(COORDS // 2, dtype=np.uint64) * np.uint64(4))[None, :]
-    return np.stack([(bits[:, h] << shifts).sum(1, dtype=np.uint64) for h in (slice(0, COORDS // 2), slice(COORDS // 2, COORDS))], 1).view(np.int64)
+def _sketch(signature: np.ndarray) -> np.ndarray:
+    """Two bits of every coordinate, in four 64-bit numbers."""
+    bits = _mixed(signature.astype(np.uint64) * _K) & np.uint64(3)
+    return (bits.reshape(4, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(1, dtype=np.uint64).view(np.int64)
 
 
 def _agreeing(a: Column, b: Column) -> Column:
-    """Equal four-bit groups of two 64-bit numbers."""
+    """Equal two-bit groups of two 64-bit numbers."""
     x = a.bitwiseXOR(b)
-    folded = x.bitwiseOR(F.shiftrightunsigned(x, 1))
-    folded = folded.bitwiseOR(F.shiftrightunsigned(folded, 2)).bitwiseAND(F.lit(0x1111111111111111))
-    return F.lit(COORDS // 2) - F.bit_count(folded)
+    return F.lit(32) - F.bit_count(x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555)))
 
 
 def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, set_id (digest of the shingle set) and signature; the last two are null without words."""
+    """doc_id, n_shingles, set_id (digest of the shingle set), signature (its first ``COORDS`` coordinates) and sketch; null without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts, ids, signed = [], [], []
+            counts, ids, signed, sketches = [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text, size)
                 counts.append(len(own))
                 ids.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
-                signed.append(signature(own).tobytes() if len(own) else None)
+                least = signature(own) if len(own) else None
+                signed.append(least[:COORDS].tobytes() if len(own) else None)
+                sketches.append(_sketch(least).tobytes() if len(own) else None)
             yield pa.record_batch(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.binary()), pa.array(signed, pa.binary())],
-                names=["doc_id", "n_shingles", "set_id", "signature"],
+                [batch.column(0), pa.array(counts, pa.int64()), *(pa.array(c, pa.binary()) for c in (ids, signed, sketches))],
+                names=["doc_id", "n_shingles", "set_id", "signature", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, "doc_id long, n_shingles long, set_id binary, signature binary")
+    kinds = "doc_id long, n_shingles long, set_id binary, signature binary, sketch binary"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, kinds)
 
 
 def _pairs_of(signed: np.ndarray) -> np.ndarray:
@@ -126,7 +129,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """Each representative under its rarest pairs: token, id, n, s1, s2."""
+    """Each representative under its rarest pairs: token, id, n and the sketch s1 to s4."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(BUCKETS, np.int64)
@@ -148,19 +151,35 @@ def postings(reps: DataFrame) -> DataFrame:
             signed = _matrix(batch.column("signature"))
             tokens = _pairs_of(signed)
             order = np.lexsort((tokens, often[_bucket(tokens)]), axis=1)[:, :PREFIX]
-            sketch = np.repeat(_sketch(signed), PREFIX, 0)
+            sketch = np.repeat(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.int64).reshape(-1, 4), PREFIX, 0)
             spread = [np.repeat(batch.column(c).to_numpy(), PREFIX) for c in ("id", "n")]
             yield pa.record_batch(
-                [pa.array(x) for x in (np.take_along_axis(tokens, order, 1).ravel(), *spread, sketch[:, 0], sketch[:, 1])], names=["token", "id", "n", "s1", "s2"]
+                [pa.array(x) for x in (np.take_along_axis(tokens, order, 1).ravel(), *spread, *sketch.T)], names=["token", *MEMBER]
             )
 
-    return reps.mapInArrow(post, "token long, id long, n long, s1 long, s2 long")
+    return reps.select("id", "n", "signature", "sketch").mapInArrow(post, "token long, id long, n long, s1 long, s2 long, s3 long, s4 long")
+
+
+MEMBER = ["id", "n", "s1", "s2", "s3", "s4"]
 
 
 def _alike(a: str, b: str, percent: int) -> Column:
     """Sizes that allow the similarity, and sketches that agree often enough."""
     sizes = (F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent)
-    return sizes & (_agreeing(F.col(f"{a}.s1"), F.col(f"{b}.s1")) + _agreeing(F.col(f"{a}.s2"), F.col(f"{b}.s2")) >= MATCHES)
+    return sizes & (sum(_agreeing(F.col(f"{a}.{s}"), F.col(f"{b}.{s}")) for s in MEMBER[2:]) >= AGREEING)
+
+
+def _pair(a: str, b: str) -> list[Column]:
+    return [F.least(f"{a}.id", f"{b}.id").alias("a"), F.greatest(f"{a}.id", f"{b}.id").alias("b")]
+
+
+def _open_lists(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the lists that hold several components, with their ``component`` and the list's largest one, ``main``."""
+    label = F.coalesce("component", "id").alias("component")
+    labelled = shared.join(found, shared["id"] == found["node"], "left").select("token", *MEMBER, label)
+    by_part = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
+    several = by_part.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
+    return labelled.join(several.where("parts > 1").select("token", "main"), "token")
 
 
 def _compared(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
@@ -199,38 +218,33 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     signed = written(signatures(docs, size), "signatures")
     reps = written(
         signed.where("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id")
-        .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature")), "representatives",
+        .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch")), "representatives",
     )
     least = -(-percent // max(1, 100 - percent))  # smaller sets are similar to equal ones only
     posted = written(postings(reps.where(F.col("n") >= least)), "postings")
-    met = posted.groupBy("token").agg(F.min(F.struct("id", "n", "s1", "s2")).alias("p"), F.count("*").alias("members")).where("members > 1")
-    pairs = (
-        posted.alias("m").join(met, "token").where(F.col("m.id") != F.col("p.id")).where(_alike("m", "p", percent))
-        .select(F.least("m.id", "p.id").alias("a"), F.greatest("m.id", "p.id").alias("b")).distinct()
-    )
-    pairs = written(pairs, "first-pairs")
-    links = written(_compared(pairs, docs, percent, size), "first-links")
-    found = written(components(links), "first-components")
-
-    label = F.coalesce("component", "id").alias("component")
-    shared = posted.join(met.select("token"), "token", "left_semi")
-    labelled = shared.join(found, shared["id"] == found["node"], "left").select("token", "id", "n", "s1", "s2", label)
-    by_part = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
-    open_lists = by_part.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    open_lists = written(labelled.join(open_lists.select("token", "main"), "token"), "open-lists")
-    outside = open_lists.where("component <> main").alias("o")
-    late = (
-        outside.join(open_lists.alias("m"), F.col("o.token") == F.col("m.token"))
+    met = posted.groupBy("token").agg(F.min(F.struct(*MEMBER)).alias("p"), F.count("*").alias("members")).where("members > 1")
+    first = posted.alias("m").join(met, "token").where((F.col("m.id") != F.col("p.id")) & _alike("m", "p", percent)).select(*_pair("m", "p")).distinct()
+    first = written(first, "first-pairs")
+    links = written(_compared(first, docs, percent, size), "first-links")
+    shared = written(posted.join(met.select("token"), "token", "left_semi"), "shared-lists")
+
+    lists = written(_open_lists(shared, components(links)), "open-lists")
+    inside = lists.where("component = main").groupBy("token").agg(F.min_by(F.struct(*MEMBER), F.xxhash64("id", "token")).alias("p"))
+    second = lists.where("component <> main").alias("m").join(inside, "token").where(_alike("m", "p", percent)).select(*_pair("m", "p")).distinct()
+    second = written(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
+    links = written(links.unionByName(_compared(second, docs, percent, size)), "second-links")
+
+    lists = written(_open_lists(shared, components(links)), "still-open-lists")
+    rest = (
+        lists.where("component <> main").alias("o").join(lists.alias("m"), F.col("o.token") == F.col("m.token"))
         .where((F.col("o.component") != F.col("m.component")) & _alike("o", "m", percent))
         .where((F.col("m.component") == F.col("m.main")) | (F.col("o.id") < F.col("m.id")))
-        .select(F.least("o.id", "m.id").alias("a"), F.greatest("o.id", "m.id").alias("b")).distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+        .select(*_pair("o", "m")).distinct()
     )
-    late = written(late, "late-pairs")
-    more = written(_compared(late, docs, percent, size), "late-links")
-    found = components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    rest = written(rest.join(first.unionByName(second), ["a", "b"], "left_anti"), "last-pairs")
+    found = components(links.unionByName(_compared(rest, docs, percent, size)))
 
-    final = reps.select("set_id", "id").join(found, F.col("id") == F.col("node"), "left").select("set_id", label)
+    final = reps.select("set_id", "id").join(found, F.col("id") == F.col("node"), "left").select("set_id", F.coalesce("component", "id").alias("component"))
     return signed.join(final, "set_id", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
