@@ -10,6 +10,7 @@ length is no single task's work) and look their place up in the plan.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -25,7 +26,7 @@ from ledgerloom.session import written
 SIZE = 2048
 END = 0
 PART = 50_000
-WORDS_HELD = 600_000
+WORDS_HELD = 1_200_000
 
 
 def token_counter(path: str):
@@ -37,32 +38,50 @@ def token_counter(path: str):
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    from tokenizers import Tokenizer
+    from tokenizers import Tokenizer, pre_tokenizers
 
     tokenizer = Tokenizer.from_file(path)
+    # Lower-case Latin words are what the tokenizer's own normalising and splitting would make of them.
+    words = Tokenizer.from_file(path)
+    words.normalizer = None
+    words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     held: dict[str, bytes] = {"": b""}
 
     def pack(ids) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
 
+    def learn(names: list[str], coder: Tokenizer) -> None:
+        """Encode new pieces as one text; a token belongs to the piece that it starts in."""
+        for at in range(0, len(names), 4096):
+            part = names[at : at + 4096]
+            coded = coder.encode(" ".join(part), add_special_tokens=False)
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            owner = np.searchsorted(ends, np.array([start for start, _ in coded.offsets], np.int64), side="right")
+            ids, cuts = pack(coded.ids), np.searchsorted(owner, np.arange(len(part) + 1)) * 4
+            for name, start, end in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                held[name] = ids[start:end]
+
     def encode(texts: list[str]) -> list[bytes]:
         split, fresh = [], set()
         if len(held) > WORDS_HELD:
             held.clear()
             held[""] = b""
         for text in texts:
-            if any(s in text.lower() for s in special):
+            low = text.lower()
+            if any(s in low for s in special):
                 split.append(None)
                 continue
-            pieces = text.replace("\n", " ").lower().split(" ") if text.isascii() else text.replace("\n", " ").split(" ")
+            # Letters up to U+00FF have one lower case and make no new letters with marks, so fewer spellings are met.
+            if text.isascii() or _latin(text):
+                text = low
+            pieces = STOP.sub(r" \1", text.replace("\n", " ")).split(" ")
             split.append(pieces)
-            fresh.update(p for p in pieces if p not in held)
-        names = list(fresh)
-        for start in range(0, len(names), 4096):
-            part = names[start : start + 4096]
-            for name, coded in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                held[name] = pack(coded.ids)
+            fresh.update(pieces)
+        new = fresh.difference(held)
+        plain = [p for p in new if p.isalpha() and (p.isascii() or _latin(p)) and p.islower()]
+        learn(plain, words)
+        learn(list(new.difference(plain)), tokenizer)
         return [
             pack(tokenizer.encode(text, add_special_tokens=False).ids) if pieces is None else b"".join(map(held.__getitem__, pieces))
             for text, pieces in zip(texts, split, strict=True)
@@ -71,6 +90,18 @@ def token_counter(path: str):
     return encode
 
 
+#: A full stop or comma that ends a word is a token of its own; set apart, the word is met more often.
+STOP = re.compile(r"(?<=[a-z])([.,])(?= |\Z)")
+
+
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 _ENCODERS: dict[str, object] = {}
 
 
