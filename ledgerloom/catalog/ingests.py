@@ -24,7 +24,8 @@ from ledgerloom.operators.lookups import linked_repo, repo_stars
 from ledgerloom.operators.ranking import first_success, limit_new, newest_first, prominence_topk
 from ledgerloom.operators.validate import envelope, split_valid
 from ledgerloom.plans import ingest
-from ledgerloom.sources.landed import POST_PAGE, board_jobs, first_boards, product_posts
+from ledgerloom.session import run_folder
+from ledgerloom.sources.landed import POST_PAGE, board_jobs, first_boards, product_posts, read_papers
 
 HALF = "2024-01-16T00:00:00Z"
 AT = "2024-02-01T00:00:00Z"
@@ -263,6 +264,9 @@ def product_ingest(spark: SparkSession, sf: str) -> DataFrame:
 
 def paper_ingest(spark: SparkSession, sf: str) -> DataFrame:
     entries = paper_rows(spark, sf).drop("doc_id")
+    landing = run_folder(spark, "papers")
+    entries.drop("doc_id").write.json(landing)
+    entries = read_papers(spark, landing)
     seen = entries.where(F.col("title") == " src5 ").select(F.col("entry_id").alias("url"))
     decided = ingest.papers(entries, seen, repo_index(spark, sf), repo_stats(spark, sf), 500, utc(AT))
     content = F.col("content")

@@ -6,6 +6,7 @@ Each run writes to a folder of its own below the cluster's shared folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
@@ -19,11 +20,13 @@ from ledgerloom.catalog.reports import (
     startup_records,
 )
 from ledgerloom.catalog.tables import table, utc
+from ledgerloom.plans import refine
 from ledgerloom.operators.dedup import exclude_seen, first_per_key
 from ledgerloom.session import run_folder
 from ledgerloom.sinks.exports import export_json, export_tabs
 from ledgerloom.sinks.store import Store, apply_updates, matched_updates
 from ledgerloom.sources.landed import feed_items, read_atom, read_companies, read_rss, rejected_entries, union_feeds
+from ledgerloom.sources.seeds import seed_names
 
 AT = "2024-02-01T00:00:00Z"
 
@@ -101,29 +104,118 @@ def filled_store(spark: SparkSession, sf: str, label: str) -> Store:
     return store
 
 
+JSON_FIELDS = {
+    "startups": ("$.source.url", "$.content.entityName", "$.content.data.employeeCount"),
+    "products": ("$.source.url", "$.content.startupName", "$.content.pricingModel"),
+    "papers": ("$.source.url", "$.content.title", "$.content.github_stars"),
+    "jobs": ("$.source.url", "$.content.company", "$.content.is_remote"),
+    "news": ("$.source.url", "$.content.title", "$.content.publishedDate"),
+    "entity_mappings": ("$.raw", "$.canonical", "$.confidence"),
+    "summary": ("$.startups", "$.products", "$.productsWithPricing"),
+}
+TAB_FIELDS = {
+    "Startups": ("source.url", "entityName", "employeeCount"),
+    "Products": ("source.url", "startupName", "pricingModel"),
+    "Research Papers": ("source.url", "authors", "github_stars"),
+    "Jobs": ("source.url", "company", "is_remote"),
+    "News": ("source.url", "title", "publishedDate"),
+    "Entity Mapping Log": fv.MAPPING_HEADER,
+}
+
+
+def _merged(parts: list[DataFrame]) -> DataFrame:
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    return merged
+
+
 def json_export(spark: SparkSession, sf: str) -> DataFrame:
-    """All JSON exports read back: rows per file set, and the summary line."""
+    """Every line of all JSON exports read back: the set's name and three of its fields as text."""
     store = filled_store(spark, sf, "json")
     root = f"{store.root}/export"
     export_json(store, root)
-    merged = None
-    for name in ("startups", "products", "papers", "jobs", "news", "entity_mappings", "summary"):
-        lines = spark.read.text(f"{root}/{name}")
-        part = lines.agg(F.count(F.lit(1)).alias("lines"), F.max(F.get_json_object("value", "$.productsWithPricing")).alias("priced"))
-        part = part.select(F.lit(name).alias("name"), "lines", "priced")
-        merged = part if merged is None else merged.unionByName(part)
-    return merged
+    parts = []
+    for name, paths in JSON_FIELDS.items():
+        first, second, third = (F.get_json_object("value", p) for p in paths)
+        parts.append(spark.read.text(f"{root}/{name}").select(F.lit(name).alias("name"), first.alias("a"), second.alias("b"), third.alias("c")))
+    return _merged(parts)
+
+
+def mapping_export(spark: SparkSession, sf: str) -> DataFrame:
+    """The exported mappings by their place in the files, confidences falling and names in order of their URL."""
+    store = filled_store(spark, sf, "mapping-order")
+    root = f"{store.root}/export"
+    export_json(store, root)
+    lines = spark.read.text(f"{root}/entity_mappings").withColumn("part", F.col("_metadata.file_path"))
+    placed = lines.withColumn("line", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("part", "line"))
+    return placed.select(place.alias("place"), F.get_json_object("value", "$.raw").alias("raw"))
 
 
 def tab_export(spark: SparkSession, sf: str) -> DataFrame:
-    """The flat paper table, written with its header and read back."""
+    """All six flat tables, written with their headers and read back: the tab and three of its cells."""
     store = filled_store(spark, sf, "tabs")
     root = f"{store.root}/export"
     export_tabs(store, root)
-    back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{root}/Research Papers")
-    return back.select(
-        F.col("`source.url`").alias("url"), "title", "authors", F.coalesce("github_stars", F.lit("")).alias("stars")
+    parts = []
+    for tab, names in TAB_FIELDS.items():
+        back = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(f"{root}/{tab}")
+        cells = [F.coalesce(F.col(f"`{n}`"), F.lit("")) for n in names]
+        parts.append(back.select(F.lit(tab).alias("tab"), *[c.alias(n) for c, n in zip(cells, "abc")]))
+    return _merged(parts)
+
+
+def resolved_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of stored startups and products against the shipped seed: an exact name, an alias, a typo, an unknown one."""
+    store = new_store(spark, "resolve")
+    kind = F.col("content.data.employeeCount") % 4
+    spelled = F.when(kind == 0, F.lit("OpenAI, Inc.")).when(kind == 1, F.lit("Open AI")).when(kind == 2, F.lit("Antropic"))
+    startups = startup_records(spark, sf).withColumn(
+        "content", F.col("content").withField("entityName", F.coalesce(spelled, F.lit("Qwzx Unheard Of")))
+    )
+    store.append_records(startups, "STARTUP", 1)
+    store.append_records(product_records(spark, sf), "PRODUCT", 1)
+    counts = refine.resolve_names(store, seed_names(spark), 1)
+    logged = store.mappings(1).groupBy(F.col("canonical_name").alias("method")).agg(F.count(F.lit(1)).alias("records"))
+    known = logged.where(F.col("method").isin("OpenAI", "Anthropic", "Qwzx Unheard Of"))
+    return counts.unionByName(known)
+
+
+def backfilled_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Pricing filled in the store itself from answers that are valid, not allowed, or errors."""
+    store = new_store(spark, "backfill")
+    products = product_records(spark, sf)
+    store.append_records(products, "PRODUCT", 1)
+    key = F.regexp_extract("source.url", r"(\d+)$", 1).cast("bigint")
+    urls = products.select(F.col("source.url").alias("url"), key.alias("n"))
+    store.append_raw_text(urls.where("n % 5 <> 0").select("url", F.lit("text").alias("raw_text"), F.lit(0).alias("seq")), 1)
+    answer = F.when(F.col("n") % 3 == 0, F.lit("free")).otherwise(F.lit("cheap"))
+    body = F.concat(F.lit('{"choices":[{"message":{"content":"{\\"pricingModel\\": \\"'), answer, F.lit('\\"}"}}]}'))
+    failed = F.col("n") % 7 == 0
+    responses = urls.select(
+        F.col("url").alias("key"), F.lit("groq").alias("provider"), F.when(~failed, body).alias("body"),
+        F.when(failed, F.lit("timeout")).alias("error"), F.lit(1).cast("bigint").alias("seq"),
+    )
+    report = refine.backfill_pricing(store, responses, 2)
+    rows = store.current("PRODUCT").groupBy(F.col("content.pricingModel").alias("pricing")).agg(F.count(F.lit(1)).alias("n"))
+    attempted = report.select(F.lit("attempted").alias("pricing"), F.col("attempted").alias("n"))
+    return rows.unionByName(attempted).unionByName(report.select(F.lit("backfilled").alias("pricing"), F.col("backfilled").alias("n")))
+
+
+def enriched_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored news enriched from answers; texts without an answer are logged too."""
+    store = new_store(spark, "enrich")
+    news = news_records(spark, sf)
+    store.append_records(news, "NEWS", 1)
+    body = F.lit('{"choices":[{"message":{"content":"{\\"topic\\": \\"ai\\"}"}}]}')
+    responses = news.where("source.name <> 'de'").select(
+        F.col("source.url").alias("key"), F.lit("groq").alias("provider"), F.when(F.col("source.name") == "en", body).alias("body"),
+        F.when(F.col("source.name") != "en", F.lit("timeout")).alias("error"), F.lit(1).cast("bigint").alias("seq"),
     )
+    counted = refine.enrich_news(store, responses, 2, utc(AT))
+    used = store.enriched().groupBy(F.coalesce("providerUsed", F.lit("none")).alias("provider")).agg(F.count(F.lit(1)).alias("n"))
+    return used.unionByName(counted.select(F.lit("succeeded").alias("provider"), F.col("succeeded").alias("n")))
 
 
 def company_snapshot(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,6 +302,10 @@ QUERIES = {
     "record_update": record_update,
     "json_export": json_export,
     "tab_export": tab_export,
+    "mapping_export": mapping_export,
+    "resolved_store": resolved_store,
+    "backfilled_store": backfilled_store,
+    "enriched_store": enriched_store,
     "company_snapshot": company_snapshot,
     "feed_items": feed_rows,
     "feed_rejects": feed_rejects,
@@ -227,14 +323,40 @@ ORACLE = {
         arg_max(o_orderkey || '-' || o_orderstatus, (o_orderstatus = 'F', o_orderkey)) AS raw_text FROM orders GROUP BY o_custkey""",
     "record_update": f"""SELECT CASE WHEN p_brand = 'Brand#3' THEN 'ENTERPRISE' ELSE {_PRICING} END AS pricing, count(*) AS n
       FROM part GROUP BY ALL UNION ALL SELECT 'matched updates', count(*) FROM part WHERE p_brand = 'Brand#3'""",
-    "json_export": """SELECT name, lines, CASE WHEN name = 'summary' THEN (SELECT count(*) FROM part WHERE p_size > 20)::VARCHAR END AS priced
-      FROM (SELECT 'startups' AS name, count(*) AS lines FROM customer UNION ALL SELECT 'products', count(*) FROM part
-        UNION ALL SELECT 'papers', count(*) FROM documents UNION ALL SELECT 'jobs', count(*) FROM orders
-        UNION ALL SELECT 'news', count(*) FROM documents UNION ALL SELECT 'entity_mappings', count(*) FROM supplier
-        UNION ALL SELECT 'summary', 1)""",
-    "tab_export": """SELECT 'https://d.example/' || doc_id AS url, source AS title,
-        CASE WHEN lang <> 'es' THEN upper(lang) || ', ' || source || ', Li' END AS authors,
-        coalesce(quality::VARCHAR, '') AS stars FROM documents LEFT JOIN labels USING (doc_id)""",
+    "json_export": f"""SELECT 'startups' AS name, 'https://c.example/' || c_custkey AS a, c_name AS b, c_nationkey::VARCHAR AS c FROM customer
+      UNION ALL SELECT 'products', 'https://p.example/' || p_partkey, p_name, {_PRICING} FROM part
+      UNION ALL SELECT 'papers', 'https://d.example/' || doc_id, source, quality::VARCHAR FROM documents LEFT JOIN labels USING (doc_id)
+      UNION ALL SELECT 'jobs', 'https://j.example/' || o_orderkey, 'Co ' || o_custkey,
+        CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' END FROM orders
+      UNION ALL SELECT 'news', 'https://n.example/' || doc_id, source, CASE WHEN lang = 'de' THEN '2024-02-01T00:00:00.000Z' END FROM documents
+      UNION ALL SELECT 'entity_mappings', s_name, upper(s_name),
+        CASE WHEN s_nationkey > 12 THEN (s_nationkey / 32.0)::DOUBLE::VARCHAR WHEN s_nationkey > 5 THEN '0.0' END FROM supplier
+      UNION ALL SELECT 'summary', (SELECT count(*) FROM customer)::VARCHAR, (SELECT count(*) FROM part)::VARCHAR,
+        (SELECT count(*) FROM part WHERE p_size > 20)::VARCHAR""",
+    "mapping_export": """SELECT row_number() OVER (ORDER BY CASE WHEN s_nationkey > 12 THEN s_nationkey / 32.0
+        WHEN s_nationkey > 5 THEN 0.0 END DESC NULLS LAST, s_name) AS place, s_name AS raw FROM supplier""",
+    "tab_export": f"""SELECT 'Startups' AS tab, 'https://c.example/' || c_custkey AS a, c_name AS b, c_nationkey::VARCHAR AS c FROM customer
+      UNION ALL SELECT 'Products', 'https://p.example/' || p_partkey, p_name, coalesce({_PRICING}, '') FROM part
+      UNION ALL SELECT 'Research Papers', 'https://d.example/' || doc_id,
+        CASE WHEN lang <> 'es' THEN upper(lang) || ', ' || source || ', Li' ELSE '' END, coalesce(quality::VARCHAR, '')
+      FROM documents LEFT JOIN labels USING (doc_id)
+      UNION ALL SELECT 'Jobs', 'https://j.example/' || o_orderkey, 'Co ' || o_custkey,
+        CASE o_orderstatus WHEN 'F' THEN 'true' WHEN 'O' THEN 'false' ELSE '' END FROM orders
+      UNION ALL SELECT 'News', 'https://n.example/' || doc_id, source, CASE WHEN lang = 'de' THEN '2024-02-01T00:00:00Z' ELSE '' END FROM documents
+      UNION ALL SELECT 'Entity Mapping Log', s_name, upper(s_name),
+        CASE WHEN s_nationkey > 12 THEN (s_nationkey / 32.0)::DOUBLE::VARCHAR WHEN s_nationkey > 5 THEN '0.0' ELSE '' END FROM supplier""",
+    "resolved_store": """WITH k AS (SELECT c_nationkey % 4 AS k FROM customer)
+      SELECT 'exact_canonical' AS method, count(*) AS records FROM k WHERE k = 0
+      UNION ALL SELECT 'exact_alias', count(*) FROM k WHERE k = 1 UNION ALL SELECT 'fuzzy', count(*) FROM k WHERE k = 2
+      UNION ALL SELECT 'no_match', count(*) FILTER (k = 3) + (SELECT count(*) FROM part) FROM k
+      UNION ALL SELECT 'OpenAI', count(*) FROM k WHERE k < 2 UNION ALL SELECT 'Anthropic', count(*) FROM k WHERE k = 2
+      UNION ALL SELECT 'Qwzx Unheard Of', count(*) FROM k WHERE k = 3""",
+    "backfilled_store": f"""WITH p AS (SELECT {_PRICING} AS pricing, p_partkey % 5 <> 0 AND p_partkey % 3 = 0 AND p_partkey % 7 <> 0 AS free FROM part)
+      SELECT CASE WHEN pricing IS NULL AND free THEN 'FREE' ELSE pricing END AS pricing, count(*) AS n FROM p GROUP BY ALL
+      UNION ALL SELECT 'attempted', count(*) FROM p WHERE pricing IS NULL
+      UNION ALL SELECT 'backfilled', count(*) FROM p WHERE pricing IS NULL AND free""",
+    "enriched_store": """SELECT CASE WHEN lang = 'en' AND text <> '' THEN 'groq' ELSE 'none' END AS provider, count(*) AS n FROM documents GROUP BY ALL
+      UNION ALL SELECT 'succeeded', count(*) FROM documents WHERE lang = 'en' AND text <> ''""",
     "company_snapshot": """SELECT CASE WHEN c_nationkey <> 7 THEN c_name ELSE '' END AS name,
         CASE WHEN c_mktsegment <> 'BUILDING' THEN lower(replace(c_name, '#', '-')) END AS slug,
         CASE WHEN c_nationkey > 3 THEN 'https://x.example/' || c_custkey END AS url,

@@ -14,8 +14,10 @@ from ledgerloom.operators.extract import (
     enum_backfill,
     prompts,
 )
+from ledgerloom.operators.dedup import first_per_key
 from ledgerloom.operators.lookups import raw_text
 from ledgerloom.operators.resolve import distinct_names, mapping_log, method_counts, name_union, resolve_distinct
+from ledgerloom.session import written
 from ledgerloom.sinks.store import Store
 
 
@@ -27,9 +29,9 @@ def resolve_names(store: Store, seeds: DataFrame, run_id: int) -> DataFrame:
 
 
 def open_products(store: Store) -> DataFrame:
-    """Products with their URL key, stored pricing and raw text."""
-    records = store.records("PRODUCT").select(
-        canonical_url(F.col("source.url")).alias("key"), F.col("content.pricingModel").alias("pricing")
+    """Products with their URL key, current pricing and raw text."""
+    records = store.current("PRODUCT").select(
+        canonical_url(F.col("source.url")).alias("key"), F.col("content.pricingModel").alias("pricing"), "content"
     )
     return raw_text(records, store.raw_text(), "key")
 
@@ -39,24 +41,16 @@ def pricing_prompts(store: Store) -> DataFrame:
     return prompts(unpriced, "key", "raw_text", fv.PRICING_SCHEMA)
 
 
-def backfill_pricing(store: Store, responses: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All product records with validated pricing filled in, and the report.
+def backfill_pricing(store: Store, responses: DataFrame, batch_id: int) -> DataFrame:
+    """Log validated pricing for products without one; returns the report.
 
-    The records are returned, not overwritten: write them to a new store.
+    Only the filled products are written, as updates; ``store.current`` has all of them with their pricing.
     """
-    filled = enum_backfill(open_products(store), responses, "key", "pricing", "raw_text", "pricingModel")
-    updates = filled.where(F.col("new_value").isNotNull()).select(F.col("key").alias("_key"), "new_value").distinct()
-    records = (
-        store.records("PRODUCT")
-        .withColumn("_key", canonical_url(F.col("source.url")))
-        .join(updates, "_key", "left")
-        .withColumn(
-            "content",
-            F.col("content").withField("pricingModel", F.coalesce("content.pricingModel", "new_value")),
-        )
-        .drop("_key", "new_value")
-    )
-    return records, backfill_report(filled, "pricing")
+    filled = written(enum_backfill(open_products(store), responses, "key", "pricing", "raw_text", "pricingModel"), "backfill")
+    content = F.col("content").withField("pricingModel", F.col("new_value"))
+    updates = filled.where(F.col("new_value").isNotNull()).select(F.col("key").alias("url"), content.alias("content"))
+    store.append_updates(first_per_key(updates, ["url"], "content"), "PRODUCT", batch_id)
+    return backfill_report(filled, "pricing")
 
 
 def news_prompts(store: Store) -> DataFrame:

@@ -32,7 +32,7 @@ def _json(df: DataFrame, path: str) -> None:
 
 def export_json(store: Store, root: str) -> None:
     """Five record sets, the mappings by descending confidence, and the summary."""
-    records = {name: store.records(kind) for name, kind in JSON_NAMES.items()}
+    records = {name: store.current(kind) for name, kind in JSON_NAMES.items()}
     for name, df in records.items():
         _json(df.drop("batch_id"), f"{root}/{name}")
     mappings = store.mappings()
@@ -50,6 +50,6 @@ def _csv(df: DataFrame, path: str) -> None:
 def export_tabs(store: Store, root: str) -> None:
     """Six flat tables with fixed headers; an empty table keeps its header."""
     for tab, kind in TABS.items():
-        _csv(store.records(kind).select(*flat_columns(kind)), f"{root}/{tab}")
+        _csv(store.current(kind).select(*flat_columns(kind)), f"{root}/{tab}")
     mappings = store.mappings().select(*[or_empty(F.col(c)).alias(c) for c in fv.MAPPING_HEADER])
     _csv(mappings, f"{root}/{MAPPING_TAB}")
