@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +15,23 @@ NOW = "2024-01-25T00:00:00Z"
 ROW = "url string, event_id bigint, event_type string, published timestamp"
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as a stream with a repeating key; errors have no date."""
+LANDINGS = 4
+
+
+def _landings(spark: SparkSession, sf: str, folder: str) -> Iterator[None]:
+    """Land the events in order of their ids, a quarter at a time; each step is one landing of any number of files."""
+    events = configure(spark).read.parquet(f"{sf}/events.parquet")
+    last = events.agg(F.max("event_id")).first()[0] or 0
+    quarter = F.floor(F.col("event_id") * LANDINGS / (last + 1))
+    for number in range(LANDINGS):
+        events.where(quarter == number).write.mode("append").parquet(folder)
+        yield
+
+
+def event_stream(spark: SparkSession, sf: str, folder: str) -> DataFrame:
+    """Landed events as a stream with a repeating key; errors have no date."""
     schema = configure(spark).read.parquet(f"{sf}/events.parquet").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = spark.readStream.schema(schema).parquet(folder)
     ts = F.col("ts").cast("timestamp")
     return rows.select(
         F.concat_ws(":", "user_id", "event_type").alias("url"),
@@ -28,12 +43,14 @@ def event_stream(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def run_ingest(spark: SparkSession, sf: str, label: str, **options) -> StreamTables:
+    """The ingest stopped and started again after each landing, over the same checkpoint."""
     root = run_folder(spark, label)
     tables = StreamTables(spark, f"{root}/tables", "url", ROW, "string")
     tables.prepare()
-    rows = event_stream(spark, sf).drop("arrival")
-    writer = ingest_stream(rows, tables, ["event_id"], f"{root}/checkpoint", **options)
-    writer.trigger(availableNow=True).start().awaitTermination()
+    for _ in _landings(spark, sf, f"{root}/landed"):
+        rows = event_stream(spark, sf, f"{root}/landed").drop("arrival")
+        writer = ingest_stream(rows, tables, ["event_id"], f"{root}/checkpoint", **options)
+        writer.trigger(availableNow=True).start().awaitTermination()
     return tables
 
 
@@ -51,23 +68,28 @@ def stream_fresh(spark: SparkSession, sf: str) -> DataFrame:
     return seen.join(saved, "event_type", "left").select("event_type", F.coalesce("saved", F.lit(0)).alias("saved"), "seen")
 
 
-def _to_files(stream: DataFrame, root: str) -> DataFrame:
-    writer = stream.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint")
-    writer.trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/rows")
+def _to_files(spark: SparkSession, sf: str, label: str, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    root = run_folder(spark, label)
+    for _ in _landings(spark, sf, f"{root}/landed"):
+        stream = shape(event_stream(spark, sf, f"{root}/landed"))
+        writer = stream.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
 
 
 def stream_bounded(spark: SparkSession, sf: str) -> DataFrame:
     """Keys after bounded-state dedup on published or, without one, arrival time."""
-    rows = event_stream(spark, sf).select("url", event_time(F.col("published"), F.col("arrival")).alias("event_ts"))
-    kept = bounded_dedup(rows, "url", "event_ts", "60 days")
-    return _to_files(kept.select("url"), run_folder(spark, "stream-bounded"))
+
+    def shape(events: DataFrame) -> DataFrame:
+        rows = events.select("url", event_time(F.col("published"), F.col("arrival")).alias("event_ts"))
+        return bounded_dedup(rows, "url", "event_ts", "60 days").select("url")
+
+    return _to_files(spark, sf, "stream-bounded", shape)
 
 
 def stream_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The freshness gate alone: rows whose date is known and fresh."""
-    rows = fresh_only(event_stream(spark, sf), "published", utc(NOW))
-    return _to_files(rows.select("event_id"), run_folder(spark, "stream-gate"))
+    return _to_files(spark, sf, "stream-gate", lambda events: fresh_only(events, "published", utc(NOW)).select("event_id"))
 
 
 _ROWS = """SELECT user_id || ':' || event_type AS url, event_id, event_type,
