@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.catalog.tables import table
 from ledgerloom.llm import decontaminate, embeddings, language, minhash, packing, pages, secrets, sharding, suffixes
 from ledgerloom.llm.line_dedup import LineIndex
+from ledgerloom.llm.oracles import ORACLE  # noqa: F401
 
 
 def op1_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,4 +70,3 @@ def op10_language(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op7_suffixes, op8_pages, op9_secrets, op10_language)}
-ORACLE: dict[str, str] = {}

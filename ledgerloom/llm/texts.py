@@ -12,8 +12,3 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 def lowered(text: Column) -> Column:
     """A-Z in lower case; every other character stays."""
     return F.translate(text, UPPER, UPPER.lower())
-
-
-def known(ids: Column) -> Column:
-    """Rows without an id cannot be named in a link or a group."""
-    return ids.isNotNull()
