@@ -8,7 +8,8 @@ that agree often enough share one of those. That prefix skips the long lists of
 Only connections are asked for, so a list is not expanded into all its pairs. First every member of a list meets the
 list's least document. Then the lists are looked at again by component: documents outside a list's largest component
 meet one member of it, another one in every list. At last those that are still outside meet all others of the list that
-they are not connected with. So each pair that shares a list is either compared or already connected. Pairs are
+they are not connected with; in long lists block by block, where a pair is compared in one list only, skipped once its
+components have met, and only links come out. So each pair that shares a list is either compared or already connected. Pairs are
 compared on full shingle sets if their sketches, two bits of each of ``SKETCH`` further coordinates, agree as often as
 similar documents do. Equal shingle sets are one representative all along.
 """
@@ -35,6 +36,8 @@ AGREEING = 88  # of them; a pair at the threshold agrees in 109, with a deviatio
 PERCENT = 80
 SHINGLE = 2
 BUCKETS = 1 << 18  # of the table of pair frequencies, the only thing that is collected
+LONG = 10_000  # pairs that the documents outside a list's largest component may make before it is compared in blocks
+BLOCK = 512
 WORDS_HELD = 500_000
 
 _ODD = (np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -209,6 +212,63 @@ def _compared(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
+def _compared_in_blocks(lists: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links (a, b) between documents outside a long list's largest component and all others of the list.
+
+    A list's outsiders and members are cut into blocks, and each pair of blocks is a group of at most about
+    ``2 * BLOCK`` rows with their texts. A pair that shares several long lists is compared in that of the least token.
+    """
+    out_blocks, all_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("out", "k"))
+    own_out = F.pmod(F.xxhash64("id", F.lit(1)), out_blocks).cast("int")
+    own_all = F.pmod(F.xxhash64("id"), all_blocks).cast("int")
+    tokens = lists.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # at most PREFIX of them
+    columns = ["token", *MEMBER, "component"]
+    outside = lists.where("component <> main").select(*columns, F.lit(0).alias("side"), own_out.alias("ob"), F.explode(F.sequence(F.lit(0), all_blocks - 1)).alias("mb"))
+    members = lists.select(*columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), out_blocks - 1)).alias("ob"), own_all.alias("mb"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(tokens, "id")
+    dealt = outside.unionByName(members).join(texts, "id")
+
+    def compare(group: pa.Table) -> pa.Table:
+        side = group.column("side").to_numpy()
+        rows = [group.filter(pa.array(side == k)) for k in (0, 1)]
+        left, right, texts_a, texts_b = [], [], *(t.column("text").to_pylist() for t in rows)
+        if rows[0].num_rows and rows[1].num_rows:
+            token = group.column("token")[0].as_py()
+            (ids_a, n_a, part_a), (ids_b, n_b, part_b) = ([t.column(c).to_numpy() for c in ("id", "n", "component")] for t in rows)
+            sketch_a, sketch_b = (np.stack([t.column(s).to_numpy() for s in MEMBER[2:]], 1).view(np.uint64) for t in rows)
+            shared = np.full((len(ids_b), PREFIX), -1, np.int64)
+            for i, own in enumerate(rows[1].column("tokens").to_pylist()):
+                shared[i, : len(own)] = own
+            roots: dict[int, int] = {}
+            sets: dict[int, np.ndarray] = {}
+
+            def root(component: int) -> int:
+                while (up := roots.get(component, component)) != component:
+                    component = up
+                return component
+
+            for i, own in enumerate(rows[0].column("tokens").to_pylist()):
+                x = sketch_b ^ sketch_a[i]
+                agree = 32 * x.shape[1] - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(1, dtype=np.int64)
+                common = np.where(np.isin(shared, own), shared, np.iinfo(np.int64).max).min(1)
+                sizes = np.minimum(n_b, n_a[i]) * 100 >= np.maximum(n_b, n_a[i]) * percent
+                mine = shingles(texts_a[i], size)
+                for j in np.flatnonzero((agree >= AGREEING) & sizes & (common == token) & (part_b != part_a[i])).tolist():
+                    a, b = root(int(part_a[i])), root(int(part_b[j]))
+                    if a == b:
+                        continue
+                    if j not in sets:
+                        sets[j] = shingles(texts_b[j], size)
+                    both = len(np.intersect1d(mine, sets[j], assume_unique=True))
+                    if 100 * both >= percent * (len(mine) + len(sets[j]) - both):
+                        roots[a] = b
+                        left.append(ids_a[i])
+                        right.append(ids_b[j])
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    return dealt.groupBy("token", "ob", "mb").applyInArrow(compare, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept; a row per input row.
 
@@ -235,6 +295,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
     links = written(links.unionByName(_compared(second, docs, percent, size)), "second-links")
 
     lists = written(_open_lists(shared, components(links)), "still-open-lists")
+    sizes = lists.groupBy("token").agg(F.count("*").alias("k"), F.count_if(F.col("component") != F.col("main")).alias("out"))
+    sizes = written(sizes.where(F.col("k") * F.col("out") > LONG), "long-lists")
+    in_blocks = _compared_in_blocks(lists.join(sizes, "token"), docs, percent, size)
+    lists = lists.join(sizes, "token", "left_anti")
     rest = (
         lists.where("component <> main").alias("o").join(lists.alias("m"), F.col("o.token") == F.col("m.token"))
         .where((F.col("o.component") != F.col("m.component")) & _alike("o", "m", percent))
@@ -242,7 +306,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         .select(*_pair("o", "m")).distinct()
     )
     rest = written(rest.join(first.unionByName(second), ["a", "b"], "left_anti"), "last-pairs")
-    found = components(links.unionByName(_compared(rest, docs, percent, size)))
+    found = components(links.unionByName(_compared(rest, docs, percent, size)).unionByName(in_blocks))
 
     final = reps.select("set_id", "id").join(found, F.col("id") == F.col("node"), "left").select("set_id", F.coalesce("component", "id").alias("component"))
     return signed.join(final, "set_id", "left").select(

@@ -166,3 +166,22 @@ def test_plan(lengths):
             used[length] += times
     assert used == collections.Counter(lengths)
     assert sum(n for _, n in patterns) <= 1.25 * sum(lengths) / 2048 + 1 or min(lengths) > 683
+
+
+def test_minhash_long_lists_in_blocks(spark, monkeypatch):
+    """One group of near copies, many of them too far from the rest, compared in several blocks."""
+    monkeypatch.setattr(minhash, "LONG", 20)
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    rng = np.random.default_rng(9)
+    vocabulary = [f"v{i}" for i in range(4000)]
+    base = rng.choice(vocabulary, 120).tolist()
+    out = []
+    for _ in range(140):
+        own = list(base)
+        for at in rng.integers(0, 120, rng.integers(0, 26)):
+            own[at] = str(rng.choice(vocabulary))
+        out.append((len(out), " ".join(own)))
+    expected = sorted(brute.near_duplicates(out), key=repr)
+    assert 3 < sum(r[3] for r in expected) < 130
+    got = rows(minhash.near_duplicates(spark.createDataFrame(out, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == expected
