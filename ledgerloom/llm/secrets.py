@@ -84,12 +84,13 @@ def _near(weak: DataFrame, others: DataFrame) -> DataFrame:
     low, high = F.greatest(F.col("start") - SCOPE, F.lit(0)), F.col("end") + SCOPE
     covering = others.select(*[F.col(c).alias(f"o_{c}") for c in KEY], F.col("start").alias("o_start"), F.col("end").alias("o_end"),
                              F.explode(F.sequence(F.floor(low / BIN), F.floor(high / BIN))).alias("o_bin"))
-    weak = weak.withColumn("bin", F.floor(F.col("start") / BIN))
+    # what follows a weak part is near its end, what goes before near its start, and a long part has them in different bins
+    weak = weak.withColumn("bin", F.explode(F.array_distinct(F.array(F.floor(F.col("start") / BIN), F.floor(F.col("end") / BIN)))))
     on = (
         F.col("doc_id").eqNullSafe(F.col("o_doc_id")) & (F.col("print") == F.col("o_print")) & (F.col("bin") == F.col("o_bin"))
         & (((F.col("start") >= F.col("o_end")) & (F.col("start") <= F.col("o_end") + SCOPE)) | ((F.col("o_start") >= F.col("end")) & (F.col("o_start") <= F.col("end") + SCOPE)))
     )
-    return weak.join(covering, on, "left_semi").drop("bin")
+    return weak.join(covering, on, "left_semi").drop("bin").distinct()
 
 
 def linked(found: DataFrame) -> DataFrame:
