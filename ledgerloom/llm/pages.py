@@ -5,7 +5,7 @@ at a node counts by how many different pages of the host show the same there: sh
 importance is 1 - log_m(k), which is 1 for text of one page and 0 for text of all pages. A node's presentation
 importance is the entropy, to base m, of the child sequences that its parent has on the host's pages. Branches whose
 combined importance is low are menus, notices and other furniture, and are left out of each page. Pages with the same
-main text count once, so copies of an article do not make it furniture.
+main text count once, so copies of an article do not make it furniture; inside article and main, near copies count once too.
 
 One page alone says nothing about its site, so elements that HTML itself or their names mark as furniture are left out too,
 and where a page has ``article`` or ``main`` elements, the text is theirs.
@@ -18,17 +18,23 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.components import components
 from ledgerloom.session import written
 
 LEAST = 0.35  # importance below which a branch goes
 CONTENT_SHARE = 0.9
 MIN_PAGES = 4  # pages that a node must be on before its site says anything about it
 MIN_PAGES_MARKED = 10  # the same inside article and main, where most pages must show it: near copies share blocks there
+BANDS, BAND_ROWS = 8, 4  # pages of a host that agree in a band of their sketches are compared
+LIKE = 20  # agreeing coordinates, of 32, from which two main texts are near copies
+CHUNK = 1 << 14  # word pairs that are hashed at a time
+FACTORS = np.random.default_rng(8).integers(0, 1 << 63, (BANDS * BAND_ROWS, 1)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -178,6 +184,29 @@ def _main(blocks: list[Block]) -> list[Block]:
     return marked or own
 
 
+def _sketch(text: str) -> list[int] | None:
+    """Least hashes of the text's word pairs; two texts agree in about as many as the share of pairs they have in common."""
+    words = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in text.split()), np.uint64)
+    if not len(words):
+        return None
+    pairs = words[:-1] * np.uint64(0x9E3779B97F4A7C15) + words[1:] if len(words) > 1 else words
+    pairs ^= pairs >> np.uint64(29)
+    least = np.minimum.reduce([(FACTORS * pairs[i : i + CHUNK]).min(1) for i in range(0, len(pairs), CHUNK)])
+    return (least >> np.uint64(33)).astype(np.int32).tolist()
+
+
+def _near_copies(sketches: DataFrame) -> DataFrame:
+    """node and component of the pages (mark, host, sketch) that are near copies of others of their host."""
+    bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64("host", i, F.slice("sketch", i * BAND_ROWS + 1, BAND_ROWS)))
+    banded = sketches.select("mark", F.explode(bands).alias("band"))
+    first = banded.groupBy("band").agg(F.min("mark").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    met = banded.join(first, "band").where("mark <> first").select("mark", "first").distinct()
+    own, theirs = sketches.select("mark", "sketch"), sketches.select(F.col("mark").alias("first"), F.col("sketch").alias("other"))
+    alike = F.size(F.filter(F.zip_with("sketch", "other", lambda a, b: a == b), lambda x: x)) >= LIKE
+    links = met.join(own, "mark").join(theirs, "first").where(alike)
+    return components(links.select(F.col("mark").alias("a"), F.col("first").alias("b")))
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
     """Content of low importance: host and ``low``, the hashes of (node, text) pairs that are furniture on that host."""
 
@@ -186,21 +215,30 @@ def style_tree(pages: DataFrame) -> DataFrame:
             rows = []
             for url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 blocks, host = parse(page), host_of(url)
-                mark = _hash(*(b.text for b in _main(blocks)))
-                rows += [(host, path, *shown, mark) for path, shown in _shown(blocks).items()]
-            columns = zip(*rows, strict=True) if rows else [[]] * 6
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["host", "path", "content", "style", "marked", "mark"])
-
-    shown = pages.select("url", "html").mapInArrow(nodes, "host string, path long, content long, style long, marked boolean, mark long").distinct()
-    shown = written(shown, "style-tree")
+                main = _main(blocks)
+                mark = _hash(host, *(b.text for b in main))
+                rows += [(host, path, *shown, mark, None) for path, shown in _shown(blocks).items()]
+                if main and main[0].node.landmark:  # a row of the page itself
+                    rows.append((host, None, None, None, None, mark, _sketch(" ".join(b.text for b in main))))
+            columns = zip(*rows, strict=True) if rows else [[]] * 7
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.list_(pa.int32())]
+            yield pa.record_batch(
+                [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["host", "path", "content", "style", "marked", "mark", "sketch"]
+            )
+
+    schema = "host string, path long, content long, style long, marked boolean, mark long, sketch array<int>"
+    both = written(pages.select("url", "html").mapInArrow(nodes, schema).distinct(), "style-tree")
+    copies = _near_copies(both.where("sketch IS NOT NULL").select("mark", "host", "sketch"))
+    shown = both.where("path IS NOT NULL").drop("sketch")
+    inside = shown.where("marked").join(copies, F.col("mark") == F.col("node"), "left").withColumn("mark", F.coalesce("component", "mark"))
+    shown = written(shown.where("NOT marked").unionByName(inside.select(*shown.columns)).distinct(), "counted-once")
     node = ["host", "path"]
-    pages_of = shown.groupBy(*node).agg(F.count("*").alias("m"), F.bool_or("marked").alias("marked"))
+    pages_of = shown.select(*node, "marked", "mark").distinct().groupBy(*node).agg(F.count("*").alias("m"), F.bool_or("marked").alias("marked"))
     pages_of = pages_of.where(F.col("m") >= F.when(F.col("marked"), MIN_PAGES_MARKED).otherwise(MIN_PAGES))
     styles = shown.groupBy(*node, "style").agg(F.count("*").alias("k")).withColumn("m", F.sum("k").over(Window.partitionBy(*node)))
     share = F.col("k") / F.col("m")
     presentation = styles.groupBy(*node).agg(F.sum(-share * F.log(share) / F.log(F.greatest(F.col("m"), F.lit(2)).cast("double"))).alias("presentation"))
-    contents = shown.groupBy(*node, "content").agg(F.count("*").alias("k")).where("k > 1")
+    contents = shown.select(*node, "content", "mark").distinct().groupBy(*node, "content").agg(F.count("*").alias("k")).where("k > 1")
     importance = CONTENT_SHARE * (1 - F.log(F.col("k").cast("double")) / F.log(F.col("m").cast("double"))) + (1 - CONTENT_SHARE) * F.col("presentation")
     low = contents.join(pages_of, node).join(presentation, node).where((importance < LEAST) & (~F.col("marked") | (F.col("k") * 2 > F.col("m"))))
     return low.groupBy("host").agg(F.collect_set("content").alias("low"))

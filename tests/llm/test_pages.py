@@ -1,6 +1,7 @@
 """Main text of pages: the given pages, odd markup, and site evidence without helpful names."""
 
 import html
+import random
 import re
 
 import pytest
@@ -72,3 +73,32 @@ def test_very_long_page(spark):
     page = "<article>" + "<p>word &amp; more</p>" * 20000 + "<div>" * 3000 + "deep" + "</article>"
     df = spark.createDataFrame([(1, "https://l.example/", page)], "page_id long, url string, html string")
     assert pages.extract(df).first().text == "word & more " * 20000 + "deep"
+
+
+@pytest.mark.parametrize("copies", [60, 95])
+def test_near_copies_of_an_article_stay_whole(spark, copies):
+    """A group of near copies that makes up most of a host: what they share stays, a notice in every article goes."""
+    rng = random.Random(copies)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(7))
+    shared = [" ".join(word() for _ in range(n)) for n in (6, 5, 60, 4, 30)]
+
+    def page(host, parts, notice):
+        h1, h2, p, li, quote = parts
+        article = f"<h1>{h1}</h1><p>{p}</p><h2>{h2}</h2><ul><li>{li}</ul><blockquote>{quote}</blockquote>"
+        end = "<section>Read more in our shop</section>" if notice else ""
+        return f"https://{host}/{len(rows)}", f"<div>Home Shop</div><article>{article}{end}</article>", " ".join((h1, p, h2, li, quote))
+
+    rows = []
+    for i in range(100):
+        if i < copies:
+            words = shared[2].split()
+            words[rng.randrange(60)] = word()
+            words[rng.randrange(60)] = word()
+            rows.append(page("near.example", [*shared[:2], " ".join(words), *shared[3:]], False))
+        else:
+            rows.append(page("near.example", [" ".join(word() for _ in range(n)) for n in (6, 5, 60, 4, 30)], False))
+    for i in range(30):
+        rows.append(page("notice.example", [" ".join(word() for _ in range(n)) for n in (6, 5, 60, 4, 30)], True))
+    df = spark.createDataFrame([(i, url, text) for i, (url, text, _) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    assert [got[i] for i in range(len(rows))] == [r[2] for r in rows]
