@@ -10,13 +10,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from ledgerloom.session import written
+from ledgerloom.session import run_folder, written
 
 SHARDS = 16
 SEED = 20240229
 BUCKET_ROWS = 50_000
 BUCKET_BYTES = 64 << 20
+_PLACE = (StructField("_slot", LongType()), StructField("_shard", IntegerType()))
 GROUP = 1024  # buckets whose counts are summed in one go
 
 
@@ -54,9 +56,17 @@ def text_bytes(text: F.Column) -> F.Column:
 
 
 def document_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """doc_id, size, text_crc32, shard and slot of every row. Null text counts as empty; extra columns are ignored."""
-    rows = docs.select("doc_id", text_bytes(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
-    return shard(rows, F.lit(64), shards).select("record.*", "shard", "slot")
+    """Writes the shards and reads them back: doc_id, size, text_crc32, shard and slot of every row.
+
+    Null text counts as empty; extra columns are written along.
+    """
+    folder = run_folder(docs.sparkSession, "shards")
+    write_shards(docs, folder, shards)
+    back = docs.sparkSession.read.schema(StructType([*docs.schema, *_PLACE])).parquet(folder)
+    return back.select(
+        "doc_id", text_bytes(F.col("text")).alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
+    )
 
 
 def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS) -> None:

@@ -154,3 +154,11 @@ def test_secrets_long_parts_at_bin_edges(spark):
     rows = list(enumerate(["." * 2000 + " " + "Ab1" * 166 + " " * 100 + partners["id"], *texts]))
     got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).withColumn("s", secrets.F.sha2("base", 256))
     same(got, brute.secrets(rows), "doc_id", "n_assign", "n_access", "n_hex", "s", "spans")
+
+
+def test_reported_shards_are_the_written_ones(spark, tmp_path):
+    """Texts of more bytes than a bucket holds: the places that are reported are those of the files."""
+    docs = spark.range(40).selectExpr("id doc_id", "repeat(cast(id % 10 as string), 3000000) text", "'x' source")
+    sharding.write_shards(docs, str(tmp_path / "out"), 4)
+    files = {r.doc_id: (r._shard, r._slot) for r in spark.read.parquet(str(tmp_path / "out")).drop("text").collect()}
+    assert {r.doc_id: (r.shard, r.slot) for r in sharding.document_shards(docs, 4).collect()} == files
