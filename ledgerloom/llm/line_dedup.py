@@ -9,7 +9,8 @@ The index keeps, in one folder, three tables with a ``batch`` partition each:
 An insert asks the filters first. A key that they do not know is new for certain, so its count is the
 batch's own and no older row is read. Only keys that they may know are recounted from ``holders``. A
 delete recounts the keys of the deleted documents and takes keys without holders out of the filters, so
-that inserting and deleting a document leaves the counts as they were.
+that inserting and deleting a document leaves the counts as they were. Which keys enter and leave the filters
+is decided by the live rows of ``refs``: every counted key has a fingerprint of its own, also one that looks known.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ class CuckooFilter:
         return found
 
     def insert(self, hashes: np.ndarray) -> None:
-        """Add keys that are not in the filter yet."""
+        """Add keys that were not added yet, or were deleted; each gets a fingerprint of its own."""
         table = self.levels[-1]
         room = int(table.size * 0.9) - int(np.count_nonzero(table))
         if room < len(hashes):
@@ -107,38 +108,41 @@ class CuckooFilter:
                 self.levels.insert(0, spill)
 
     def delete(self, hashes: np.ndarray) -> None:
-        """Remove keys that are in the filter."""
+        """Remove keys that were added.
+
+        In levels of one size equal fingerprints in a key's buckets can stand for one another. Where levels of several
+        sizes have it, the key's own one is not known and all stay, as taking another key's would lose that key.
+        """
         for key in hashes:
+            hits = []
             for table in self.levels:
                 prints, first, second = self._places(table, np.array([key], np.uint64))
-                hit = next(((b, s) for b in (first[0], second[0]) for s in range(SLOTS) if table[b, s] == prints[0]), None)
-                if hit:
-                    table[hit] = 0
-                    break
+                hits += [(table, b, s) for b in (first[0], second[0]) for s in range(SLOTS) if table[b, s] == prints[0]][:1]
+            if len({len(table) for table, _, _ in hits}) == 1:
+                table, bucket, slot = hits[0]
+                table[bucket, slot] = 0
 
 
 def _hashes(keys: Sequence[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), "<u8").reshape(-1, 2)[:, 0].astype(np.uint64)
 
 
+def _probe_filter(keys: pa.Table, filters: pa.Table) -> pa.Table:
+    """One shard: flags the batch's keys as known or new."""
+    blobs, names = filters.column("filter").to_pylist(), keys.column("key").to_pylist()
+    seen = pickle.loads(blobs[0]).contains(_hashes(names)).tolist() if blobs else [False] * len(names)
+    return pa.table({"key": pa.array(names, pa.binary()), "known": pa.array(seen, pa.bool_())})
+
+
 def _update_filter(keys: pa.Table, filters: pa.Table) -> pa.Table:
-    """One shard: flags the batch's keys as known or new, and returns the filter after inserts and deletes."""
+    """One shard: the filter after the batch's deletes and inserts."""
     blobs = filters.column("filter").to_pylist()
     shard = (keys.column("shard") if keys.num_rows else filters.column("shard"))[0].as_py()
     held = pickle.loads(blobs[0]) if blobs else CuckooFilter(max(KEYS_PER_SHARD // 8, keys.num_rows))
-    names, gone = keys.column("key").to_pylist(), np.array(keys.column("gone").to_pylist(), bool)
-    hashes = _hashes(names)
-    seen = held.contains(hashes)
-    held.delete(hashes[gone & seen])
-    held.insert(hashes[~gone & ~seen])
-    return pa.table(
-        {
-            "shard": pa.array([shard] * (len(names) + 1), pa.int32()),
-            "key": pa.array([*names, None], pa.binary()),
-            "known": pa.array([*seen.tolist(), None], pa.bool_()),
-            "filter": pa.array([None] * len(names) + [pickle.dumps(held)], pa.binary()),
-        }
-    )
+    hashes, gone = _hashes(keys.column("key").to_pylist()), np.array(keys.column("gone").to_pylist(), bool)
+    held.delete(hashes[gone])
+    held.insert(hashes[~gone])
+    return pa.table({"shard": pa.array([shard], pa.int32()), "filter": pa.array([pickle.dumps(held)], pa.binary())})
 
 
 class LineIndex:
@@ -174,13 +178,14 @@ class LineIndex:
     def _read(self, table: str, schema: str, batch: int | None = None) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self._path(table, batch))
 
-    def refs(self) -> DataFrame:
-        """Exact reference counts: key, n_docs, last_doc."""
+    def refs(self, keys: DataFrame | None = None) -> DataFrame:
+        """Exact reference counts: key, n_docs, last_doc; with ``keys``, of these only."""
+        only = (lambda rows: rows) if keys is None else lambda rows: rows.join(keys.select("key"), "key", "left_semi")
         if not self.batch:
             return self.spark.createDataFrame([], "key binary, n_docs long, last_doc long")
         if self.batch == 1:
-            return self._read("refs", "key binary, n_docs long, last_doc long", 1)
-        rows = self._read("refs", "key binary, n_docs long, last_doc long, batch int")
+            return only(self._read("refs", "key binary, n_docs long, last_doc long", 1))
+        rows = only(self._read("refs", "key binary, n_docs long, last_doc long, batch int"))
         newest = rows.groupBy("key").agg(F.max_by(F.struct("n_docs", "last_doc"), "batch").alias("x"))
         return newest.select("key", "x.*").where("n_docs > 0")
 
@@ -192,18 +197,22 @@ class LineIndex:
     def _shard(self) -> F.Column:
         return F.pmod(F.xxhash64("key"), F.lit(self.shards)).cast("int").alias("shard")
 
-    def _filtered(self, keys: DataFrame, batch: int) -> DataFrame:
-        """The batch's keys with ``known``; writes the filters as they are after the batch."""
-        old = (
-            self._read("filters", "shard int, key binary, known boolean, filter binary", batch - 1).where("filter IS NOT NULL")
-            if batch > 1
-            else self.spark.createDataFrame([], "shard int, filter binary")
-        )
-        dealt = keys.select(self._shard(), "key", "gone").groupBy("shard")
-        dealt.cogroup(old.select("shard", "filter").groupBy("shard")).applyInArrow(
-            _update_filter, "shard int, key binary, known boolean, filter binary"
-        ).write.mode("overwrite").parquet(self._path("filters", batch))
-        return self._read("filters", "shard int, key binary, known boolean, filter binary", batch).where("key IS NOT NULL")
+    def _filters(self, batch: int) -> DataFrame:
+        if not batch:
+            return self.spark.createDataFrame([], "shard int, filter binary")
+        return self._read("filters", "shard int, filter binary", batch)
+
+    def _probed(self, keys: DataFrame, batch: int) -> DataFrame:
+        """The batch's keys with ``known``, by the filters as they were before it."""
+        dealt, old = keys.select(self._shard(), "key").groupBy("shard"), self._filters(batch - 1).groupBy("shard")
+        dealt.cogroup(old).applyInArrow(_probe_filter, "key binary, known boolean").write.mode("overwrite").parquet(self._path("probed", batch))
+        return self._read("probed", "key binary, known boolean", batch)
+
+    def _refilter(self, keys: DataFrame, gone: bool, batch: int) -> None:
+        """Write the filters as they are after the batch: with the keys, or without them if they are ``gone``."""
+        dealt = keys.select(self._shard(), "key", F.lit(gone).alias("gone")).groupBy("shard")
+        new = dealt.cogroup(self._filters(batch - 1).groupBy("shard")).applyInArrow(_update_filter, "shard int, filter binary")
+        new.write.mode("overwrite").parquet(self._path("filters", batch))
 
     def insert(self, docs: DataFrame) -> LineIndex:
         batch = self.batch + 1
@@ -213,12 +222,14 @@ class LineIndex:
         counts = mine.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
         if not self.shards:  # settled by the first batch; later growth adds levels to the filters
             self.shards = 1 + mine.select(F.approx_count_distinct("key")).first()[0] // KEYS_PER_SHARD
-        flagged = self._filtered(counts.withColumn("gone", F.lit(False)), batch)
         if batch == 1:  # nothing was known before
-            refs = counts
+            fresh = refs = counts
         else:
-            new = counts.join(flagged.where("NOT known").select("key"), "key", "left_semi")
-            refs = new.unionByName(self._recount(flagged.where("known")))
+            probed = self._probed(counts, batch)
+            known = probed.where("known")
+            fresh = counts.join(self.refs(known).select("key"), "key", "left_anti")
+            refs = counts.join(probed.where("NOT known").select("key"), "key", "left_semi").unionByName(self._recount(known))
+        self._refilter(fresh, False, batch)
         refs.write.mode("overwrite").parquet(self._path("refs", batch))
         self.batch = batch
         return self
@@ -230,8 +241,9 @@ class LineIndex:
         held.write.mode("overwrite").parquet(self._path("holders", batch))
         touched = self._read("holders", "key binary, doc_id long, live boolean", batch).select("key").distinct()
         self._recount(touched).write.mode("overwrite").parquet(self._path("refs", batch))
-        now = self._read("refs", "key binary, n_docs long, last_doc long", batch)
-        self._filtered(now.withColumn("gone", F.col("n_docs") == 0), batch)
+        none_left = self._read("refs", "key binary, n_docs long, last_doc long", batch).where("n_docs = 0")
+        live_before = self.refs(touched) if batch > 1 else none_left.limit(0)
+        self._refilter(none_left.join(live_before.select("key"), "key", "left_semi"), True, batch)
         self.batch = batch
         return self
 
