@@ -72,3 +72,23 @@ ORACLE = {
     "op4_minhash": _MINHASH,
     "op5_line_dedup": _LINES,
 }
+
+# Each order is played as it is defined, step by step; the potential has no part in it.
+_AUDIT = r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    f AS (SELECT doc_id, part, (len(w) < 200)::INT + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+        + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS m FROM d),
+    l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id),
+    c AS (SELECT part, m, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL),
+    x AS (SELECT unnest(range(5)) AS i),
+    o AS (SELECT [a.i, b.i, c.i, d.i, e.i] AS p FROM x a, x b, x c, x d, x e WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+    s AS (SELECT p, k AS step, 1 << p[k] AS bit, coalesce(list_sum(list_transform(p[1 : k - 1], lambda i: 1 << i)), 0)::BIGINT AS seen
+      FROM (SELECT p, unnest([1, 2, 3, 4, 5]) AS k FROM o)),
+    r AS (SELECT part, array_to_string(list_transform(p, lambda i: chr((65 + i)::INT)), '') AS filter_order, step::INT AS step, chr((65 + log2(bit)::INT)::INT) AS filter,
+        coalesce(sum(n) FILTER (m & (seen | bit) = 0), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (m & bit <> 0 AND m & seen = 0), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (m & bit <> 0 AND m & seen <> 0), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (m = bit), 0)::BIGINT AS unique_fails,
+        coalesce(sum(good) FILTER (m & bit <> 0 AND m & seen = 0), 0)::BIGINT AS good_lost, coalesce(sum(bad) FILTER (m & bit <> 0 AND m & seen = 0), 0)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY part, p, step, bit, seen)
+  SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r"""
+
+ORACLE["op11_filter_audit"] = _AUDIT
