@@ -92,3 +92,16 @@ _AUDIT = r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(te
   SELECT *, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r"""
 
 ORACLE["op11_filter_audit"] = _AUDIT
+
+_NEGATIVES = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+      list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+      WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+  SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b))::INT AS rank,
+    s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+  QUALIFY rank <= 10"""
+
+ORACLE["op12_hard_negatives"] = _NEGATIVES

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.tables import table
-from ledgerloom.llm import decontaminate, embeddings, filter_audit, language, minhash, packing, pages, secrets, sharding, suffixes
+from ledgerloom.llm import decontaminate, embeddings, filter_audit, hard_negatives, language, minhash, packing, pages, secrets, sharding, suffixes
 from ledgerloom.llm.line_dedup import LineIndex
 from ledgerloom.llm.oracles import ORACLE  # noqa: F401
 
@@ -74,4 +74,10 @@ def op11_filter_audit(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op7_suffixes, op8_pages, op9_secrets, op10_language, op11_filter_audit)}
+
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf, "embeddings"), label)
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op7_suffixes, op8_pages, op9_secrets, op10_language, op11_filter_audit, op12_hard_negatives)}
