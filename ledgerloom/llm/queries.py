@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.tables import table
-from ledgerloom.llm import decontaminate, embeddings, filter_audit, hard_negatives, language, minhash, packing, pages, secrets, sharding, suffixes
+from ledgerloom.llm import decontaminate, embeddings, filter_audit, fingerprints, hard_negatives, language, minhash, packing, pages, secrets, sharding, suffixes
 from ledgerloom.llm.line_dedup import LineIndex
 from ledgerloom.llm.oracles import ORACLE  # noqa: F401
 
@@ -80,4 +80,9 @@ def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf, "embeddings"), label)
 
 
-QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op7_suffixes, op8_pages, op9_secrets, op10_language, op11_filter_audit, op12_hard_negatives)}
+
+def op13_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.fingerprint(table(spark, sf, "documents"))
+
+
+QUERIES = {q.__name__: q for q in (op1_decontaminate, op2_pack, op3_embeddings, op4_minhash, op5_line_dedup, op6_shards, op7_suffixes, op8_pages, op9_secrets, op10_language, op11_filter_audit, op12_hard_negatives, op13_fingerprints)}
