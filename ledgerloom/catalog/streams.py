@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ledgerloom.catalog.tables import utc
 from ledgerloom.session import configure, run_folder
+from ledgerloom.sinks.batch_log import BatchLog
 from ledgerloom.streaming.ingest import StreamTables, bounded_dedup, event_time, fresh_only, ingest_stream
+from ledgerloom.streaming.keyed import ingest_keyed, seen_keys
 
 NOW = "2024-01-25T00:00:00Z"
 ROW = "url string, event_id bigint, event_type string, published timestamp"
@@ -68,6 +70,31 @@ def stream_fresh(spark: SparkSession, sf: str) -> DataFrame:
     return seen.join(saved, "event_type", "left").select("event_type", F.coalesce("saved", F.lit(0)).alias("saved"), "seen")
 
 
+def run_keyed(spark: SparkSession, sf: str, label: str, **options) -> tuple[BatchLog, str]:
+    """The ingest on a state store, stopped and started again after each landing; the log of saved rows, and the checkpoint."""
+    root = run_folder(spark, label)
+    log = BatchLog(spark, f"{root}/saved", ROW)
+    for _ in _landings(spark, sf, f"{root}/landed"):
+        rows = event_stream(spark, sf, f"{root}/landed").drop("arrival")
+        writer = ingest_keyed(rows, log, "url", ["event_id"], f"{root}/checkpoint", **options)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return log, f"{root}/checkpoint"
+
+
+def stream_keyed(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per key over the stream, the first in landing order, with the keys in the stream's own state."""
+    return run_keyed(spark, sf, "stream-keyed")[0].read().select("url", "event_id")
+
+
+def stream_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Fresh and dateless rows are saved, stale keys are remembered: rows saved, and keys in the exported state, per kind."""
+    log, checkpoint = run_keyed(spark, sf, "stream-keys", now=utc(NOW), ts="published")
+    saved = log.read().groupBy("event_type").agg(F.count(F.lit(1)).alias("saved"))
+    kind = F.element_at(F.split("url", ":"), -1).alias("event_type")
+    seen = seen_keys(spark, checkpoint, "url").groupBy(kind).agg(F.count(F.lit(1)).alias("seen"))
+    return seen.join(saved, "event_type", "left").select("event_type", F.coalesce("saved", F.lit(0)).alias("saved"), "seen")
+
+
 def _to_files(spark: SparkSession, sf: str, label: str, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
     root = run_folder(spark, label)
     for _ in _landings(spark, sf, f"{root}/landed"):
@@ -99,15 +126,21 @@ _FIRST = f"SELECT url, min(event_id) AS event_id, any_value(event_type) AS event
 QUERIES = {
     "stream_dedup": stream_dedup,
     "stream_fresh": stream_fresh,
+    "stream_keyed": stream_keyed,
+    "stream_keys": stream_keys,
     "stream_bounded": stream_bounded,
     "stream_gate": stream_gate,
 }
 
+_FRESH = f"""SELECT event_type, count(*) FILTER (published IS NULL OR published >= TIMESTAMP '2024-01-24') AS saved,
+        count(*) AS seen FROM (SELECT f.url, f.event_type, e.published FROM ({_FIRST}) f JOIN ({_ROWS}) e USING (event_id))
+      GROUP BY event_type"""
+
 ORACLE = {
     "stream_dedup": f"SELECT url, event_id FROM ({_FIRST})",
-    "stream_fresh": f"""SELECT event_type, count(*) FILTER (published IS NULL OR published >= TIMESTAMP '2024-01-24') AS saved,
-        count(*) AS seen FROM (SELECT f.url, f.event_type, e.published FROM ({_FIRST}) f JOIN ({_ROWS}) e USING (event_id))
-      GROUP BY event_type""",
+    "stream_fresh": _FRESH,
+    "stream_keyed": f"SELECT url, event_id FROM ({_FIRST})",
+    "stream_keys": _FRESH,
     "stream_bounded": f"SELECT DISTINCT url FROM ({_ROWS})",
     "stream_gate": f"SELECT event_id FROM ({_ROWS}) WHERE published >= TIMESTAMP '2024-01-24'",
 }

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+PUSHED_VALUES = 512
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -14,6 +16,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Let every top-k keep its k rows per input task before the shuffle, whatever k is.
     "spark.sql.optimizer.windowGroupLimitThreshold": "2147483647",
+    # A list of up to so many values is checked against the statistics and Bloom filters of Parquet files value by value.
+    "spark.sql.parquet.pushdown.inFilterThreshold": str(PUSHED_VALUES),
+    # Functions over Arrow batches get whole texts; a batch of them stays small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Of repeated keys in a JSON answer the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
