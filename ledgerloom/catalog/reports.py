@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.catalog.tables import table, utc
+from ledgerloom.operators.gram_index import GramIndex
 from ledgerloom.operators.report import (
     count_by_type,
     flat_columns,
@@ -21,7 +22,9 @@ from ledgerloom.operators.report import (
     two_decimals,
     yes_no,
 )
+from ledgerloom.operators.typed import judge_payloads
 from ledgerloom.operators.validate import envelope, split_records
+from ledgerloom.session import run_folder
 from ledgerloom.sources.landed import payload_records
 
 AT = "2024-02-01T00:00:00Z"
@@ -121,6 +124,17 @@ def search_rows(spark: SparkSession, sf: str) -> DataFrame:
     return search(paper_records(spark, sf), "RESEARCH_PAPER", "FR src1").select(F.col("source.url").alias("url"))
 
 
+def search_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Papers found through an index of grams: a long query, a rare one, one without a hit and one too short for the index."""
+    papers = paper_records(spark, sf).select("source.url", "content.title", F.array_join("content.authors", " ").alias("authors"))
+    index = GramIndex(spark, run_folder(spark, "grams"), {"title": F.col("title"), "authors": F.col("authors")}).build(papers, "url")
+    found = None
+    for query in ("FR src1", "src13", "no such text", "eN", "li"):
+        own = index.search(query).select(F.lit(query).alias("query"), F.col("key").alias("url"))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
 def _plain(df: DataFrame) -> DataFrame:
     """Flat rows under names without dots."""
     return df.toDF(*[c.replace(".", "_") for c in df.columns])
@@ -190,15 +204,122 @@ def record_validation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def typed_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored JSON of four types with wrong types, missing members and broken text: ``record_type, id, payload``.
+
+    Head counts of companies, flags of jobs, pricing of products and author lists of papers come in every right and wrong type.
+    """
+
+    def payload(source: DataFrame, kind: str, key: str, url: Column, content: Column) -> DataFrame:
+        text = F.concat(
+            F.lit('{"recordType": "' + kind + '", "source": {"name": "s", "url": '), url, F.lit('}, "content": '), content,
+            F.lit(', "collectedAt": "2024-02-01T00:00:00Z", "note": 1}'),
+        )
+        return source.select(F.lit(kind).alias("record_type"), F.col(key).cast("long").alias("id"), text.alias("payload"), F.col(key).alias("_k"))
+
+    at = lambda key, forms: F.element_at(F.array(*[F.lit(f) for f in forms]), (F.col(key) % len(forms) + 1).cast("int"))
+    url = lambda key: F.concat(F.lit('"https://x.example/'), F.col(key).cast("string"), F.lit('"'))
+    companies = payload(
+        table(spark, sf, "customer"), "STARTUP", "c_custkey", url("c_custkey"),
+        F.concat(F.lit('{"entityName": "A", "data": '), at("c_custkey", COUNT_FORMS), F.lit("}")),
+    )
+    products = payload(
+        table(spark, sf, "part"), "PRODUCT", "p_partkey", F.when(F.col("p_size") > 45, F.lit('"nowhere"')).otherwise(url("p_partkey")),
+        F.concat(at("p_partkey", NAME_FORMS), at("p_size", PRICING_FORMS), F.lit("}")),
+    )
+    jobs = payload(
+        table(spark, sf, "orders"), "JOB", "o_orderkey", url("o_orderkey"),
+        F.concat(F.lit('{"company": "C", "is_remote": '), at("o_orderkey", REMOTE_FORMS), F.lit(', "date": '), at("o_custkey", DATE_FORMS), F.lit("}")),
+    )
+    papers = payload(
+        table(spark, sf, "documents"), "RESEARCH_PAPER", "doc_id", url("doc_id"),
+        F.concat(F.lit('{"title": "T", "paper_url": "https://p.example", "authors": '), at("doc_id", AUTHOR_FORMS), F.lit("}")),
+    )
+    rows = companies.unionByName(products).unionByName(jobs).unionByName(papers)
+    cut = F.when(F.col("_k") % 11 == 10, F.expr("left(payload, length(payload) - 2)")).otherwise(F.col("payload"))
+    return rows.select("record_type", "id", cut.alias("payload"))
+
+
+def payload_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Every payload judged: a row per fault with its path and reason, or one row with the typed value of a valid record."""
+    rows = typed_payloads(spark, sf)
+    values = {
+        "STARTUP": F.col("record.content.data.employeeCount").cast("string"),
+        "PRODUCT": F.col("record.content.pricingModel"),
+        "JOB": F.concat_ws("|", F.col("record.content.is_remote").cast("string"), F.date_format("record.content.date", "yyyy-MM-dd HH:mm")),
+        "RESEARCH_PAPER": F.array_join("record.content.authors", "|"),
+    }
+    judged = None
+    for kind, value in values.items():
+        own = judge_payloads(rows.where(F.col("record_type") == kind), kind)
+        valid = F.array(F.struct(F.lit("").alias("path"), F.lit("valid").alias("reason")))
+        own = own.select("record_type", "id", F.explode(F.when(F.size("rejects") > 0, F.col("rejects")).otherwise(valid)).alias("f"), F.coalesce(value, F.lit("")).alias("value"))
+        judged = own if judged is None else judged.unionByName(own)
+    return judged.select("record_type", "id", "f.path", "f.reason", "value")
+
+
+# JSON of each form, and what is read from it: a value, or none with a reason.
+COUNT_FORMS = ('{"employeeCount": 5}', '{"employeeCount": "many"}', '{"employeeCount": "12"}', '{"employeeCount": 3.0}', '{"employeeCount": 2.5}',
+               '{"employeeCount": null}', "{}", '{"employeeCount": true}', '{"employeeCount": [1]}', '{"employeeCount": 1e30}', "7", "null")
+COUNT_READ = (("5", 0), ("", 1), ("12", 0), ("3", 0), ("", 1), ("", 0), ("", 0), ("1", 0), ("", 1), ("", 1), ("", 2), ("", 2))
+NAME_FORMS = ('{"startupName": "P", "pricingModel": ', '{"startupName": 5, "pricingModel": ', '{"startupName": null, "pricingModel": ', '{"pricingModel": ')
+NAME_READ = ("", "not a text", "missing", "missing")
+PRICING_FORMS = ('"FREE"', '"CHEAP"', "null", "1")
+PRICING_READ = (("FREE", ""), ("", "not an allowed value"), ("", ""), ("", "not an allowed value"))
+REMOTE_FORMS = ("true", "false", "5", "1", "0.0", '"YES"', '"maybe"', "null", "[]")
+REMOTE_READ = (("true", 0), ("false", 0), ("", 1), ("true", 0), ("false", 0), ("true", 0), ("", 1), ("", 0), ("", 1))
+DATE_FORMS = ('"2024-01-02T03:04:00Z"', "null", "17", '"soon"', '"2024-01-02T05:04:00+02:00"')
+DATE_READ = (("2024-01-02 03:04", 0), ("", 0), ("", 1), ("", 1), ("2024-01-02 03:04", 0))
+AUTHOR_FORMS = ('["A", "B"]', "[]", '["A", 1]', '["A", null]', '"A"', "null", '["C"]')
+AUTHOR_READ = (("A|B", 0), ("", 0), ("", 1), ("", 1), ("", 1), ("", 1), ("C", 0))
+
+
+def _sql_pick(key: str, values: list) -> str:
+    """The entry of a list that a key chooses."""
+    listed = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values)
+    return f"list_extract([{listed}], (1 + {key} % {len(values)})::BIGINT)"
+
+
+def _sql_judged() -> str:
+    """record_type, id, the faults in rule order as path and reason, and the typed value."""
+    first, second = (lambda forms: [f[0] for f in forms]), (lambda forms: [f[1] for f in forms])
+    fault = lambda test, path, reason: f"CASE WHEN {test} THEN {{'path': {path}, 'reason': {reason}}} END"
+    count = _sql_pick("c_custkey", second(COUNT_READ))
+    name, pricing = _sql_pick("p_partkey", list(NAME_READ)), _sql_pick("p_size", second(PRICING_READ))
+    remote, date = _sql_pick("o_orderkey", second(REMOTE_READ)), _sql_pick("o_custkey", second(DATE_READ))
+    author = _sql_pick("doc_id", second(AUTHOR_READ))
+    flag, day = _sql_pick("o_orderkey", first(REMOTE_READ)), _sql_pick("o_custkey", first(DATE_READ))
+    parts = (
+        ("STARTUP", "customer", "c_custkey", [
+            fault(f"{count} = 2", "'$.content.data'", "'not an object'"), fault(f"{count} = 1", "'$.content.data.employeeCount'", "'not a whole number'"),
+        ], _sql_pick("c_custkey", first(COUNT_READ))),
+        ("PRODUCT", "part", "p_partkey", [
+            fault("p_size > 45", "'$.source.url'", "'not a URL'"), fault(f"{name} <> ''", "'$.content.startupName'", name),
+            fault(f"{pricing} <> ''", "'$.content.pricingModel'", pricing),
+        ], _sql_pick("p_size", first(PRICING_READ))),
+        ("JOB", "orders", "o_orderkey", [
+            fault(f"{date} = 1", "'$.content.date'", "'not an ISO time'"), fault(f"{remote} = 1", "'$.content.is_remote'", "'not true or false'"),
+        ], f"concat_ws('|', nullif({flag}, ''), nullif({day}, ''))"),
+        ("RESEARCH_PAPER", "documents", "doc_id", [fault(f"{author} = 1", "'$.content.authors'", "'not a list of texts'")], _sql_pick("doc_id", first(AUTHOR_READ))),
+    )
+    return " UNION ALL ".join(
+        f"""SELECT '{kind}' AS record_type, {key}::BIGINT AS id, CASE WHEN {key} % 11 = 10 THEN [{{'path': '$', 'reason': 'broken JSON'}}]
+          ELSE list_filter([{", ".join(faults)}], lambda x: x IS NOT NULL) END AS faults, {value} AS value FROM {source}"""
+        for kind, source, key, faults, value in parts
+    )
+
+
 _AT_ISO = "2024-02-01T00:00:00Z"
 
 QUERIES = {
     "payload_scan": payload_scan,
     "record_validation": record_validation,
+    "payload_types": payload_types,
     "record_counts": record_counts,
     "summary_counts": summary_counts,
     "search_counts": search_counts,
     "search_rows": search_rows,
+    "search_indexed": search_indexed,
     "flat_export": flat_news,
     "flat_papers": flat_papers,
     "flat_jobs": flat_jobs,
@@ -208,6 +329,8 @@ QUERIES = {
 }
 
 ORACLE = {
+    "payload_types": f"""SELECT record_type, id, unnest(CASE WHEN len(faults) = 0 THEN [{{'path': '', 'reason': 'valid'}}] ELSE faults END, recursive := true),
+        CASE WHEN len(faults) = 0 THEN value ELSE '' END AS value FROM ({_sql_judged()})""",
     "payload_scan": """SELECT 'https://d.example/' || doc_id AS url,
         CASE WHEN lang <> 'es' THEN upper(lang) || '|' || source || '|Li' END AS authors, quality::BIGINT AS stars,
         CASE WHEN lang = 'en' THEN '2024-02-01 00:00' ELSE '' END AS published, '2024-02-01 00:00' AS collected
@@ -231,6 +354,9 @@ ORACLE = {
         UNION ALL SELECT 'NEWS', count(*) FILTER (contains(source, 'src1')), count(*) FROM documents
         UNION ALL SELECT 'MAPPING', count(*) FILTER (contains(lower(s_name), 'plier#00000000')), count(*) FROM supplier)""",
     "search_rows": """SELECT 'https://d.example/' || doc_id AS url FROM documents WHERE lang = 'fr' AND source LIKE 'src1%'""",
+    "search_indexed": """SELECT q AS query, 'https://d.example/' || doc_id AS url FROM documents,
+        (VALUES ('FR src1'), ('src13'), ('no such text'), ('eN'), ('li')) v(q)
+      WHERE contains(lower(source), lower(q)) OR contains(lower(CASE WHEN lang <> 'es' THEN upper(lang) || ' ' || source || ' Li' ELSE '' END), lower(q))""",
     "flat_export": f"""SELECT '1.0' AS "schemaVersion", 'NEWS' AS "recordType", lang AS source_name,
         'https://n.example/' || doc_id AS source_url, source AS title,
         CASE WHEN lang = 'de' THEN '{_AT_ISO}' ELSE '' END AS "publishedDate",
