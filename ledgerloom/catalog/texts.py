@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fv
 from ledgerloom.catalog.tables import SQL_LEFT, SQL_RIGHT, sql_bars, sql_chunk, table
 from ledgerloom.functions.answers import answer_text, json_object, strip_fences, valid_enum, variant_string
-from ledgerloom.functions.html import main_text
+from ledgerloom.functions.html import ENTITIES, TAG_COST, dense_text, main_text
 from ledgerloom.functions.text import (
     build_prompt,
     chunk_text,
@@ -115,6 +115,14 @@ def page_main_text(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.length(text).alias("n_chars"), F.md5(text).alias("digest"))
 
 
+def page_dense_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text by block density of every page, once as it is and once without the elements that name their article."""
+    bare = F.regexp_replace("html", r"(?i)</?(article|main|section)\b[^>]*>", "")
+    rows = table(spark, sf, "pages").select("page_id", F.explode(F.array(F.struct(F.lit("given").alias("form"), F.col("html")), F.struct(F.lit("bare").alias("form"), bare.alias("html")))).alias("p"))
+    text = rows.select("page_id", "p.form", dense_text(F.col("p.html")).alias("text"))
+    return text.select("page_id", "form", F.length("text").alias("n_chars"), F.md5("text").alias("digest"))
+
+
 def chunk_boundary(spark: SparkSession, sf: str) -> DataFrame:
     chunk = chunk_text(F.col("text"), BUDGET)
     return documents(spark, sf).select("doc_id", F.length(chunk).alias("n_chars"), F.md5(chunk).alias("digest"))
@@ -213,6 +221,23 @@ for _entity, _char in (
 ):
     _STRIPPED_HTML = f"replace({_STRIPPED_HTML}, '{_entity}', '{_char}')"
 
+# The run of greatest sum is the greatest difference of two prefix sums.
+_DENSE = "string_agg(token, ' ' ORDER BY i)"
+for _entity, _char in ENTITIES:
+    _DENSE = f"replace({_DENSE}, '{_entity}', '{_char.replace("'", "''")}')"
+_DENSE_SQL = rf"""WITH p AS (SELECT page_id, 'given' AS form, html FROM pages UNION ALL
+      SELECT page_id, 'bare', regexp_replace(html, '(?i)</?(article|main|section)\b[^>]*>', '', 'g') FROM pages),
+    t AS (SELECT page_id, form, unnest(l) AS token, unnest(range(1, len(l) + 1)) AS i FROM (SELECT page_id, form, regexp_extract_all(html,
+      '(?is)<!--.*?-->|<script\b.*?</script[^>]*>|<style\b.*?</style[^>]*>|</?[a-z!?][^>]*>|[^< 	
+]+|<') AS l FROM p)),
+    g AS (SELECT *, token = '<' OR token[1] <> '<' AS word FROM t),
+    s AS (SELECT *, sum(CASE WHEN word THEN 1 ELSE -{TAG_COST} END) OVER w AS s FROM g WINDOW w AS (PARTITION BY page_id, form ORDER BY i)),
+    b AS (SELECT *, coalesce(least(0, min(s) OVER w), 0) AS low FROM s WINDOW w AS (PARTITION BY page_id, form ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    e AS (SELECT page_id, form, i AS last, low FROM b WHERE s > low QUALIFY row_number() OVER (PARTITION BY page_id, form ORDER BY s - low DESC, i) = 1),
+    r AS (SELECT e.page_id, e.form, last, coalesce(max(i) FILTER (s = low AND i < last), 0) AS before FROM e JOIN s USING (page_id, form) GROUP BY ALL),
+    x AS (SELECT page_id, form, {_DENSE} AS text FROM r JOIN g USING (page_id, form) WHERE word AND i > before AND i <= last GROUP BY page_id, form)
+  SELECT page_id, form, length(text)::INT AS n_chars, md5(text) AS digest FROM p LEFT JOIN x USING (page_id, form)"""
+
 _PROMPT = (fv.PROMPT_HEAD + fv.PRICING_SCHEMA + fv.PROMPT_TEXT_MARK).replace("'", "''")
 _BARE = "regexp_replace(url, '[?#].*$', '')"
 _SEGMENT = f"list_extract(string_split(regexp_replace({_BARE}, '/+$', ''), '/'), -1)"
@@ -226,6 +251,7 @@ QUERIES = {
     "url_parts": url_parts,
     "canonical_url_dedup": canonical_url_dedup,
     "page_main_text": page_main_text,
+    "page_dense_text": page_dense_text,
     "chunk_boundary": chunk_boundary,
     "prompt_build": prompt_build,
     "cell_truncation": cell_truncation,
@@ -235,6 +261,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "page_dense_text": _DENSE_SQL,
     "relevance_filter": f"""SELECT doc_id, lang FROM documents
       WHERE regexp_matches(coalesce(source, '') || ' ' || coalesce(text, ''), '(?i){_sql_topic()}')""",
     "keyword_label_counts": sql_bars(
