@@ -21,11 +21,12 @@ from ledgerloom.operators.dedup import (
 )
 from ledgerloom.operators.ingest import accounting, decide, freshness_reason
 from ledgerloom.operators.lookups import linked_repo, repo_stars
+from ledgerloom.operators.page_order import page_places
 from ledgerloom.operators.ranking import first_success, limit_new, newest_first, prominence_topk
 from ledgerloom.operators.validate import envelope, split_valid
 from ledgerloom.plans import ingest
 from ledgerloom.session import run_folder
-from ledgerloom.sources.landed import POST_PAGE, board_jobs, first_boards, product_posts, read_papers
+from ledgerloom.sources.landed import POST_PAGE, board_jobs, first_boards, product_posts, read_papers, read_product_pages
 
 HALF = "2024-01-16T00:00:00Z"
 AT = "2024-02-01T00:00:00Z"
@@ -246,6 +247,44 @@ def product_pages(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def cursor_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of fifty parts for seven feeds with cursors that say nothing of their order. In feed 1 the fourth page never landed; in
+    feed 2 the second page is the last of the first two, and those from the third on lead round to the third."""
+    feed, number = F.col("p_partkey") % 7, F.floor(F.col("p_partkey") / 350)
+    pages = table(spark, sf, "part").groupBy(feed.alias("f"), number.alias("n")).agg(F.count(F.lit(1)).alias("posts"))
+    last = pages.groupBy("f").agg(F.max("n").alias("last"))
+    cursor = lambda n: F.md5(F.concat_ws("-", "f", n.cast("string")))
+    following = F.when((F.col("f") == 2) & (F.col("n") == F.col("last")), F.lit(2)).otherwise(F.col("n") + 1)
+    more = F.when(F.col("f") == 2, F.col("n") != 1).otherwise(F.col("n") < F.col("last"))
+    return pages.join(last, "f").where("NOT (f = 1 AND n = 3)").select(
+        F.concat(F.lit("feed"), F.col("f").cast("string")).alias("feed"), "n",
+        F.when(F.col("n") > 0, cursor(F.col("n"))).alias("cursor"), cursor(following).alias("end_cursor"), more.alias("has_next"),
+    )
+
+
+def page_order(spark: SparkSession, sf: str) -> DataFrame:
+    """The place of every page by its cursors, with breaks and circles."""
+    pages = cursor_pages(spark, sf)
+    places = page_places(pages).withColumn("cursor", F.nullif("cursor", F.lit("")))
+    return pages.join(places, pages["feed"].eqNullSafe(places["feed"]) & pages["cursor"].eqNullSafe(places["cursor"])).select(
+        pages["feed"], "n", "page", "status"
+    )
+
+
+def product_feed_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Product pages landed as files without page numbers, read back in feed order: the place of each post in the feed."""
+    pages = post_pages(spark, sf)
+    cursor = lambda n: F.md5(F.concat(F.lit("page "), n.cast("string")))
+    last = pages.agg(F.max("page")).first()[0]
+    info = F.struct((F.col("page") < last).alias("hasNextPage"), cursor(F.col("page") + 1).alias("endCursor"))
+    posts = F.struct(F.col("data.posts.edges").alias("edges"), info.alias("pageInfo"))
+    path = run_folder(spark, "product-pages")
+    landed_pages = pages.select(F.when(F.col("page") > 0, cursor(F.col("page"))).alias("cursor"), F.struct(posts.alias("posts")).alias("data"))
+    landed_pages.repartition(4, "cursor").write.json(path)
+    back = read_product_pages(spark, path, by_cursor=True)
+    return back.select("id", F.col("seq.page.page").alias("page"), F.col("seq.pos").alias("pos"))
+
+
 def post_rows(spark: SparkSession, sf: str) -> DataFrame:
     posts = product_posts(post_pages(spark, sf))
     return posts.withColumn("url", F.replace("url", F.lit(" "), F.lit("-")))
@@ -410,6 +449,8 @@ QUERIES = {
     "envelope_rows": envelope_rows,
     "startup_ingest": startup_ingest,
     "product_pages": product_pages,
+    "page_order": page_order,
+    "product_feed_order": product_feed_order,
     "product_ingest": product_ingest,
     "paper_ingest": paper_ingest,
     "news_ingest": news_ingest,
@@ -460,6 +501,11 @@ ORACLE = {
         count(*) AS copies, arg_min(name, seq) AS entity_name, list(team_size ORDER BY seq)[1] AS employees
       FROM (SELECT {_PROFILE} AS url, name, team_size, seq FROM (SELECT * FROM ({_COMPANIES})
           ORDER BY top_company DESC, coalesce(team_size, 0) DESC, seq LIMIT 1000) WHERE name <> '') GROUP BY url""",
+    "page_order": """SELECT 'feed' || f AS feed, n,
+        CASE WHEN f = 1 AND n > 3 THEN n - 4 WHEN f = 2 AND n > 1 THEN NULL ELSE n END AS page,
+        CASE WHEN f = 1 AND n > 3 THEN 'break' WHEN f = 2 AND n > 1 THEN 'cycle' ELSE 'ordered' END AS status
+      FROM (SELECT DISTINCT p_partkey % 7 AS f, p_partkey // 350 AS n FROM part) WHERE NOT (f = 1 AND n = 3)""",
+    "product_feed_order": f"""SELECT id, page, CAST(pos AS INTEGER) AS pos FROM ({_POSTS})""",
     "product_pages": f"""SELECT page, CAST(pos AS INTEGER) AS pos, id, name, tagline, maker FROM ({_POSTS})""",
     "product_ingest": f"""SELECT url, copies, raw_text, startup, pricing FROM (SELECT url, min(seq) AS seq, count(*) AS copies,
           list(concat_ws(' ', tagline, description) ORDER BY seq)[1] AS raw_text,

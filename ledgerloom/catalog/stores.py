@@ -6,7 +6,6 @@ Each run writes to a folder of its own below the cluster's shared folder.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
@@ -22,10 +21,11 @@ from ledgerloom.catalog.reports import (
 from ledgerloom.catalog.tables import table, utc
 from ledgerloom.plans import refine
 from ledgerloom.operators.dedup import exclude_seen, first_per_key
-from ledgerloom.session import run_folder
+from ledgerloom.operators.ranking import numbered
+from ledgerloom.session import run_folder, written
 from ledgerloom.sinks.exports import export_json, export_tabs
 from ledgerloom.sinks.store import Store, apply_updates, matched_updates
-from ledgerloom.sources.landed import feed_items, read_atom, read_companies, read_rss, rejected_entries, union_feeds
+from ledgerloom.sources.landed import feed_items, read_atom, read_companies, read_rss, rejected_entries, rejected_file_entries, union_feeds
 from ledgerloom.sources.seeds import seed_names
 
 AT = "2024-02-01T00:00:00Z"
@@ -65,6 +65,18 @@ def store_two_types(spark: SparkSession, sf: str) -> DataFrame:
     return rows.join(seen, "record_type", "full")
 
 
+def seen_few_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders' keys marked in two batches and compacted; a batch of a few hundred old and new keys looks its own up, by pushed filters."""
+    store = new_store(spark, "few-keys")
+    orders = table(spark, sf, "orders").select(F.concat(F.lit("https://o.example/"), F.col("o_orderkey").cast("string")).alias("url"), "o_orderkey", "o_orderstatus")
+    none = news_records(spark, sf).where(F.lit(False))
+    store.commit("NEWS", 1, none, orders.where("o_orderstatus = 'F'"), utc(AT))
+    store.commit("JOB", 2, job_records(spark, sf).where(F.lit(False)), orders.where("o_orderstatus = 'O'"), utc(AT))
+    store.compact_seen("NEWS", 1)
+    batch = table(spark, sf, "supplier").select(F.concat(F.lit("https://o.example/"), (F.col("s_suppkey") * 7).cast("string")).alias("url"))
+    return exclude_seen(batch, store.seen(3, "JOB", batch), "url").select("url")
+
+
 def raw_text_latest(spark: SparkSession, sf: str) -> DataFrame:
     """Texts by order key stored in two batches; the later batch and the later row win."""
     store = new_store(spark, "texts")
@@ -148,9 +160,8 @@ def mapping_export(spark: SparkSession, sf: str) -> DataFrame:
     root = f"{store.root}/export"
     export_json(store, root)
     lines = spark.read.text(f"{root}/entity_mappings").withColumn("part", F.col("_metadata.file_path"))
-    placed = lines.withColumn("line", F.monotonically_increasing_id())
-    place = F.row_number().over(Window.orderBy("part", "line"))
-    return placed.select(place.alias("place"), F.get_json_object("value", "$.raw").alias("raw"))
+    placed = numbered(lines.withColumn("line", F.monotonically_increasing_id()), [F.col("part"), F.col("line")], "place")
+    return placed.select("place", F.get_json_object("value", "$.raw").alias("raw"))
 
 
 def tab_export(spark: SparkSession, sf: str) -> DataFrame:
@@ -266,25 +277,42 @@ def feed_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return lost.groupBy("source", "reject_reason").agg(F.count(F.lit(1)).alias("n"), F.min("seq").alias("first_place"))
 
 
-def feed_union(spark: SparkSession, sf: str) -> DataFrame:
-    """Feeds landed as files of some thousand entries, a folder per known feed: one Atom, the others RSS, and one that never arrived."""
-    whole = feed_bodies(spark, sf).where("body NOT LIKE '%cut' AND body NOT LIKE '% & so on%'")
-    entries = whole.select("source", F.regexp_extract("body", r"(?s)<(item|entry)>.*</\1>", 0).alias("entry"))
+def feed_files(spark: SparkSession, sf: str, label: str) -> dict[str, tuple[str, str]]:
+    """All feed bodies landed as files of some thousand entries: source -> kind of feed and folder, one of which never arrived.
+
+    Entries keep their bare ampersands, and the files of views end in the middle of an entry.
+    """
+    whole = feed_bodies(spark, sf).where(F.col("body").isNotNull())
+    entries = whole.select("source", F.regexp_extract("body", r"(?s)<(item|entry)>.*?</\1>", 0).alias("entry"))
     number = F.regexp_extract("entry", r"f\.example/(\d+)", 1).cast("bigint")
     files = entries.groupBy("source", F.floor(number / 2500).alias("file")).agg(F.array_join(F.collect_list("entry"), "").alias("all"))
     atom = F.concat(F.lit("<feed>"), F.col("all"), F.lit("</feed>"))
-    rss = F.concat(F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), F.col("all"), F.lit("</channel></rss>"))
+    rest = F.when(F.col("source") == "view", F.lit("<item><title>cut")).otherwise(F.lit("</channel></rss>"))
+    rss = F.concat(F.lit('<rss xmlns:dc="http://purl.org/dc/elements/1.1/"><channel>'), F.col("all"), rest)
     bodies = files.select("source", "file", F.when(F.col("source") == "click", atom).otherwise(rss).alias("body"))
-    kinds = dict(zip(fv.FEEDS, ("click", "view", "purchase", "error", None)))
-    root = run_folder(spark, "feeds")
-    feeds = {}
-    for number, (name, kind) in enumerate(kinds.items()):
-        folder = f"{root}/{number}"
+    bodies = written(bodies, "feed-files")
+    root, landed = run_folder(spark, label), {}
+    for number, (name, kind) in enumerate(zip(fv.FEEDS, ("click", "view", "purchase", "error", None))):
         if kind:
-            bodies.where(F.col("source") == kind).select("body", "file").write.partitionBy("file").text(folder)
-        reader = read_atom if kind == "click" else read_rss
-        feeds[name] = lambda source, reader=reader, folder=folder: reader(spark, folder, source)
-    return union_feeds(feeds)
+            bodies.where(F.col("source") == kind).select("body", "file").write.partitionBy("file").text(f"{root}/{number}")
+        landed[name] = ("atom" if kind == "click" else "rss", f"{root}/{number}")
+    return landed
+
+
+def feed_union(spark: SparkSession, sf: str) -> DataFrame:
+    """Every complete entry of the landed feeds: one Atom, the others RSS, and one that never arrived."""
+    readers = {"atom": read_atom, "rss": read_rss}
+    landed = feed_files(spark, sf, "feeds")
+    return union_feeds({name: lambda source, kind=kind, folder=folder: readers[kind](spark, folder, source) for name, (kind, folder) in landed.items()})
+
+
+def feed_file_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """What the landed feed files lose: files with a cut-off or broken entry, by source and reason."""
+    lost = None
+    for name, (kind, folder) in list(feed_files(spark, sf, "feed-rejects").items())[:-1]:
+        own = rejected_file_entries(spark, folder, name, kind)
+        lost = own if lost is None else lost.unionByName(own)
+    return lost.groupBy("source", "reject_reason").agg(F.count_distinct("file").alias("files"), F.sum("n").alias("entries"))
 
 
 _NEWS = "SELECT doc_id, lang, source FROM documents"
@@ -298,6 +326,7 @@ _FEEDS = """SELECT event_id, event_type, props, 'https://f.example/' || event_id
 QUERIES = {
     "store_commits": store_commits,
     "store_two_types": store_two_types,
+    "seen_few_keys": seen_few_keys,
     "raw_text_latest": raw_text_latest,
     "record_update": record_update,
     "json_export": json_export,
@@ -310,6 +339,7 @@ QUERIES = {
     "feed_items": feed_rows,
     "feed_rejects": feed_rejects,
     "feed_union": feed_union,
+    "feed_file_rejects": feed_file_rejects,
 }
 
 ORACLE = {
@@ -319,6 +349,8 @@ ORACLE = {
         count(DISTINCT url) AS urls
       FROM (SELECT 'PRODUCT' AS record_type, 'https://p.example/' || p_partkey AS url FROM part
         UNION ALL SELECT 'STARTUP', 'https://c.example/' || c_custkey FROM customer) GROUP BY record_type""",
+    "seen_few_keys": """SELECT 'https://o.example/' || 7 * s_suppkey AS url FROM supplier
+      WHERE 7 * s_suppkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'O'))""",
     "raw_text_latest": """SELECT 'https://o.example/' || o_custkey AS url,
         arg_max(o_orderkey || '-' || o_orderstatus, (o_orderstatus = 'F', o_orderkey)) AS raw_text FROM orders GROUP BY o_custkey""",
     "record_update": f"""SELECT CASE WHEN p_brand = 'Brand#3' THEN 'ENTERPRISE' ELSE {_PRICING} END AS pricing, count(*) AS n
@@ -367,6 +399,7 @@ ORACLE = {
       FROM events WHERE event_type = 'signup' OR (event_type = 'view' AND event_id % 7 = 0) GROUP BY event_type""",
     "feed_union": f"""SELECT name AS source, title, link, props AS summary, raw_date FROM ({_FEEDS}) JOIN
         (VALUES {", ".join(f"('{n}', '{k}')" for n, k in zip(fv.FEEDS, ("click", "view", "purchase", "error")))}) f(name, kind)
-        ON event_type = kind
-      WHERE NOT (event_type = 'view' AND event_id % 7 = 0) AND title NOT LIKE '%so on'""",
+        ON event_type = kind""",
+    "feed_file_rejects": f"""SELECT '{list(fv.FEEDS)[1]}' AS source, 'cut-off entry' AS reject_reason, count(DISTINCT event_id // 2500) AS files,
+        count(DISTINCT event_id // 2500)::BIGINT AS entries FROM events WHERE event_type = 'view'""",
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerloom.operators.dedup import exclude_seen
+from ledgerloom.session import written
 
 
 MERGE_GROUPS = 256
@@ -31,6 +32,28 @@ def top_rows(df: DataFrame, order: Sequence[Column], k: int, groups: int = MERGE
     return best.orderBy(*order).limit(k)
 
 
+LOCAL_BITS = 33  # of Spark's own row ids, below the number of the partition
+
+
+def numbered(df: DataFrame, order: Sequence[Column], name: str = "number") -> DataFrame:
+    """Rows with their number from 1 in a total order, without bringing them into one task.
+
+    Rows are range-partitioned and sorted, and written with their place in their partition; a partition's first number is the sum of the
+    rows before it, one count per partition. Rows that tie in the whole order are numbered in any order among themselves.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(sorted_.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    part, local = F.shiftright("_place", LOCAL_BITS), F.col("_place").bitwiseAND(F.lit((1 << LOCAL_BITS) - 1))
+    counts = sorted((r.part, r.n) for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before, starts = 0, []
+    for number, n in counts:
+        starts.append((number, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(starts, "_part bigint, _before bigint")  # a row per partition
+    rows = placed.withColumn("_part", part).join(F.broadcast(offsets), "_part")
+    return rows.withColumn(name, F.col("_before") + local + 1).drop("_part", "_before", "_place")
+
+
 def prominence_order(top: Column, size: Column, *seq: Column) -> list[Column]:
     """Flagged rows first, then larger ones, then landing order; missing values come last."""
     return [

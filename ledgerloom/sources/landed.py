@@ -7,11 +7,16 @@ from collections.abc import Callable, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameReader
+from pyspark.sql.streaming import DataStreamReader
 
 from ledgerloom.functions.dates import epoch_millis, normalize_date
 from ledgerloom.functions.text import first_non_empty, strip
+from ledgerloom.operators.dedup import first_per_key
+from ledgerloom.operators.page_order import BREAK, CYCLE, page_places
 from ledgerloom.operators.ranking import first_success
 from ledgerloom.operators.validate import CONTENT, record_schema
+from ledgerloom.session import written
 
 COMPANY = "name string, slug string, url string, team_size bigint, top_company boolean"
 POST = (
@@ -19,7 +24,7 @@ POST = (
     "makers:array<struct<name:string>>>"
 )
 POST_PAGE = (
-    f"page bigint, data struct<posts:struct<edges:array<struct<node:{POST}>>,"
+    f"page bigint, cursor string, data struct<posts:struct<edges:array<struct<node:{POST}>>,"
     "pageInfo:struct<hasNextPage:boolean,endCursor:string>>>"
 )
 PAPER = (
@@ -72,8 +77,25 @@ def product_posts(pages: DataFrame) -> DataFrame:
     return edges.select("edge.node.*", F.struct("page", "pos").alias("seq"))
 
 
-def read_product_pages(spark: SparkSession, path: str) -> DataFrame:
-    return product_posts(spark.read.schema(POST_PAGE).json(path))
+def pages_in_order(pages: DataFrame) -> DataFrame:
+    """Landed product pages with ``page`` worked out from their cursors; a page that landed several times counts once.
+
+    Pages behind a gap keep their order among themselves behind all pages before the gap; pages that lead round in a circle come
+    last, without a place. ``page_places`` of ``operators/page_order`` reports both.
+    """
+    info = F.col("data.posts.pageInfo")
+    links = pages.select(F.lit("").alias("feed"), "cursor", info["endCursor"].alias("end_cursor"), info["hasNextPage"].alias("has_next"))
+    places = page_places(links)
+    chain = F.struct((F.col("status") == CYCLE).alias("cycle"), (F.col("status") == BREAK).alias("broken"), "chain", "page")
+    own = F.coalesce("cursor", F.lit(""))
+    once = first_per_key(pages.drop("page").withColumn("cursor", own).withColumn("_body", F.to_json("data")), ["cursor"], "_body").drop("_body")
+    return once.join(places.select("cursor", chain.alias("page")), "cursor")
+
+
+def read_product_pages(spark: SparkSession, path: str, by_cursor: bool = False) -> DataFrame:
+    """Posts of landed pages; ``seq`` follows the pages' given numbers, or their cursors (``cursor``: what a page was asked for by)."""
+    pages = spark.read.schema(POST_PAGE).json(path)
+    return product_posts(pages_in_order(pages) if by_cursor else pages)
 
 
 def read_papers(spark: SparkSession, path: str) -> DataFrame:
@@ -123,16 +145,63 @@ def _column(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+# Kind of feed -> element of an entry, its schema, and its item.
+FEED_KINDS = {"rss": ("item", RSS_ITEM, _rss), "atom": ("entry", ATOM_ENTRY, _atom)}
+CUT_OFF_ENTRY = "cut-off entry"
+
+
+def _file_rows(reader: DataFrameReader | DataStreamReader, path: str, kind: str) -> DataFrame:
+    """file, item and reject_reason of every entry that the XML reader finds; a broken one is read again with its bare ampersands escaped."""
+    tag, schema, item = FEED_KINDS[kind]
+    # The parser that cuts a file at its row tags gives each broken entry alone; the other one gives the whole file for each.
+    options = {"rowTag": tag, "columnNameOfCorruptRecord": _BROKEN, "mode": "PERMISSIVE", "useLegacyXMLParser": "true"}
+    whole = f"{schema}, {_BROKEN} string"
+    rows = reader.format("xml").options(**options).schema(whole).load(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    again = F.from_xml(F.regexp_replace(_BROKEN, _BARE_AMPERSAND, "&amp;"), whole, {"columnNameOfCorruptRecord": _BROKEN})
+    rows = rows.withColumn("again", F.when(F.col(_BROKEN).isNotNull(), again))
+    lost = F.col(_BROKEN).isNotNull() & (F.col("again").isNull() | F.col("again")[_BROKEN].isNotNull())
+    reason = F.when(F.col(_BROKEN).rlike(rf"(?i)</{tag}\s*>\s*$"), F.lit(UNREADABLE_ENTRY)).otherwise(F.lit(CUT_OFF_ENTRY))
+    found = F.when(F.col(_BROKEN).isNull(), item(_column).cast(_ITEM_TYPE)).otherwise(item(lambda name: F.col("again")[name]).cast(_ITEM_TYPE))
+    return rows.select(F.col("_file").alias("file"), found.alias("item"), F.when(lost, reason).alias("reject_reason"))
+
+
+def _file_items(rows: DataFrame, source: str) -> DataFrame:
+    return rows.where(F.col("reject_reason").isNull()).select(F.lit(source).alias("source"), "item.*")
+
+
 def read_rss(spark: SparkSession, path: str, source: str) -> DataFrame:
-    """Items of RSS files: ``source, title, link, summary, raw_date``."""
-    items = spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM).load(path)
-    return items.select(F.lit(source).alias("source"), _rss(_column).alias("item")).select("source", "item.*")
+    """Items of RSS files: ``source, title, link, summary, raw_date``. What cannot be read is in ``rejected_file_entries``."""
+    return _file_items(_file_rows(spark.read, path, "rss"), source)
 
 
 def read_atom(spark: SparkSession, path: str, source: str) -> DataFrame:
     """Entries of Atom files, in the same columns as ``read_rss``."""
-    entries = spark.read.format("xml").option("rowTag", "entry").schema(ATOM_ENTRY).load(path)
-    return entries.select(F.lit(source).alias("source"), _atom(_column).alias("item")).select("source", "item.*")
+    return _file_items(_file_rows(spark.read, path, "atom"), source)
+
+
+def stream_feed(spark: SparkSession, path: str, source: str, kind: str, archive: str | None = None) -> DataFrame:
+    """The items of feed files as they land. With ``archive``, files that are done move there, so that the landing folder stays small."""
+    reader = spark.readStream
+    if archive:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return _file_items(_file_rows(reader, path, kind), source)
+
+
+def rejected_file_entries(spark: SparkSession, path: str, source: str, kind: str) -> DataFrame:
+    """``source, file, reject_reason, n``: the broken entries of each feed file, and those that its end cuts off.
+
+    An entry that the XML reader gives no row for is found by the count of the entries' start tags, line by line.
+    """
+    rows = written(_file_rows(spark.read, path, kind), "feed-entries")
+    broken = rows.where(F.col("reject_reason").isNotNull()).groupBy("file", "reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    start = F.regexp_count("value", F.lit(rf"(?i)<{FEED_KINDS[kind][0]}\b"))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), start.alias("n"))
+    started = lines.groupBy("file").agg(F.sum("n").alias("started"))
+    read = rows.groupBy("file").agg(F.count(F.lit(1)).alias("read"))
+    missing = F.col("started") - F.coalesce("read", F.lit(0))
+    unread = started.join(read, "file", "left").where(missing > 0).select("file", F.lit(CUT_OFF_ENTRY).alias("reject_reason"), missing.alias("n"))
+    lost = broken.unionByName(unread).groupBy("file", "reject_reason").agg(F.sum("n").alias("n"))
+    return lost.select(F.lit(source).alias("source"), "file", "reject_reason", "n")
 
 
 def _entries(landed: DataFrame) -> DataFrame:
