@@ -75,7 +75,7 @@ def validate_split(spark: SparkSession, sf: str) -> DataFrame:
         F.when(~F.col("lang").isin("en", "fr", "de"), F.lit("lang is not allowed")),
         F.when(~F.coalesce(F.col("source"), F.lit("")).rlike(r"^src\d$"), F.lit("source is not a source")),
     ]
-    valid, rejected = split_valid(rows, rules)
+    valid, rejected = split_valid(rows, rules, once=False)
     return valid.select("doc_id", F.lit("").alias("reasons")).unionByName(
         rejected.select("doc_id", F.array_join("reject_reason", "; ").alias("reasons"))
     )

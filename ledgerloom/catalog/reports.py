@@ -197,7 +197,7 @@ def payload_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def record_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Products split by the schema; an empty pricing is not one of the allowed values."""
-    valid, rejected = split_records(product_records(spark, sf), "PRODUCT")
+    valid, rejected = split_records(product_records(spark, sf), "PRODUCT", once=False)
     url = F.col("source.url").alias("url")
     return valid.select(url, F.lit("").alias("reasons")).unionByName(
         rejected.select(url, F.array_join("reject_reason", "; ").alias("reasons"))

@@ -8,23 +8,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import is_fresh
+from ledgerloom.functions.text import is_blank
 
 SAVED = "saved"
 ALREADY_SEEN = "already_seen"
 IRRELEVANT = "irrelevant"
 STALE = "stale"
 DATELESS = "dateless"
+UNREADABLE_DATE = "unreadable_date"
 INVALID = "invalid"
 
 # Rejections whose keys are remembered, so that later runs do not check them again.
 MARKED_REJECTIONS = (IRRELEVANT, STALE, DATELESS)
 
 
-def freshness_reason(dt: Column, now: Column, dateless: str = "keep") -> Column:
-    """``stale``, ``dateless`` (only when such rows are dropped) or null for an accepted date."""
+def freshness_reason(dt: Column, now: Column, dateless: str = "keep", raw: Column | None = None) -> Column:
+    """``stale``, ``dateless`` (only when such rows are dropped) or null for an accepted date.
+
+    With the ``raw`` text of the date, a text in a form that is not known is ``unreadable_date`` where dateless rows are dropped. It
+    is not remembered, so the row comes again when its form is known.
+    """
     if dateless not in ("keep", "drop"):
         raise ValueError("dateless must be 'keep' or 'drop'")
     missing = F.lit(DATELESS) if dateless == "drop" else F.lit(None).cast("string")
+    if raw is not None and dateless == "drop":
+        missing = F.when(is_blank(raw), missing).otherwise(F.lit(UNREADABLE_DATE))
     return F.when(dt.isNull(), missing).when(~is_fresh(dt, now), F.lit(STALE))
 
 

@@ -80,17 +80,20 @@ def reject_reasons(rules: list[Column]) -> Column:
     return F.array_compact(F.array(*rules))
 
 
-def split_valid(df: DataFrame, rules: list[Column]) -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, rules: list[Column], once: bool = True) -> tuple[DataFrame, DataFrame]:
     """Valid rows, and rejected rows with ``reject_reason``. No row is coerced or lost.
 
-    The checked rows are written once, in a folder for each of the two, so neither repeats the other's work.
+    The checked rows are written once, in a folder for each of the two, so neither repeats the other's work. Where ``df`` is
+    cheap to read again, such as a table, say ``once=False``: nothing is written.
     """
     checked = df.withColumn("reject_reason", reject_reasons(rules)).withColumn("_valid", F.size("reject_reason") == 0)
+    if not once:
+        return checked.where("_valid").drop("reject_reason", "_valid"), checked.where("NOT _valid").drop("_valid")
     path = run_folder(df.sparkSession, "checked")
     checked.write.partitionBy("_valid").parquet(path)
     back = df.sparkSession.read.schema(checked.schema).parquet(path)
     return back.where("_valid").drop("reject_reason", "_valid"), back.where("NOT _valid").drop("_valid")
 
 
-def split_records(df: DataFrame, record_type: str) -> tuple[DataFrame, DataFrame]:
-    return split_valid(df, checks(record_type))
+def split_records(df: DataFrame, record_type: str, once: bool = True) -> tuple[DataFrame, DataFrame]:
+    return split_valid(df, checks(record_type), once)

@@ -165,12 +165,14 @@ def news(
 
 
 def jobs(listings: DataFrame, seen: DataFrame, now: Column, at: Column) -> DataFrame:
-    """Fresh jobs; stale ones and those without a date are dropped and remembered.
+    """Fresh jobs; stale ones and those without a date are dropped and remembered, those with an unreadable one dropped and reported.
 
     ``listings`` are the rows of ``board_jobs``.
     """
     landed = require(listings.withColumnRenamed("job_url", "url"), "url")
-    fields = ["url", "company", "platform", "seq", "title", "location", "remote", "published"]
+    if "raw_date" not in landed.columns:
+        landed = landed.withColumn("raw_date", F.lit(None).cast("string"))
+    fields = ["url", "company", "platform", "seq", "title", "location", "remote", "published", "raw_date"]
     rows = firsts(landed.select(*fields), seen, "url", ["company", "seq"])
     content = F.struct(
         "company",
@@ -179,11 +181,11 @@ def jobs(listings: DataFrame, seen: DataFrame, now: Column, at: Column) -> DataF
         role_family(F.col("title")).alias("role_family"),
     )
     label = source_label(F.col("company"), F.col("platform"))
-    enveloped = rows.select("url", "copies", "_seen", *envelope("JOB", label, F.col("url"), content, at))
+    enveloped = rows.select("url", "copies", "_seen", "raw_date", *envelope("JOB", label, F.col("url"), content, at))
     reason = first_reason(
-        freshness_reason(F.col("content.date"), now, dateless="drop"), invalid_reason("JOB")
+        freshness_reason(F.col("content.date"), now, dateless="drop", raw=F.col("raw_date")), invalid_reason("JOB")
     )
-    return settle(enveloped, reason)
+    return settle(enveloped, reason).drop("raw_date")
 
 
 def rejections(decisions: DataFrame, record_type: str) -> DataFrame:

@@ -299,21 +299,21 @@ def first_boards(candidates: DataFrame, landed: DataFrame) -> DataFrame:
     return first_success(once, ["company"], "rank", F.lit(True), ["platform", "token", "body"])
 
 
-def _job(url: Column, published: Column, title: Column, location: Column, remote: Column) -> Column:
+def _job(url: Column, published: Column, title: Column, location: Column, remote: Column, raw_date: Column | None = None) -> Column:
     return F.struct(
         url.alias("job_url"),
         published.alias("published"),
         title.alias("title"),
         location.alias("location"),
         remote.alias("remote"),
+        (F.lit(None).cast("string") if raw_date is None else raw_date).alias("raw_date"),
     )
 
 
 def _greenhouse(job: Column, now: Column) -> Column:
     unknown = F.lit(None).cast("boolean")
-    return _job(
-        job["absolute_url"], normalize_date(job["updated_at"], now), job["title"], job["location"]["name"], unknown
-    )
+    date = normalize_date(job["updated_at"], now)
+    return _job(job["absolute_url"], date, job["title"], job["location"]["name"], unknown, job["updated_at"])
 
 
 def _lever(job: Column, now: Column) -> Column:
@@ -323,7 +323,8 @@ def _lever(job: Column, now: Column) -> Column:
 
 def _ashby(job: Column, now: Column) -> Column:
     url = first_non_empty(job["jobUrl"], job["applyUrl"])
-    return _job(url, normalize_date(job["publishedAt"], now), job["title"], job["location"], job["isRemote"])
+    date = normalize_date(job["publishedAt"], now)
+    return _job(url, date, job["title"], job["location"], job["isRemote"], job["publishedAt"])
 
 
 # Platform -> (schema of the body, field with the job list or null for a bare list, mapping of a job).

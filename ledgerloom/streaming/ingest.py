@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -36,6 +38,7 @@ class StreamTables:
         self.key = key
         self.schema = schema
         self.key_schema = f"{key} {key_type}"
+        self.run = uuid.uuid4().hex
 
     def _folder(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch_id={batch_id}"
@@ -70,8 +73,9 @@ class StreamTables:
 
     def stage(self, df: DataFrame) -> DataFrame:
         """A micro-batch written once, so that its several uses do not compute it again."""
-        df.write.mode("overwrite").parquet(f"{self.root}/staged")
-        return self.spark.read.schema(df.schema).parquet(f"{self.root}/staged")
+        folder = f"{self.root}/staged/{self.run}"  # of this query alone
+        df.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
 
 
 def ingest_stream(

@@ -270,3 +270,85 @@ def test_product_pages_by_cursor(spark, tmp_path):
     (tmp_path / "pages.jsonl").write_text("\n".join(lines))
     posts = read_product_pages(spark, str(tmp_path), by_cursor=True).orderBy("seq").collect()
     assert [p.id for p in posts] == ["1", "2", "3", "4", "5", "9"]
+
+
+def test_unreadable_dates_are_reported_and_come_again(spark):
+    from ledgerloom.operators.ingest import keys_to_mark
+    from ledgerloom.plans import ingest
+    from ledgerloom.sources.landed import board_jobs
+
+    ashby = {"jobs": [
+        {"jobUrl": "https://a/1", "publishedAt": "the day of the launch", "title": "x"}, {"jobUrl": "https://a/2", "publishedAt": " ", "title": "x"},
+        {"jobUrl": "https://a/3", "title": "x"}, {"jobUrl": "https://a/4", "publishedAt": "2 hours ago", "title": "x"}]}
+    lever = [{"hostedUrl": "https://l/1", "createdAt": 0, "text": "x"}]
+    boards = spark.createDataFrame([("A", "ashby", json.dumps(ashby)), ("L", "lever", json.dumps(lever))], "company string, platform string, body string")
+    decided = ingest.jobs(board_jobs(boards, NOW_COL), spark.createDataFrame([], "url string"), NOW_COL, AT)
+    assert {r.url[8:]: r.outcome for r in decided.collect()} == {"a/1": "unreadable_date", "a/2": "dateless", "a/3": "dateless", "a/4": "saved", "l/1": "dateless"}
+    assert sorted(r.url[8:] for r in keys_to_mark(decided, "url", True).collect()) == ["a/2", "a/3", "a/4", "l/1"]
+    rejected = {r.url[8:]: r.outcome for r in ingest.rejections(decided, "JOB").collect()}
+    assert rejected["a/1"] == "unreadable_date"
+
+
+def test_updates_are_compacted(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    store.append_records(records(spark, "PRODUCT", [(("s", f"https://x/{i}"), (f"P{i}", None)) for i in range(3)]), "PRODUCT", 1)
+    update = lambda *rows: spark.createDataFrame(list(rows), "url string, content struct<startupName:string,pricingModel:string>")
+    current = lambda: sorted((r.content.startupName, r.content.pricingModel) for r in store.current("PRODUCT").collect())
+    store.append_updates(update(("https://x/0", ("P0", "FREE")), ("https://x/1", ("P1", "PAID"))), "PRODUCT", 2)
+    store.append_updates(update(("https://x/0", ("P0", "PAID"))), "PRODUCT", 3)
+    before = current()
+    assert before == [("P0", "PAID"), ("P1", "PAID"), ("P2", None)]
+    store.compact_updates("PRODUCT", 3)
+    assert current() == before and not glob.glob(f"{store.root}/updates/record_type=PRODUCT/batch_id=*") and store._all_updates("PRODUCT").count() == 2
+    store.append_updates(update(("https://x/0", ("P0", "ENTERPRISE"))), "PRODUCT", 3)  # the merged batch runs again
+    assert current() == [("P0", "ENTERPRISE"), ("P1", "PAID"), ("P2", None)]
+    store.compact_updates("PRODUCT", 3)
+    store.append_updates(update(("https://x/2", ("P2", "FREE"))), "PRODUCT", 4)
+    assert current() == [("P0", "ENTERPRISE"), ("P1", "PAID"), ("P2", "FREE")]
+
+
+def test_numbers_without_one_task(spark):
+    from ledgerloom.operators.ranking import numbered
+
+    df = spark.range(0, 5000, 1, 7).selectExpr("id", "pmod(id * 7919, 5000) v")
+    out = numbered(df, [F.col("v").desc(), F.col("id")])
+    assert [(r.number, r.v) for r in out.orderBy("number").collect()] == [(i + 1, 4999 - i) for i in range(5000)]
+    assert "Window" not in out._jdf.queryExecution().executedPlan().toString() and numbered(df.limit(0), [F.col("v")]).count() == 0
+
+
+def test_search_through_grams_equals_a_scan(spark, tmp_path):
+    from ledgerloom.operators.gram_index import GramIndex
+    from ledgerloom.operators.report import search_predicate
+
+    rng = random.Random(8)
+    words = ["Alpha", "alphabet", "beta", "Ünïcode", "naïve", "ab", "", "gamma ray", "RAY", "100%"]
+    rows = [(f"k{i % 900}" if i % 50 else None, " ".join(rng.choices(words, k=rng.randrange(4))), rng.choice([None, *words])) for i in range(1000)]
+    df = spark.createDataFrame(rows, "url string, title string, note string")
+    index = GramIndex(spark, str(tmp_path / "index"), {"title": F.col("title"), "note": F.col("note")}).build(df, "url")
+    for query in ("alpha", "ALPHAB", "ma r", "ünï", "ray", "a", "", "zzz", "beta alpha", "100%", "naïve"):
+        expected = df.where(search_predicate(query, F.col("title"), F.col("note"))).selectExpr("coalesce(url, '') key", "title", "note")
+        found = index.search(query)
+        assert sorted(map(repr, found.collect())) == sorted(map(repr, expected.collect())), query
+    assert index.candidates("zzz").count() == 0 and index.candidates("ab") is None
+    assert index.candidates("ünïcode").count() < 500  # fewer keys than rows
+
+
+def test_feed_files_and_stream(spark, tmp_path):
+    from ledgerloom.sources.landed import read_atom, read_rss, rejected_file_entries, stream_feed
+
+    landing, done = tmp_path / "landing", tmp_path / "done"
+    landing.mkdir()
+    item = lambda t: f"<item><title>{t}</title><link> https://x/{t[:1]} </link></item>"
+    (landing / "a.xml").write_text(f"<rss><channel>{item('a &amp; b')}{item('c & d')}{item('e <b f')}{item('g')}<item><title>cut")
+    (landing / "b.xml").write_text(f"<rss><channel>\n{item('h')}\n</channel></rss>")
+    found = read_rss(spark, str(landing), "S").collect()
+    assert sorted(r.title for r in found if r.title) == ["a & b", "c & d", "g", "h"] and {r.source for r in found} == {"S"}
+    lost = {(os.path.basename(r.file), r.reject_reason): r.n for r in rejected_file_entries(spark, str(landing), "S", "rss").collect()}
+    assert lost == {("a.xml", "unreadable entry"): 1, ("a.xml", "cut-off entry"): 1}
+    (tmp_path / "atom.xml").write_text('<feed><entry><title>t</title><link rel="alternate" href="https://x/t"/><updated>2024</updated></entry></feed>')
+    assert [(r.title, r.link, r.raw_date) for r in read_atom(spark, str(tmp_path / "atom.xml"), "A").collect()] == [("t", "https://x/t", "2024")]
+    items = stream_feed(spark, str(landing), "S", "rss", str(done))
+    for _ in range(2):
+        writer = items.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option("checkpointLocation", str(tmp_path / "cp"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r.title for r in spark.read.parquet(str(tmp_path / "rows")).collect() if r.title) == ["a & b", "c & d", "g", "h"]
