@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog.tables import utc
-from ledgerloom.session import configure, run_folder
+from ledgerloom.session import configure, run_folder, written
 from ledgerloom.sinks.batch_log import BatchLog
 from ledgerloom.streaming.ingest import StreamTables, bounded_dedup, event_time, fresh_only, ingest_stream
-from ledgerloom.streaming.keyed import ingest_keyed, seen_keys
+from ledgerloom.streaming.keyed import ingest_keyed, merged_feeds, seen_keys
 
 NOW = "2024-01-25T00:00:00Z"
 ROW = "url string, event_id bigint, event_type string, published timestamp"
 
 
 LANDINGS = 4
+RETURN_LANDINGS = 6
 
 
 def _landings(spark: SparkSession, sf: str, folder: str) -> Iterator[None]:
@@ -114,6 +115,26 @@ def stream_bounded(spark: SparkSession, sf: str) -> DataFrame:
     return _to_files(spark, sf, "stream-bounded", shape)
 
 
+def stream_returns(spark: SparkSession, sf: str) -> DataFrame:
+    """Two feeds with delays of 6 and 36 hours, landed in order of time: keys that come again after their state is gone are saved again."""
+    events = configure(spark).read.parquet(f"{sf}/events.parquet")
+    root, (low, high) = run_folder(spark, "stream-returns"), events.agg(F.min("ts"), F.max("ts")).first()
+    quarter = F.least(F.floor((F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(F.lit(low).cast("timestamp"))) * RETURN_LANDINGS
+                              / (F.unix_micros(F.lit(high).cast("timestamp")) - F.unix_micros(F.lit(low).cast("timestamp")))), F.lit(RETURN_LANDINGS - 1))
+    landed = events.select(
+        F.concat_ws(":", "user_id", "event_type").alias("url"), "event_id", F.col("ts").cast("timestamp").alias("ts"),
+        F.when(F.col("event_type").isin("view", "click"), F.lit("fast")).otherwise(F.lit("slow")).alias("feed"), quarter.alias("landing"),
+    )
+    landed = written(landed, "returns")
+    for number in range(RETURN_LANDINGS):
+        landed.where(F.col("landing") == number).drop("landing").coalesce(1).write.mode("append").partitionBy("feed").parquet(f"{root}/landed")
+        rows = {f: spark.readStream.schema("url string, event_id bigint, ts timestamp").parquet(f"{root}/landed/feed={f}") for f in ("fast", "slow")}
+        merged = merged_feeds([(rows["fast"], "6 hours"), (rows["slow"], "36 hours")], "url", "ts", ["ts", "event_id"])
+        writer = merged.writeStream.format("parquet").option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("url string, event_id bigint, ts timestamp").parquet(f"{root}/rows").select("url", "event_id")
+
+
 def stream_gate(spark: SparkSession, sf: str) -> DataFrame:
     """The freshness gate alone: rows whose date is known and fresh."""
     return _to_files(spark, sf, "stream-gate", lambda events: fresh_only(events, "published", utc(NOW)).select("event_id"))
@@ -130,13 +151,28 @@ QUERIES = {
     "stream_keys": stream_keys,
     "stream_bounded": stream_bounded,
     "stream_gate": stream_gate,
+    "stream_returns": stream_returns,
 }
 
 _FRESH = f"""SELECT event_type, count(*) FILTER (published IS NULL OR published >= TIMESTAMP '2024-01-24') AS saved,
         count(*) AS seen FROM (SELECT f.url, f.event_type, e.published FROM ({_FIRST}) f JOIN ({_ROWS}) e USING (event_id))
       GROUP BY event_type"""
 
+# The watermark behind each landing is the least of both feeds' greatest times, of first rows, less their delays; keys are held for 36 hours.
+_RETURNS = f"""WITH RECURSIVE e AS (SELECT user_id || ':' || event_type AS url, event_id, epoch_us(ts) AS t, event_type IN ('view', 'click') AS fast,
+      least((epoch_us(ts) - low) * {RETURN_LANDINGS} // (high - low), {RETURN_LANDINGS - 1}) AS i
+      FROM events, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events)),
+    f AS (SELECT url, i, arg_min(event_id, (t, event_id)) AS event_id, min(t) AS t, any_value(fast) AS fast FROM e GROUP BY url, i),
+    w AS (SELECT n AS i, least((SELECT max(t) FROM f WHERE fast AND i < n) - 21600000000, (SELECT max(t) FROM f WHERE NOT fast AND i < n) - 129600000000) AS mark
+      FROM range({RETURN_LANDINGS}) r(n)),
+    r AS (SELECT DISTINCT -1::BIGINT AS i, url, NULL::BIGINT AS gone, NULL::BIGINT AS event_id FROM e UNION ALL
+      SELECT r.i + 1, r.url, CASE WHEN f.t IS NOT NULL AND (r.gone IS NULL OR r.gone <= w.mark) THEN f.t + 129600000000 WHEN r.gone <= w.mark THEN NULL ELSE r.gone END,
+        CASE WHEN f.t IS NOT NULL AND (r.gone IS NULL OR r.gone <= w.mark) THEN f.event_id END
+      FROM r JOIN w ON w.i = r.i + 1 LEFT JOIN f ON f.url = r.url AND f.i = r.i + 1)
+  SELECT url, event_id FROM r WHERE event_id IS NOT NULL"""
+
 ORACLE = {
+    "stream_returns": _RETURNS,
     "stream_dedup": f"SELECT url, event_id FROM ({_FIRST})",
     "stream_fresh": _FRESH,
     "stream_keyed": f"SELECT url, event_id FROM ({_FIRST})",

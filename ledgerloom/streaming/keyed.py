@@ -10,7 +10,7 @@ key in landing order, partition by partition of the micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -93,6 +93,25 @@ def ingest_keyed(
     return fresh.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
 
 
+def merged_feeds(feeds: Sequence[tuple[DataFrame, str]], key: str, ts: str, seq: list[str], policy: str = "min") -> DataFrame:
+    """Several feeds of one shape, each with its own delay, and one row per key while its key is remembered.
+
+    A key is remembered for the longest delay after the time of its row, and forgotten once the merged watermark has passed that; it may
+    then return. The merged watermark is that of the slowest feed (``min``) or of the fastest (``max``); the policy is a setting of the
+    session when the query first starts. A watermark follows the rows that are first of their key in a micro-batch. ``seq`` orders the rows of a key in a micro-batch, as in ``first_in_batch``.
+    """
+    stream = feeds[0][0]
+    use_state_store(stream.sparkSession).conf.set("spark.sql.streaming.multipleWatermarkPolicy", policy)
+    longest = lambda feed: F.expr(f"INTERVAL {feed[1]}")
+    seconds = stream.sparkSession.range(1).select(*[F.unix_micros(F.timestamp_seconds(F.lit(0)) + longest(f)).alias(f"f{i}") for i, f in enumerate(feeds)]).first()
+    merged = None
+    for number in sorted(range(len(feeds)), key=lambda i: -seconds[i]):  # the first one's delay is how long the union's keys are held
+        rows, delay = feeds[number]
+        marked = first_in_batch(rows, key, seq).withWatermark(ts, delay)
+        merged = marked if merged is None else merged.unionByName(marked)
+    return merged.dropDuplicatesWithinWatermark([key])
+
+
 def seen_keys(spark: SparkSession, checkpoint: str, key: str) -> DataFrame:
     """The keys that a stream remembers, saved and rejected ones, read from the state of its last finished micro-batch."""
     return spark.read.format("statestore").load(checkpoint).select(F.col("key")[key].alias(key))
