@@ -59,4 +59,4 @@ def test_stages_on_odd_rows(spark):
 
 def test_names():
     assert [n for n, _ in pipeline.STAGES] == ["language", "lines", "near_duplicates", "benchmark", "packing"]
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in entry.queries() if q.startswith("op")}
