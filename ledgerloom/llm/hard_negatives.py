@@ -33,7 +33,7 @@ LEAST_SHARE, MOST_SHARE = 30, 90  # percent of the positive's score
 BLOCK = 16384  # rows
 CHUNK = 1024  # anchors that meet a block together
 DEPTH = 16  # of the first reading; each further one goes twice as deep
-EXACT = 2.0**53
+EXACT, SINGLE = 2.0**53, 2.0**24  # below these, whole numbers and their sums are exact in double and single precision
 LONG = 1 << 63
 
 
@@ -41,33 +41,39 @@ class Lists:
     """Rows of one block with a sorted list per dimension."""
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
-        self.ids, self.rows = ids, rows
-        self.order = np.argsort(rows, axis=0, kind="stable").T  # a list of row places per dimension, least value first
-        self.most = float(np.abs(rows).max(initial=0))
+        self.ids, self.most = ids, float(np.abs(rows).max(initial=0))
+        small = rows.shape[1] * self.most * self.most < SINGLE
+        self.rows = rows.astype(np.float32) if small else rows
+        self.order = np.ascontiguousarray(np.argsort(rows, axis=0, kind="stable").T.astype(np.int32))  # row places, least value first
 
     def read(self, anchor: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, object]]:
-        """Readings of growing depth: places met for the first time, their scores, and the threshold for all others."""
-        n, used = len(self.rows), np.flatnonzero(anchor)
-        whole = len(anchor) * self.most * float(np.abs(anchor).max(initial=0)) < EXACT
-        score = _products if whole else _long_products
+        """Readings of growing depth: places met for the first time, their scores, and the threshold for all others (None: there are none)."""
+        n, up, down = len(self.rows), np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
+        largest = len(anchor) * self.most * float(np.abs(anchor).max(initial=0))
+        score = _products if largest < EXACT else _long_products
+        if largest < SINGLE:
+            anchor = anchor.astype(self.rows.dtype)
+        used = np.concatenate([up, down])
         if not len(used):
             yield np.arange(n), score(self.rows, anchor), None
             return
-        best = np.where((anchor[used] > 0)[:, None], self.order[used, ::-1], self.order[used])
-        met, start, depth = np.zeros(n, bool), 0, DEPTH
-        while start < n:
+        met, left, start, depth = np.zeros(n, bool), n, 0, DEPTH
+        while left:
             end = min(depth, n)
-            fresh = np.unique(best[:, start:end])
-            fresh = fresh[~met[fresh]]
-            met[fresh] = True
-            last = self.rows[best[:, end - 1], used]
-            threshold = score(last[None], anchor[used])[0] if end < n else None
+            now = np.zeros(n, bool)
+            now[self.order[up, n - end : n - start]] = True  # the better end of a list is the one of the component's sign
+            now[self.order[down, start:end]] = True
+            fresh = np.flatnonzero(now & ~met)
+            met |= now
+            left -= len(fresh)
+            last = self.rows[np.concatenate([self.order[up, n - end], self.order[down, end - 1]]), used]
+            threshold = score(last[None], anchor[used])[0] if left else None
             yield fresh, score(self.rows[fresh], anchor), threshold
             start, depth = end, depth * 2
 
 
 def _products(rows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Integer inner products in doubles; exact below 2^53."""
+    """Integer inner products in floating point; the caller has seen that they are exact."""
     return rows @ anchor
 
 
