@@ -21,6 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -148,13 +149,32 @@ def _update_filter(keys: pa.Table, filters: pa.Table) -> pa.Table:
 class LineIndex:
     """Line counts of the documents inserted so far. Rows without ``doc_id`` are neither counted nor changed.
 
+    A folder that an index was kept in is opened as it was after its last finished batch. A batch counts once its state is written, the
+    last thing it writes; what a lost driver left of an unfinished one is not read, and the next batch takes its place.
+
     Rows with the same ``doc_id`` are one document. Null or empty text is one empty line; extra columns are ignored.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS):
         self.spark, self.min_chars, self.min_docs = spark, min_chars, min_docs
         self.folder = folder or run_folder(spark, "lines")
-        self.batch, self.shards = 0, 0
+        self.batch, self.shards = self._last_state() if folder else (0, 0)
+
+    def _last_state(self) -> tuple[int, int]:
+        """Number of the last finished batch and of shards, as the folder has them."""
+        try:
+            states = self.spark.read.schema("number int, shards int").option("recursiveFileLookup", "true").parquet(f"{self.folder}/state")
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return 0, 0
+        last = states.agg(F.max(F.struct("number", "shards"))).first()[0]
+        return tuple(last) if last else (0, 0)
+
+    def _finish(self, batch: int) -> None:
+        state = self.spark.createDataFrame([(batch, self.shards)], "number int, shards int").coalesce(1)
+        state.write.mode("overwrite").parquet(f"{self.folder}/state/{batch}")
+        self.batch = batch
 
     def holdings(self, docs: DataFrame) -> DataFrame:
         """Each document's distinct counted line keys."""
@@ -185,12 +205,14 @@ class LineIndex:
             return self.spark.createDataFrame([], "key binary, n_docs long, last_doc long")
         if self.batch == 1:
             return only(self._read("refs", "key binary, n_docs long, last_doc long", 1))
-        rows = only(self._read("refs", "key binary, n_docs long, last_doc long, batch int"))
+        rows = only(self._read("refs", "key binary, n_docs long, last_doc long, batch int").where(F.col("batch") <= self.batch))
         newest = rows.groupBy("key").agg(F.max_by(F.struct("n_docs", "last_doc"), "batch").alias("x"))
         return newest.select("key", "x.*").where("n_docs > 0")
 
-    def _recount(self, keys: DataFrame) -> DataFrame:
-        rows = self._read("holders", "key binary, doc_id long, live boolean, batch int").join(keys.select("key"), "key", "left_semi")
+    def _recount(self, keys: DataFrame, batch: int) -> DataFrame:
+        """Counts of the keys over the holders of all batches up to this one."""
+        held = self._read("holders", "key binary, doc_id long, live boolean, batch int").where(F.col("batch") <= batch)
+        rows = held.join(keys.select("key"), "key", "left_semi")
         newest = rows.groupBy("key", "doc_id").agg(F.max_by("live", "batch").alias("live"))
         return newest.groupBy("key").agg(F.count_if("live").alias("n_docs"), F.max(F.when(F.col("live"), F.col("doc_id"))).alias("last_doc"))
 
@@ -214,6 +236,12 @@ class LineIndex:
         new = dealt.cogroup(self._filters(batch - 1).groupBy("shard")).applyInArrow(_update_filter, "shard int, filter binary")
         new.write.mode("overwrite").parquet(self._path("filters", batch))
 
+    def insert_in_batches(self, docs: DataFrame, batches: int) -> LineIndex:
+        """Insert documents in several batches, dealt by their ids; the filters tell which keys of a batch the earlier ones know."""
+        for number in range(batches):
+            self.insert(docs.where(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(batches)) == number))
+        return self
+
     def insert(self, docs: DataFrame) -> LineIndex:
         batch = self.batch + 1
         held = self.holdings(docs).distinct().withColumn("live", F.lit(True))
@@ -222,16 +250,16 @@ class LineIndex:
         counts = mine.groupBy("key").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("last_doc"))
         if not self.shards:  # settled by the first batch; later growth adds levels to the filters
             self.shards = 1 + mine.select(F.approx_count_distinct("key")).first()[0] // KEYS_PER_SHARD
-        if batch == 1:  # nothing was known before
+        if not self.batch:  # nothing was known before
             fresh = refs = counts
         else:
             probed = self._probed(counts, batch)
             known = probed.where("known")
             fresh = counts.join(self.refs(known).select("key"), "key", "left_anti")
-            refs = counts.join(probed.where("NOT known").select("key"), "key", "left_semi").unionByName(self._recount(known))
+            refs = counts.join(probed.where("NOT known").select("key"), "key", "left_semi").unionByName(self._recount(known, batch))
         self._refilter(fresh, False, batch)
         refs.write.mode("overwrite").parquet(self._path("refs", batch))
-        self.batch = batch
+        self._finish(batch)
         return self
 
     def delete(self, docs: DataFrame) -> LineIndex:
@@ -240,11 +268,11 @@ class LineIndex:
         held = self.holdings(docs).distinct().withColumn("live", F.lit(False))
         held.write.mode("overwrite").parquet(self._path("holders", batch))
         touched = self._read("holders", "key binary, doc_id long, live boolean", batch).select("key").distinct()
-        self._recount(touched).write.mode("overwrite").parquet(self._path("refs", batch))
+        self._recount(touched, batch).write.mode("overwrite").parquet(self._path("refs", batch))
         none_left = self._read("refs", "key binary, n_docs long, last_doc long", batch).where("n_docs = 0")
         live_before = self.refs(touched) if batch > 1 else none_left.limit(0)
         self._refilter(none_left.join(live_before.select("key"), "key", "left_semi"), True, batch)
-        self.batch = batch
+        self._finish(batch)
         return self
 
     def clean(self, docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -1,5 +1,6 @@
 """Decontamination, line dedup, sharding and secrets against plain Python, on the small tables and on odd rows."""
 
+import os
 import random
 
 import brute
@@ -195,3 +196,55 @@ def test_reported_shards_are_the_written_ones(spark, tmp_path):
     sharding.write_shards(docs, str(tmp_path / "out"), 4)
     files = {r.doc_id: (r._shard, r._slot) for r in spark.read.parquet(str(tmp_path / "out")).drop("text").collect()}
     assert {r.doc_id: (r.shard, r.slot) for r in sharding.document_shards(docs, 4).collect()} == files
+
+
+def test_shards_of_clashing_columns(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"t{i}", i, "a", 1) for i in range(50)], "doc_id long, text string, _slot long, _SHARD string, record int")
+    rows = sharding.document_shards(docs, 4).collect()
+    check_shards(rows, [(i, f"t{i}") for i in range(50)], 4)
+    sharding.write_shards(docs, str(tmp_path / "out"), 4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert {"_slot", "_SHARD", "__slot", "__shard"} <= set(back.columns)
+    assert back.select(*docs.columns).exceptAll(docs).count() == 0 and back.count() == 50
+
+
+def test_uneven_shards(spark):
+    for n, shards in ((3, 16), (16, 16), (17, 16), (1, 1), (40, 7)):
+        rows = sharding.document_shards(spark.range(n).selectExpr("id doc_id", "'x' text"), shards).collect()
+        check_shards(rows, [(i, "x") for i in range(n)], shards)
+
+
+def test_line_index_opened_again(spark, tmp_path):
+    """An index that another process opens goes on where the first one stopped; an unfinished batch is not seen and gives way."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 300").select("doc_id", "text")
+    parts = [docs.where(f"doc_id % 3 = {i}") for i in range(3)]
+    whole = sorted(map(tuple, line_dedup.LineIndex(spark).insert(docs).refs().collect()))
+    folder = str(tmp_path / "index")
+    line_dedup.LineIndex(spark, folder).insert(parts[0])
+    again = line_dedup.LineIndex(spark, folder)
+    assert again.batch == 1 and again.shards > 0
+    again.insert(parts[1])
+    lost = line_dedup.LineIndex(spark, folder)  # a driver that dies before its state is written
+    lost.holdings(docs).distinct().selectExpr("key", "doc_id", "true live").write.parquet(lost._path("holders", 3))
+    lost.refs().selectExpr("key", "n_docs + 5 n_docs", "last_doc").write.parquet(lost._path("refs", 3))
+    last = line_dedup.LineIndex(spark, folder)
+    assert last.batch == 2
+    last.delete(parts[0])
+    last.insert(parts[2]).insert(parts[0])
+    assert sorted(map(tuple, line_dedup.LineIndex(spark, folder).refs().collect())) == whole
+
+
+def test_line_index_in_another_process(spark, tmp_path):
+    import subprocess
+    import sys
+
+    folder = str(tmp_path / "index")
+    docs = spark.createDataFrame([(i, "the same line of more than twenty letters\n" + str(i)) for i in (1, 2)], "doc_id long, text string")
+    line_dedup.LineIndex(spark, folder).insert(docs)
+    code = (
+        "from ledgerloom.session import local_session; from ledgerloom.llm.line_dedup import LineIndex; spark = local_session('2');"
+        f"i = LineIndex(spark, {folder!r}).insert(spark.createDataFrame([(3, 'The same line of more than twenty letters')], 'doc_id long, text string'));"
+        "print([(r.n_docs, r.last_doc) for r in i.refs().collect()])"
+    )
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=240, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    assert done.stdout.strip() == "[(3, 3)]", done.stderr[-2000:]
