@@ -38,13 +38,17 @@ FACTORS = np.random.default_rng(8).integers(0, 1 << 63, (BANDS * BAND_ROWS, 1)).
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
-    "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "head header hgroup hr html iframe legend li main menu nav noscript object ol option optgroup p pre search section select summary svg table tbody td "
-    "template textarea tfoot th thead title tr ul canvas audio video math".split()
+    "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "head header hgroup hr html iframe legend li main menu nav noscript ol option optgroup p pre search section select summary svg table tbody td "
+    "template textarea tfoot th thead title tr ul math".split()
 )
 FURNITURE = frozenset(
-    "aside button canvas dialog fieldset footer form head iframe menu nav noscript object option select search svg template textarea title audio video".split()
+    "aside dialog fieldset footer head iframe menu nav noscript option select search svg template textarea title".split()
 )
+#: Elements whose content stands in for them: it goes with its end tag; without one only the start tag goes.
+EMBEDDED = frozenset("audio video object canvas".split())
+#: Elements that names and tags never mark: they hold the page, or its article.
+HOLDERS = frozenset("html body main article".split())
 LANDMARKS = frozenset(("article", "main"))
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 NAMES = frozenset(
@@ -52,6 +56,9 @@ NAMES = frozenset(
     "login masthead menu modal nav navbar navigation newsletter notice overlay pager pagination popup promo promoted promotion recommended related reply "
     "replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: What may follow the head of a class name, and what before it says that the thing is not there.
+LAYOUT = frozenset("left right top bottom inner outer wrapper wrap container list area box block item section bar".split())
+DENIED = frozenset("no not without has with hide".split())
 #: A start tag of the first kind ends an open element of the second kinds.
 CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
@@ -79,6 +86,7 @@ class _Node:
     path: int
     furniture: bool
     landmark: bool
+    form: bool = False
     children: list[str] = field(default_factory=list)
     parent: _Node | None = None
 
@@ -89,18 +97,30 @@ class Block:
     text: str
 
 
+def _heads(value: str) -> set[str]:
+    """What each class token or id names: its last word but layout words, as ``sidebar`` in ``left-sidebar`` or ``sidebar-inner``."""
+    heads = set()
+    for token in value.split():
+        words = [w.lower() for w in NAME.findall(token)]
+        while len(words) > 1 and words[-1] in LAYOUT:
+            words.pop()
+        if words and words[0] not in DENIED:
+            heads.add(words[-1])
+    return heads
+
+
 def _furniture(tag: str, rest: str, parent: _Node) -> tuple[bool, str]:
     names = ""
     out = tag in FURNITURE or (tag == "header" and not parent.landmark)
     for name, *values in ATTRIBUTE.findall(rest) if rest.strip() else ():
         name, value = name.lower(), next(filter(None, values), "")
-        if name == "role":
-            out |= value.strip().lower() in ROLES
-        elif name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
+        if name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true"):
             out = True
+        elif name == "role":
+            out |= tag not in HOLDERS and value.strip().lower() in ROLES
         elif name in ("class", "id"):
-            words = {w.lower() for w in NAME.findall(value)}
-            out |= bool(words & NAMES) or ("header" in words and not parent.landmark)
+            heads = _heads(value) if tag not in HOLDERS else set()
+            out |= bool(heads & NAMES) or ("header" in heads and not parent.landmark)
             names += value if name == "class" else ""
     return out, names
 
@@ -123,12 +143,17 @@ def parse(page: str | None) -> list[Block]:
 
     page, at = page or "", 0
     for token in TOKEN.finditer(page):
+        if token.start() < at:
+            continue  # inside what stands in for an element
         if token.start() > at:
             run.append(page[at : token.start()])
         at = token.end()
         tag = (token["tag"] or "").lower()
         if tag == "br":
             run.append(" ")
+        elif not token["end"] and (tag in EMBEDDED or (tag == "button" and not "".join(run).strip())):  # a button in a sentence is a word of it
+            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = end.end() if end else at
         elif tag not in BLOCK:
             if token[0].startswith("<![CDATA["):
                 run.append(entities.escape(token[0][9:-3]))
@@ -153,7 +178,8 @@ def parse(page: str | None) -> list[Block]:
                 parent.children.append(tag)
             if tag not in VOID and not rest.rstrip().endswith("/"):
                 landmark = parent.landmark or tag in LANDMARKS
-                stack.append(_Node(tag, _hash(parent.path, tag, names), out or parent.furniture, landmark, parent=parent))
+                form = tag not in LANDMARKS and (tag == "form" or parent.form)
+                stack.append(_Node(tag, _hash(parent.path, tag, names), out or parent.furniture, landmark, form, parent=parent))
     if at < len(page):
         run.append(page[at:])
     close(len(stack))
@@ -179,7 +205,9 @@ def _shown(blocks: list[Block]) -> dict[int, tuple[int, int, bool]]:
 
 
 def _main(blocks: list[Block]) -> list[Block]:
+    """The blocks that no tag or name marks, those of article and main if there are any. A form's go, unless the page is one form."""
     own = [b for b in blocks if not b.node.furniture]
+    own = [b for b in own if not b.node.form] or own
     marked = [b for b in own if b.node.landmark]
     return marked or own
 

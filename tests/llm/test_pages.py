@@ -46,6 +46,17 @@ def test_given_pages(spark):
         ("<table><tr><td>1<td>2<tr><td>3</table>", "1 2 3"),
         ("1 < 2 and 3 > 2", "1 < 2 and 3 > 2"),
         ("<div class='headline'>kept</div><div class='page-header'>gone</div>", "kept"),
+        ("<body class='single no-sidebar'><article><p>whole</p></article></body>", "whole"),
+        ("<body><article class='post has-sidebar'><p>whole</p></article></body>", "whole"),
+        ("<main id='page-comments-off'><p>whole</p></main>", "whole"),
+        ("<form id='aspnetForm'><div><p>whole</p></div></form>", "whole"),
+        ("<form id='aspnetForm'><nav>menu</nav><article><p>whole</p><form>sign up</form></article></form>", "whole"),
+        ("<article><p class='social-history'>one</p><div class='related-work'>two</div></article>", "one two"),
+        ("<article><p>Press <button>OK</button> to go on</p><button>Share</button></article>", "Press OK to go on"),
+        ("<article><p>before</p><audio src=x><p>after</p></article>", "before after"),
+        ("<article><p>a <video>no video here</video> b</p></article>", "a b"),
+        ("<div class='left-sidebar'>x</div><div class='sidebar-inner'>y</div><div class='sidebarless'>z</div>", "z"),
+        ("<div role=main><p>text</p></div><body role=navigation><p>more</p></body>", "text more"),
     ],
 )
 def test_markup(page, expected):
@@ -102,3 +113,55 @@ def test_near_copies_of_an_article_stay_whole(spark, copies):
     df = spark.createDataFrame([(i, url, text) for i, (url, text, _) in enumerate(rows)], "page_id long, url string, html string")
     got = {r.page_id: r.text for r in pages.extract(df).collect()}
     assert [got[i] for i in range(len(rows))] == [r[2] for r in rows]
+
+
+def plain_tree(rows):
+    """The style tree over lists: importance of every (host, node, text), pages with one main text counted once."""
+    import math
+    from collections import defaultdict
+
+    shown, texts = defaultdict(set), {}
+    for page_id, url, page in rows:
+        blocks, host = pages.parse(page), pages.host_of(url)
+        main = tuple(b.text for b in pages._main(blocks))
+        texts[page_id] = (host, blocks)
+        for path, (content, style, marked) in pages._shown(blocks).items():
+            shown[host, path].add((main, content, style, marked))
+    low = set()
+    for (host, path), found in shown.items():
+        m = len({x[0] for x in found})
+        marked = any(x[3] for x in found)
+        if m < (pages.MIN_PAGES_MARKED if marked else pages.MIN_PAGES):
+            continue
+        styles = defaultdict(int)
+        for x in found:
+            styles[x[2]] += 1
+        total = sum(styles.values())
+        presentation = sum(-k / total * math.log(k / total) / math.log(max(2, total)) for k in styles.values())
+        for content in {x[1] for x in found}:
+            k = len({x[0] for x in found if x[1] == content})
+            value = pages.CONTENT_SHARE * (1 - math.log(k) / math.log(m)) + (1 - pages.CONTENT_SHARE) * presentation
+            if k > 1 and value < pages.LEAST and (not marked or k * 2 > m):
+                low.add((host, content))
+    out = {}
+    for page_id, (host, blocks) in texts.items():
+        gone = {path for path, (content, _, _) in pages._shown(blocks).items() if (host, content) in low}
+        out[page_id] = " ".join(b.text for b in pages._main([b for b in blocks if b.node.path not in gone]))
+    return out
+
+
+def test_tree_against_plain_version_without_helpful_tags(spark):
+    """The given pages without their article, menu and advert tags: the tree alone finds the text, as its plain version does."""
+    given = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    bare = lambda page: re.sub(r"</?article>", "", re.sub(r"<(/?)(?:nav|footer)\b[^>]*>", r"<\1div>", page.replace(' class="ad"', "")))
+    rows = [(r.page_id, f"https://one.example/{r.page_id}", bare(r.html)) for r in given]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(df).collect()}
+    expected = plain_tree(rows)
+    assert got == expected
+    kept = 0
+    for r in given:
+        article = re.search(r"(?s)<article>(.*?)(</article>|\Z)", r.html)[1]
+        paragraphs = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", p))).split()) for p in re.findall(r"(?s)<p>(.*?)</p>", article)]
+        kept += all(p in " ".join(got[r.page_id].split()) for p in paragraphs)
+    assert kept >= 0.9 * len(given)
