@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
+from ledgerloom.llm.texts import hold_only, texts_of, unzipped
 from ledgerloom.session import written
 
 COORDS = 32
@@ -38,7 +39,7 @@ SHINGLE = 2
 BUCKETS = 1 << 18  # of the table of pair frequencies, the only thing that is collected
 LONG = 10_000  # pairs that the documents outside a list's largest component may make before it is compared in blocks
 BLOCK = 512
-WORDS_HELD = 500_000
+WORDS_HELD = 200_000
 
 _ODD = (np.random.default_rng(7).integers(1, 2**63, SKETCH, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 _ADD = np.random.default_rng(8).integers(1, 2**63, SKETCH, dtype=np.uint64)
@@ -100,6 +101,7 @@ def signatures(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles, set_id (digest of the shingle set), signature (its first ``COORDS`` coordinates) and sketch; null without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only(_WORDS)
         for batch in batches:
             counts, ids, signed, sketches = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -187,12 +189,12 @@ def _open_lists(shared: DataFrame, found: DataFrame) -> DataFrame:
 
 def _compared(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "compared-ids")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+    texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+    first = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("data").alias("text_a")), "a")
+    both = first.join(texts.select(F.col("doc_id").alias("b"), F.col("data").alias("text_b")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only(_WORDS)
         for batch in batches:
             left, right, held = [], [], {}
             for a, b, text_a, text_b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -201,7 +203,7 @@ def _compared(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
                 sets = []
                 for text in (text_a, text_b):
                     if text not in held:
-                        held[text] = shingles(text, size)
+                        held[text] = shingles(unzipped(text), size)
                     sets.append(held[text])
                 common = len(np.intersect1d(*sets, assume_unique=True))
                 if 100 * common >= percent * (len(sets[0]) + len(sets[1]) - common):
@@ -225,13 +227,13 @@ def _compared_in_blocks(lists: DataFrame, docs: DataFrame, percent: int, size: i
     columns = ["token", *MEMBER, "component"]
     outside = lists.where("component <> main").select(*columns, F.lit(0).alias("side"), own_out.alias("ob"), F.explode(F.sequence(F.lit(0), all_blocks - 1)).alias("mb"))
     members = lists.select(*columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), out_blocks - 1)).alias("ob"), own_all.alias("mb"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(tokens, "id")
+    texts = texts_of(docs, tokens.select(F.col("id").alias("doc_id"))).select(F.col("doc_id").alias("id"), "data").join(tokens, "id")
     dealt = outside.unionByName(members).join(texts, "id")
 
     def compare(group: pa.Table) -> pa.Table:
         side = group.column("side").to_numpy()
         rows = [group.filter(pa.array(side == k)) for k in (0, 1)]
-        left, right, texts_a, texts_b = [], [], *(t.column("text").to_pylist() for t in rows)
+        left, right, texts_a, texts_b = [], [], *(t.column("data").to_pylist() for t in rows)
         if rows[0].num_rows and rows[1].num_rows:
             token = group.column("token")[0].as_py()
             (ids_a, n_a, part_a), (ids_b, n_b, part_b) = ([t.column(c).to_numpy() for c in ("id", "n", "component")] for t in rows)
@@ -252,13 +254,13 @@ def _compared_in_blocks(lists: DataFrame, docs: DataFrame, percent: int, size: i
                 agree = 32 * x.shape[1] - np.bitwise_count((x | (x >> np.uint64(1))) & np.uint64(0x5555555555555555)).sum(1, dtype=np.int64)
                 common = np.where(np.isin(shared, own), shared, np.iinfo(np.int64).max).min(1)
                 sizes = np.minimum(n_b, n_a[i]) * 100 >= np.maximum(n_b, n_a[i]) * percent
-                mine = shingles(texts_a[i], size)
+                mine = shingles(unzipped(texts_a[i]), size)
                 for j in np.flatnonzero((agree >= AGREEING) & sizes & (common == token) & (part_b != part_a[i])).tolist():
                     a, b = root(int(part_a[i])), root(int(part_b[j]))
                     if a == b:
                         continue
                     if j not in sets:
-                        sets[j] = shingles(texts_b[j], size)
+                        sets[j] = shingles(unzipped(texts_b[j]), size)
                     both = len(np.intersect1d(mine, sets[j], assume_unique=True))
                     if 100 * both >= percent * (len(mine) + len(sets[j]) - both):
                         roots[a] = b

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.texts import hold_only
 from ledgerloom.session import written
 
 SIZE = 2048
@@ -109,6 +110,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SIZE) -> DataFrame:
     """doc_id, piece, start, length and ids_crc32 of each document's pieces; an end token closes each document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only(_ENCODERS)
         encode = _ENCODERS.get(tokenizer) or _ENCODERS.setdefault(tokenizer, token_counter(tokenizer))
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
