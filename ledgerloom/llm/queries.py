@@ -39,7 +39,7 @@ def op4_minhash(spark: SparkSession, sf: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    cleaned = LineIndex(spark).insert(docs).clean(docs)
+    cleaned = LineIndex(spark).insert_in_batches(docs, 2).clean(docs)
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
