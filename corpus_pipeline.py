@@ -13,7 +13,7 @@ from ledgerloom.catalog.tables import table
 from ledgerloom.llm import decontaminate, language, minhash, packing
 from ledgerloom.llm.line_dedup import LineIndex
 from ledgerloom.llm.queries import tokenizer_path
-from ledgerloom.session import written
+from ledgerloom.session import configure, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 ORACLE_SQL = None  # language inference and tokens are beyond SQL
@@ -21,6 +21,7 @@ ORACLE_SQL = None  # language inference and tokens are beyond SQL
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents in no language: those for which no language can be inferred."""
+    configure(spark)
     docs = docs.select(*COLUMNS)
     model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
     return language.predict(docs, model, COLUMNS).where(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
@@ -28,7 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes lines that several documents share out of all but one; every document stays."""
-    cleaned = LineIndex(spark).insert(docs).clean(docs, carry=("lang", "source", "n_chars"))
+    cleaned = LineIndex(spark).insert_in_batches(docs, 2).clean(docs, carry=("lang", "source", "n_chars"))
     n_chars = F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return cleaned.withColumn("n_chars", n_chars).select(*COLUMNS)
 
