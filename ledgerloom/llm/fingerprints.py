@@ -10,11 +10,11 @@ between them, and the first document of each stretch is sent to the one before a
 text crosses one shuffle, compressed, and a task reads its stretches in order and holds two texts at a time. The cuts come from
 a bounded sample of ids and decide only the work of a task, no result.
 
-``near_texts`` joins signature bands (20 of 6 places; two texts with a Jaccard similarity of 0.8 share one with a chance of 0.998, at
-0.85 of 0.9999) on (band, value). A list of documents that share a band is never joined to itself: each member meets the list's head, the
-least id, so the work grows with the postings. Pairs whose signatures rule 0.8 out are dropped; the others are verified on their full
-shingle sets, and classes are what the verified links connect. Two members that are near each other but not near the head meet in
-those of their lists where one of them is the head; the README gives the measured share of links that classes miss.
+``near_texts`` posts each text under its signature bands (30 of 4 places; two texts with a Jaccard similarity of 0.8 share one but with a
+chance of 1.4 * 10^-7). Of equal texts the least id stands for all. The lists go through ``minhash.linked``: every pair that shares a band is
+either connected already or compared, so that also two texts meet that are near each other but not near the head of any list. Two bits of
+each place rule pairs out (one at 0.8 with a chance of some 10^-7); the others are verified on their full shingle sets, and classes are
+what the verified links connect.
 
 Null texts count as empty; two texts without words have a likeness of 1. A row without an id has no next document: its edited
 text is its own first part, its likeness to the next one that to an empty text, and it is near to nothing. Rows that repeat an id stand
@@ -32,19 +32,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import minhash
 from ledgerloom.llm.components import components
-from ledgerloom.llm.texts import rows_of, texts_of, unzipped, zipped
+from ledgerloom.llm.texts import BROADCAST_IDS, unzipped, zipped
 from ledgerloom.session import written
 
 WORDS = 5
-BANDS, PLACES = 20, 6
+BANDS, PLACES = 30, 4
 PERMUTATIONS = BANDS * PLACES
 PRIME = (1 << 31) - 1
 SHINGLES_AT_ONCE = 1024
-LEAST = 0.8
-POSSIBLE = 0.65  # a share of equal places, by four bits of each, that a pair at 0.8 falls below with a chance of some 10^-5
-SHARED_BITS = 1 << 22  # of the filter that keeps values of a single document out of the second shuffle
-SETS_HELD = 64
+PERCENT = 80
+LONG = 300  # pairs that a list may make one by one; few lists stay open, and those of large groups of unlike texts make many
 STRETCH_ROWS = 2048
 MOST_STRETCHES = 100_000
 IDS_PER_CUT = 20
@@ -127,13 +126,26 @@ class Stretches:
 
 
 EDITED = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, "
-    "near_next double, signature binary, digest binary"
+    "doc_id long, n_chars long, edited_sha binary, signature binary, edited_signature binary, near_edited double, "
+    "near_next double, digest binary"
 )
+RESULTS = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+
+
+def _spelled(found: DataFrame) -> DataFrame:
+    """Digest and fingerprints in hex, which takes twice the room: for results only."""
+    spelled = lambda name, data: F.lower(F.hex(data)).alias(name)
+    hexes = (spelled("edited_sha256", "edited_sha"), spelled("fingerprint", "signature"), spelled("edited_fingerprint", "edited_signature"))
+    return found.select("*", *hexes)
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """Per document what ``EDITED`` names: its fingerprint, its edited text's, and their likeness to each other and to the next one's."""
+    """Per document its fingerprint, its edited text's, their likeness to each other and to the next one's, signature and digest."""
+    return _spelled(_edited(docs)).select(*RESULTS, "signature", "digest")
+
+
+def _edited(docs: DataFrame) -> DataFrame:
+    """Per document what ``EDITED`` names."""
     stretches = Stretches(docs.select("doc_id"))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +166,7 @@ def edited(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 5, kinds)], names=names)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.binary(), pa.binary())
+        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.binary())
         names = [f.split()[0] for f in EDITED.split(", ")]
         out: list[tuple] = []
 
@@ -162,10 +174,10 @@ def edited(docs: DataFrame) -> DataFrame:
             half = len(text) // 2
             changed = text[: len(text) - half] + next_text[:half]
             changed_sign = signature(shingles(changed))
-            sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
+            sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).digest()
             return (
-                row[0], len(text), sha, sign.tobytes().hex(), changed_sign.tobytes().hex(),
-                likeness(sign, changed_sign), likeness(sign, next_sign), sign.tobytes(), row[1],
+                row[0], len(text), sha, sign.tobytes(), changed_sign.tobytes(),
+                likeness(sign, changed_sign), likeness(sign, next_sign), row[1],
             )
 
         nothing, last = signature(shingles("")), None
@@ -195,121 +207,55 @@ def edited(docs: DataFrame) -> DataFrame:
     return placed.mapInArrow(walk, EDITED)
 
 
-def bands(signed: DataFrame, shared: np.ndarray | None = None) -> DataFrame:
-    """(value, doc_id) for each band of each signature; the value's hash takes in the number of the band.
-
-    With ``shared`` only values whose bit is set.
-    """
+def bands(signed: DataFrame) -> DataFrame:
+    """(token, id) for each band of each signature; the token's hash takes in the number of the band."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, values = [], []
-            for doc_id, sign in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                own = [xxhash.xxh3_64_intdigest(sign[2 * PLACES * b : 2 * PLACES * (b + 1)], seed=b) for b in range(BANDS)]
-                values += own
-                ids += [doc_id] * BANDS
-            values, ids = np.array(values, np.uint64), np.array(ids, np.int64)
-            if shared is not None:
-                keep = shared[values & np.uint64(SHARED_BITS - 1)]
-                values, ids = values[keep], ids[keep]
-            yield pa.record_batch([pa.array(values.view(np.int64)), pa.array(ids)], names=["value", "doc_id"])
+            ids, tokens = batch.column("doc_id").to_numpy(), []
+            for sign in batch.column("signature").to_pylist():
+                tokens += [xxhash.xxh3_64_intdigest(sign[2 * PLACES * b : 2 * PLACES * (b + 1)], seed=b) for b in range(BANDS)]
+            yield pa.record_batch([pa.array(np.array(tokens, np.uint64).view(np.int64)), pa.array(np.repeat(ids, BANDS))], names=["token", "id"])
 
-    return signed.select("doc_id", "signature").mapInArrow(cut, "value long, doc_id long")
+    return signed.select("doc_id", "signature").mapInArrow(cut, "token long, id long")
 
 
-def _bits(values: DataFrame) -> np.ndarray:
-    """A bit for every value of the column ``value``: at most ``SHARED_BITS`` numbers reach the driver, whatever their count."""
-    rows = values.select(F.col("value").bitwiseAND(F.lit(SHARED_BITS - 1)).cast("int").alias("bit")).distinct().toArrow()
-    held = np.zeros(SHARED_BITS, bool)
-    held[rows.column("bit").to_numpy()] = True
-    return held
-
-
-def _jaccard(pairs: DataFrame) -> DataFrame:
-    """Pairs (a, b, a_data, b_data) with the exact similarity of their shingle sets, where it is at least ``LEAST``."""
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
-
-        def distinct(doc_id: int, data: bytes) -> np.ndarray:
-            if doc_id not in held:
-                if len(held) >= SETS_HELD:
-                    held.clear()
-                held[doc_id] = np.unique(shingles(unzipped(data)))
-            return held[doc_id]
+def _sketches(signed: DataFrame) -> DataFrame:
+    """What ``minhash.linked`` compares before it reads texts: two bits of each place; eight more are the same for all. No sizes."""
 
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, values = [], []
-            for at, (a, b, one, other) in enumerate(zip(*(c.to_pylist() for c in batch.columns), strict=True)):
-                left, right = distinct(a, one), distinct(b, other)
-                both = len(np.intersect1d(left, right, assume_unique=True))
-                similarity = both / max(1, len(left) + len(right) - both)
-                if similarity >= LEAST:
-                    keep.append(at)
-                    values.append(similarity)
-            kept = batch.take(pa.array(keep, pa.int64()))
-            yield pa.record_batch([kept.column(0), kept.column(1), pa.array(values, pa.float64())], names=["a", "b", "jaccard"])
-
-    # Few bytes make much work here, so the pairs are dealt to a set number of tasks; those of one document come together.
-    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pairs.select("a", "b", "a_data", "b_data").repartition(tasks, "a", F.pmod("b", F.lit(16))).sortWithinPartitions("a")
-    return dealt.mapInArrow(verify, "a long, b long, jaccard double")
+            signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, PERMUTATIONS)
+            bits = np.zeros((len(signs), minhash.SKETCH), np.uint64)
+            bits[:, :PERMUTATIONS] = signs & np.uint16(3)
+            parts = (bits.reshape(len(signs), 4, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(2, dtype=np.uint64).view(np.int64)
+            sizes = pa.array(np.ones(len(signs), np.int64))
+            yield pa.record_batch([batch.column("doc_id"), sizes, *(pa.array(np.ascontiguousarray(x)) for x in parts.T)], names=minhash.MEMBER)
+
+    return signed.select("doc_id", "signature").mapInArrow(shorten, "id long, n long, s1 long, s2 long, s3 long, s4 long")
 
 
 def near_texts(signed: DataFrame, docs: DataFrame) -> DataFrame:
     """doc_id and class_id (least id reachable by links, itself included) of every document that has a near text.
 
-    ``signed`` has doc_id, signature and digest. Equal texts are linked by digest, others if their shingles' Jaccard similarity is 0.8 or
-    more. A repeated id stands for its least signature.
+    ``signed`` has doc_id, signature and digest. Equal texts are linked by digest, others if their shingles' Jaccard similarity is
+    ``PERCENT`` or more. All texts of a repeated id count for it.
     """
     posted = signed.where("doc_id IS NOT NULL").where(F.col("signature") != F.lit(bytearray(signature(shingles("")).tobytes())))
-    heads = bands(posted).groupBy("value").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last")
-    heads = written(heads.select("value", "head"), "band-heads")
-    met = bands(posted, _bits(heads)).join(heads, "value").where("doc_id <> head")
-    pairs = written(met.select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    wanted = rows_of(posted, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    one = wanted.groupBy("doc_id").agg(F.min(F.struct("signature", "digest")).alias("s")).select("doc_id", "s.*")
-    links = written(_verified(pairs, written(_shortened(one), "paired"), docs), "links")
+    least = posted.groupBy("digest").agg(F.min("doc_id").alias("head"), F.max("doc_id").alias("last")).where("head < last")
+    equal = posted.select("doc_id", "digest").join(written(least.select("digest", "head"), "equal-heads"), "digest")
+    copies = written(equal.where("doc_id <> head").distinct(), "copies")
+    few = copies.count() <= BROADCAST_IDS
+    own = posted.join(F.broadcast(copies) if few else copies, ["doc_id", "digest"], "left_anti")
+    links = minhash.linked(bands(own), _sketches(own), docs, PERCENT, WORDS, LONG)
+    links = links.unionByName(copies.select(F.col("doc_id").alias("a"), F.col("head").alias("b")))
     return components(links).select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
 
 
-def _shortened(signed: DataFrame) -> DataFrame:
-    """doc_id, digest and four bits of each place of the signature, two places a byte: what a pair carries through its joins."""
-
-    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            signs = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint16).reshape(-1, PERMUTATIONS) & 15
-            packed = (signs[:, ::2] | (signs[:, 1::2] << 4)).astype(np.uint8)
-            yield pa.record_batch([batch.column("doc_id"), batch.column("digest"), pa.array([row.tobytes() for row in packed], pa.binary())], names=["doc_id", "digest", "short"])
-
-    return signed.select("doc_id", "digest", "signature").mapInArrow(shorten, "doc_id long, digest binary, short binary")
-
-
-def _verified(pairs: DataFrame, one: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (a, b) among candidate pairs: equal digests, or a verified similarity."""
-    side = lambda name: one.select(F.col("doc_id").alias(name), F.col("short").alias(f"{name}_s"), F.col("digest").alias(f"{name}_d"))
-
-    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            short = [np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, PERMUTATIONS // 2) for i in (2, 3)]
-            differing = short[0] ^ short[1]
-            alike = ((differing & 15) == 0).sum(1) + ((differing >> 4) == 0).sum(1)
-            same = batch.column(4).to_numpy(zero_copy_only=False)
-            keep = pa.array(np.flatnonzero(same | (alike >= POSSIBLE * PERMUTATIONS)))
-            yield batch.take(keep).select(["a", "b", "same"])
-
-    looked = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_s", "b_s", (F.col("a_d") == F.col("b_d")).alias("same"))
-    likely = written(looked.mapInArrow(possible, "a long, b long, same boolean"), "likely")
-    open_ = likely.where("NOT same")
-    texts = texts_of(docs, open_.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    whole = lambda name: texts.select(F.col("doc_id").alias(name), F.col("data").alias(f"{name}_data"))
-    verified = _jaccard(open_.select("a", "b").join(whole("a"), "a").join(whole("b"), "b"))
-    return verified.select("a", "b").unionByName(likely.where("same").select("a", "b"))
-
-
 def fingerprint(docs: DataFrame) -> DataFrame:
     """The columns of ``edited`` but signature and digest, and class_id: the least id of the document's class of near texts."""
-    signed = written(edited(docs), "fingerprints")
-    classes = near_texts(signed.select("doc_id", "signature", "digest"), docs)
-    joined = signed.drop("signature", "digest").join(classes, "doc_id", "left")
-    return joined.withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    signed = written(_edited(docs), "fingerprints")
+    classes = written(near_texts(signed.select("doc_id", "signature", "digest"), docs), "classes")
+    few = classes.count() <= BROADCAST_IDS  # 32 MB; beyond, both sides are shuffled
+    joined = signed.join(F.broadcast(classes) if few else classes, "doc_id", "left")
+    return _spelled(joined).select(*RESULTS, F.coalesce("class_id", "doc_id").alias("class_id"))

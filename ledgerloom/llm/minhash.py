@@ -36,7 +36,8 @@ SKETCH = 128  # coordinates in the sketch, two bits of each
 AGREEING = 88  # of them; a pair at the threshold agrees in 109, with a deviation of 4
 PERCENT = 80
 SHINGLE = 2
-BUCKETS = 1 << 18  # of the table of pair frequencies, the only thing that is collected
+BUCKETS = 1 << 18  # of the table of pair frequencies, which is collected
+SHARED_BITS = 1 << 22  # of the filter that keeps values of a single document out of the second shuffle
 LONG = 10_000  # pairs that the documents outside a list's largest component may make before it is compared in blocks
 BLOCK = 512
 WORDS_HELD = 200_000
@@ -134,7 +135,7 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def postings(reps: DataFrame) -> DataFrame:
-    """Each representative under its rarest pairs: token, id, n and the sketch s1 to s4."""
+    """Each representative under its rarest pairs: token and id."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros(BUCKETS, np.int64)
@@ -156,13 +157,21 @@ def postings(reps: DataFrame) -> DataFrame:
             signed = _matrix(batch.column("signature"))
             tokens = _pairs_of(signed)
             order = np.lexsort((tokens, often[_bucket(tokens)]), axis=1)[:, :PREFIX]
-            sketch = np.repeat(np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.int64).reshape(-1, 4), PREFIX, 0)
-            spread = [np.repeat(batch.column(c).to_numpy(), PREFIX) for c in ("id", "n")]
-            yield pa.record_batch(
-                [pa.array(x) for x in (np.take_along_axis(tokens, order, 1).ravel(), *spread, *sketch.T)], names=["token", *MEMBER]
-            )
+            ids = np.repeat(batch.column("id").to_numpy(), PREFIX)
+            yield pa.record_batch([pa.array(_mixed(np.take_along_axis(tokens, order, 1).ravel().view(np.uint64)).view(np.int64)), pa.array(ids)], names=["token", "id"])
+
+    return reps.select("id", "signature").mapInArrow(post, "token long, id long")
+
+
+def sketches(reps: DataFrame) -> DataFrame:
+    """id, n and the sketch s1 to s4 as numbers."""
 
-    return reps.select("id", "n", "signature", "sketch").mapInArrow(post, "token long, id long, n long, s1 long, s2 long, s3 long, s4 long")
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.int64).reshape(-1, 4)
+            yield pa.record_batch([batch.column("id"), batch.column("n"), *(pa.array(x) for x in parts.T)], names=MEMBER)
+
+    return reps.select("id", "n", "sketch").mapInArrow(spread, "id long, n long, s1 long, s2 long, s3 long, s4 long")
 
 
 MEMBER = ["id", "n", "s1", "s2", "s3", "s4"]
@@ -178,15 +187,39 @@ def _pair(a: str, b: str) -> list[Column]:
     return [F.least(f"{a}.id", f"{b}.id").alias("a"), F.greatest(f"{a}.id", f"{b}.id").alias("b")]
 
 
+def _possible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches allow."""
+    side = lambda name: members.select(F.col("id").alias(name), F.struct(*MEMBER[1:]).alias(f"{name}_m"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(_alike("a_m", "b_m", percent)).select("a", "b").distinct()
+
+
 def _open_lists(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the lists that hold several components, with their ``component`` and the list's largest one, ``main``."""
     label = F.coalesce("component", "id").alias("component")
-    labelled = shared.join(found, shared["id"] == found["node"], "left").select("token", *MEMBER, label)
+    labelled = shared.join(found, shared["id"] == found["node"], "left").select("token", "id", label)
     by_part = labelled.groupBy("token", "component").agg(F.count("*").alias("members"))
     several = by_part.groupBy("token").agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
     return labelled.join(several.where("parts > 1").select("token", "main"), "token")
 
 
+def _shared(posted: DataFrame) -> DataFrame:
+    """token, id and head (the least id) of the lists with several ids.
+
+    A bit for every value that is shared, at most ``SHARED_BITS`` whatever their count, keeps most single ones out of the second shuffle.
+    """
+    heads = posted.groupBy("token").agg(F.min("id").alias("head"), F.max("id").alias("last")).where("head < last")
+    heads = written(heads.select("token", "head"), "heads")
+    rows = heads.select(F.col("token").bitwiseAND(F.lit(SHARED_BITS - 1)).cast("int").alias("bit")).distinct().toArrow()
+    held = np.zeros(SHARED_BITS, bool)
+    held[rows.column("bit").to_numpy()] = True
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(held[batch.column("token").to_numpy() & (SHARED_BITS - 1)]))
+
+    return written(posted.mapInArrow(keep, "token long, id long").join(heads, "token"), "shared-lists")
+
+
 def _compared(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) whose full shingle sets are similar enough."""
     texts = texts_of(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
@@ -223,7 +256,7 @@ def _compared_in_blocks(lists: DataFrame, docs: DataFrame, percent: int, size: i
     out_blocks, all_blocks = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("out", "k"))
     own_out = F.pmod(F.xxhash64("id", F.lit(1)), out_blocks).cast("int")
     own_all = F.pmod(F.xxhash64("id"), all_blocks).cast("int")
-    tokens = lists.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # at most PREFIX of them
+    tokens = lists.groupBy("id").agg(F.collect_set("token").alias("tokens"))  # as few as an id is posted under
     columns = ["token", *MEMBER, "component"]
     outside = lists.where("component <> main").select(*columns, F.lit(0).alias("side"), own_out.alias("ob"), F.explode(F.sequence(F.lit(0), all_blocks - 1)).alias("mb"))
     members = lists.select(*columns, F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0), out_blocks - 1)).alias("ob"), own_all.alias("mb"))
@@ -238,8 +271,9 @@ def _compared_in_blocks(lists: DataFrame, docs: DataFrame, percent: int, size: i
             token = group.column("token")[0].as_py()
             (ids_a, n_a, part_a), (ids_b, n_b, part_b) = ([t.column(c).to_numpy() for c in ("id", "n", "component")] for t in rows)
             sketch_a, sketch_b = (np.stack([t.column(s).to_numpy() for s in MEMBER[2:]], 1).view(np.uint64) for t in rows)
-            shared = np.full((len(ids_b), PREFIX), -1, np.int64)
-            for i, own in enumerate(rows[1].column("tokens").to_pylist()):
+            tokens_b = rows[1].column("tokens").to_pylist()
+            shared = np.full((len(ids_b), max(map(len, tokens_b))), -1, np.int64)
+            for i, own in enumerate(tokens_b):
                 shared[i, : len(own)] = own
             roots: dict[int, int] = {}
             sets: dict[int, np.ndarray] = {}
@@ -271,34 +305,30 @@ def _compared_in_blocks(lists: DataFrame, docs: DataFrame, percent: int, size: i
     return dealt.groupBy("token", "ob", "mb").applyInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept; a row per input row.
+def linked(posted: DataFrame, members: DataFrame, docs: DataFrame, percent: int, size: int, long: int = LONG) -> DataFrame:
+    """Links (a, b) that connect whatever is similar enough among ids that share a list of ``posted`` (token, id).
 
-    Documents without words are linked with nothing. A row without ``doc_id`` is linked with nothing and kept, its
-    component is null. Rows that repeat an id and a text get equal results. Extra columns are ignored.
+    ``members`` has the ids with the columns of ``MEMBER``. Lists carry ids alone; sketches come to pairs, or to lists that are still open.
+    A list whose outsiders make more than ``long`` pairs is compared in blocks.
     """
-    signed = written(signatures(docs, size), "signatures")
-    reps = written(
-        signed.where("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id")
-        .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch")), "representatives",
-    )
-    least = -(-percent // max(1, 100 - percent))  # smaller sets are similar to equal ones only
-    posted = written(postings(reps.where(F.col("n") >= least)), "postings")
-    met = posted.groupBy("token").agg(F.min(F.struct(*MEMBER)).alias("p"), F.count("*").alias("members")).where("members > 1")
-    first = posted.alias("m").join(met, "token").where((F.col("m.id") != F.col("p.id")) & _alike("m", "p", percent)).select(*_pair("m", "p")).distinct()
-    first = written(first, "first-pairs")
+    shared = _shared(posted)
+    members = written(members, "members")
+    met = shared.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
+    first = written(_possible(met, members, percent), "first-pairs")
     links = written(_compared(first, docs, percent, size), "first-links")
-    shared = written(posted.join(met.select("token"), "token", "left_semi"), "shared-lists")
+    shared = shared.select("token", "id")
 
     lists = written(_open_lists(shared, components(links)), "open-lists")
-    inside = lists.where("component = main").groupBy("token").agg(F.min_by(F.struct(*MEMBER), F.xxhash64("id", "token")).alias("p"))
-    second = lists.where("component <> main").alias("m").join(inside, "token").where(_alike("m", "p", percent)).select(*_pair("m", "p")).distinct()
-    second = written(second.join(first, ["a", "b"], "left_anti"), "second-pairs")
+    inside = lists.where("component = main").groupBy("token").agg(F.min_by("id", F.xxhash64("id", "token")).alias("p"))
+    outside = lists.where("component <> main").join(inside, "token")
+    second = outside.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+    second = written(_possible(second.join(first, ["a", "b"], "left_anti"), members, percent), "second-pairs")
     links = written(links.unionByName(_compared(second, docs, percent, size)), "second-links")
 
-    lists = written(_open_lists(shared, components(links)), "still-open-lists")
+    lists = _open_lists(lists.select("token", "id"), components(links))  # a list whose members have met stays closed
+    lists = written(lists.join(members, "id").select("token", *MEMBER, "component", "main"), "still-open-lists")
     sizes = lists.groupBy("token").agg(F.count("*").alias("k"), F.count_if(F.col("component") != F.col("main")).alias("out"))
-    sizes = written(sizes.where(F.col("k") * F.col("out") > LONG), "long-lists")
+    sizes = written(sizes.where(F.col("k") * F.col("out") > long), "long-lists")
     in_blocks = _compared_in_blocks(lists.join(sizes, "token"), docs, percent, size)
     lists = lists.join(sizes, "token", "left_anti")
     rest = (
@@ -308,7 +338,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE
         .select(*_pair("o", "m")).distinct()
     )
     rest = written(rest.join(first.unionByName(second), ["a", "b"], "left_anti"), "last-pairs")
-    found = components(links.unionByName(_compared(rest, docs, percent, size)).unionByName(in_blocks))
+    return written(links.unionByName(_compared(rest, docs, percent, size)).unionByName(in_blocks), "last-links")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
+    """doc_id, n_shingles, component_id (least doc_id reachable by links) and kept; a row per input row.
+
+    Documents without words are linked with nothing. A row without ``doc_id`` is linked with nothing and kept, its
+    component is null. Rows that repeat an id and a text get equal results. Extra columns are ignored.
+    """
+    signed = written(signatures(docs, size), "signatures")
+    reps = written(
+        signed.where("doc_id IS NOT NULL AND set_id IS NOT NULL").groupBy("set_id")
+        .agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min("signature").alias("signature"), F.min("sketch").alias("sketch")), "representatives",
+    )
+    least = -(-percent // max(1, 100 - percent))  # smaller sets are similar to equal ones only
+    several = reps.where(F.col("n") >= least)
+    found = components(linked(postings(several), sketches(several), docs, percent, size))
 
     final = reps.select("set_id", "id").join(found, F.col("id") == F.col("node"), "left").select("set_id", F.coalesce("component", "id").alias("component"))
     return signed.join(final, "set_id", "left").select(

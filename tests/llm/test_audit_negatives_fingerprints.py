@@ -180,6 +180,20 @@ def test_fingerprint_classes(spark):
     assert {r.doc_id: r.class_id for r in found.where("doc_id IS NOT NULL").collect()} == {d: brute.roots(runs, links).get(d, d) for d in runs}
 
 
+def test_near_texts_behind_other_heads(spark):
+    """Two near texts of large ids share bands only in lists that smaller ids head, which are near to neither."""
+    rng = np.random.default_rng(21)
+    base = [f"w{i}" for i in range(200)]
+
+    def edited_at(places, name):
+        return " ".join(f"{name}{i}" if i in places else word for i, word in enumerate(base))
+
+    docs = [(n, edited_at(set(rng.permutation(np.arange(2, 198, 8))[:8].tolist()), f"head{n}x")) for n in range(1, 161)]
+    docs += [(1000, " ".join(base)), (1001, edited_at({100}, "own"))]
+    found = {r.doc_id: r.class_id for r in fingerprints.fingerprint(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found[1000] == found[1001] == 1000
+
+
 def test_fingerprint_query(spark):
     rows = q.op13_fingerprints(spark, SF).collect()
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
