@@ -47,27 +47,30 @@ def token_counter(path: str):
     words.normalizer = None
     words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    held: dict[str, bytes] = {"": b""}
+    held = _Pieces()
 
     def pack(ids) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
 
     def learn(names: list[str], coder: Tokenizer) -> None:
-        """Encode new pieces as one text; a token belongs to the piece that it starts in."""
+        """Encode new pieces as one text; a token belongs to the piece that it starts in. Plain words are the coder's own words."""
         for at in range(0, len(names), 4096):
             part = names[at : at + 4096]
             coded = coder.encode(" ".join(part), add_special_tokens=False)
-            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
-            owner = np.searchsorted(ends, np.array([start for start, _ in coded.offsets], np.int64), side="right")
+            if coder is words:
+                owner = np.array(coded.word_ids, np.int64)
+            else:
+                ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+                owner = np.searchsorted(ends, np.array([start for start, _ in coded.offsets], np.int64), side="right")
             ids, cuts = pack(coded.ids), np.searchsorted(owner, np.arange(len(part) + 1)) * 4
             for name, start, end in zip(part, cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 held[name] = ids[start:end]
 
     def encode(texts: list[str]) -> list[bytes]:
-        split, fresh = [], set()
+        split = []
         if len(held) > WORDS_HELD:
             held.clear()
-            held[""] = b""
+        held.fresh.clear()
         for text in texts:
             low = text.lower()
             if any(s in low for s in special):
@@ -76,23 +79,36 @@ def token_counter(path: str):
             # Letters up to U+00FF have one lower case and make no new letters with marks, so fewer spellings are met.
             if text.isascii() or _latin(text):
                 text = low
-            pieces = STOP.sub(r" \1", text.replace("\n", " ")).split(" ")
-            split.append(pieces)
-            fresh.update(pieces)
-        new = fresh.difference(held)
+            # A new piece stands for its ids until it is learnt.
+            split.append(list(map(held.__getitem__, STOP.sub(r" \1", text.replace("\n", " ")).split(" "))))
+        new = held.fresh
         plain = [p for p in new if p.isalpha() and (p.isascii() or _latin(p)) and p.islower()]
         learn(plain, words)
         learn(list(new.difference(plain)), tokenizer)
         return [
-            pack(tokenizer.encode(text, add_special_tokens=False).ids) if pieces is None else b"".join(map(held.__getitem__, pieces))
-            for text, pieces in zip(texts, split, strict=True)
+            pack(tokenizer.encode(text, add_special_tokens=False).ids) if ids is None else b"".join([i if type(i) is bytes else held[i] for i in ids])
+            for text, ids in zip(texts, split, strict=True)
         ]
 
     return encode
 
 
 #: A full stop or comma that ends a word is a token of its own; set apart, the word is met more often.
-STOP = re.compile(r"(?<=[a-z])([.,])(?= |\Z)")
+STOP = re.compile(r"([.,])(?<=[a-z].)(?= |\Z)")
+
+
+class _Pieces(dict):
+    """The ids of each piece met; a new piece is noted in ``fresh`` and given back itself. The empty one has none."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: set[str] = set()
+
+    def __missing__(self, piece: str) -> bytes | str:
+        if not piece:
+            return b""
+        self.fresh.add(piece)
+        return piece
 
 
 def _latin(text: str) -> bool:
