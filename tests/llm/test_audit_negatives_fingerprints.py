@@ -9,7 +9,7 @@ import brute
 import numpy as np
 import pytest
 
-from ledgerloom.llm import filter_audit, fingerprints, hard_negatives
+from ledgerloom.llm import filter_audit, fingerprints, hard_negatives, minhash
 from ledgerloom.llm import queries as q
 
 SF = "/root/testdata/sf0.01"
@@ -194,6 +194,12 @@ def test_near_texts_behind_other_heads(spark):
     assert found[1000] == found[1001] == 1000
 
 
+def test_posting_lists_carry_ids_alone(spark):
+    reps = spark.createDataFrame([(n, 5, bytearray(4 * minhash.COORDS), bytearray(32)) for n in (1, 2)], "id long, n long, signature binary, sketch binary")
+    posted = minhash.postings(reps)
+    assert posted.columns == ["token", "id"] and posted.count() == 2 * minhash.PREFIX
+
+
 def test_fingerprint_query(spark):
     rows = q.op13_fingerprints(spark, SF).collect()
     docs = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
