@@ -10,7 +10,6 @@ length is no single task's work) and look their place up in the plan.
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
@@ -18,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,7 +47,7 @@ def token_counter(path: str):
     words.normalizer = None
     words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    held = _Pieces()
+    held: dict[str, bytes] = {"": b""}
 
     def pack(ids) -> bytes:
         return np.asarray(ids, "<u4").tobytes()
@@ -67,48 +67,41 @@ def token_counter(path: str):
                 held[name] = ids[start:end]
 
     def encode(texts: list[str]) -> list[bytes]:
-        split = []
+        """The texts are split and their pieces told apart in Arrow; each distinct piece is looked up once a call."""
         if len(held) > WORDS_HELD:
             held.clear()
-        held.fresh.clear()
-        for text in texts:
+            held[""] = b""
+        whole, blank = {}, []
+        for i, text in enumerate(texts):
             low = text.lower()
             if any(s in low for s in special):
-                split.append(None)
-                continue
+                whole[i] = pack(tokenizer.encode(text, add_special_tokens=False).ids)
+                low = ""
+            elif not (text.isascii() or _latin(text)):
+                low = text
             # Letters up to U+00FF have one lower case and make no new letters with marks, so fewer spellings are met.
-            if text.isascii() or _latin(text):
-                text = low
-            # A new piece stands for its ids until it is learnt.
-            split.append(list(map(held.__getitem__, STOP.sub(r" \1", text.replace("\n", " ")).split(" "))))
-        new = held.fresh
+            blank.append(low.replace("\n", " "))
+        split = pc.split_pattern(pc.replace_substring_regex(pa.array(blank, pa.large_string()), MARKS, r"\1 \2\3"), " ")
+        pieces = split.flatten().dictionary_encode()
+        # No piece has a space; one long string becomes Python strings much faster than many Arrow values do.
+        names = pc.binary_join(pa.ListArray.from_arrays([0, len(pieces.dictionary)], pieces.dictionary.cast(pa.string())), " ")[0].as_py().split(" ")
+        ids = list(map(held.get, names))
+        new = [p for p, known in zip(names, ids, strict=True) if known is None]
         plain = [p for p in new if p.isalpha() and (p.isascii() or _latin(p)) and p.islower()]
         learn(plain, words)
-        learn(list(new.difference(plain)), tokenizer)
-        return [
-            pack(tokenizer.encode(text, add_special_tokens=False).ids) if ids is None else b"".join([i if type(i) is bytes else held[i] for i in ids])
-            for text, ids in zip(texts, split, strict=True)
-        ]
-
+        learn(list(set(new).difference(plain)), tokenizer)
+        coded = pa.array([held[p] for p in names] if new else ids, pa.large_binary()).take(pieces.indices)
+        _, starts, data = coded.buffers()
+        ends = np.frombuffer(starts, np.int64, len(coded) + 1)[split.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [whole[i] if i in whole else data[ends[i] : ends[i + 1]].tobytes() for i in range(len(texts))]
+
+    encode.held = held
     return encode
 
 
-#: A full stop or comma that ends a word is a token of its own; set apart, the word is met more often.
-STOP = re.compile(r"([.,])(?<=[a-z].)(?= |\Z)")
-
-
-class _Pieces(dict):
-    """The ids of each piece met; a new piece is noted in ``fresh`` and given back itself. The empty one has none."""
-
-    def __init__(self):
-        super().__init__()
-        self.fresh: set[str] = set()
-
-    def __missing__(self, piece: str) -> bytes | str:
-        if not piece:
-            return b""
-        self.fresh.add(piece)
-        return piece
+#: Marks that end a word are no part of its tokens; set apart, the word is met more often.
+MARKS = r"([a-z])([!-/:-@\[-`{-~]+)( |$)"
 
 
 def _latin(text: str) -> bool:

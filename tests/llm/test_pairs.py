@@ -157,6 +157,20 @@ def test_tokens_of_pieces():
         assert np.frombuffer(encode([text])[0], "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_marks_make_no_new_words():
+    """Marks that end a word are looked up apart, wherever that leaves the tokenizer's ids as they are."""
+    from tokenizers import Tokenizer
+
+    tokenizer, encode = Tokenizer.from_file(q.tokenizer_path()), packing.token_counter(q.tokenizer_path())
+    texts = ["word word$$$ word.*** word,!! Word***", "word's word' word'. word<\u0338 word<b 7... é*** a--b", "", " \n ", "word~\nword`"]
+    expected = [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    for _ in range(2):  # new pieces, and pieces met again
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in encode(texts)] == expected
+    encode = packing.token_counter(q.tokenizer_path())
+    encode(texts[:1])
+    assert set(encode.held) == {"", "word", "$$$", ".***", ",!!", "***"}
+
+
 @pytest.mark.parametrize("lengths", [[1, 2048, 2048, 2047], [1500] * 10, [700, 900, 1100, 3] * 200, list(range(1, 2049)), [5] * 5000, []])
 def test_plan(lengths):
     used, patterns = collections.Counter(), packing.plan(collections.Counter(lengths))
