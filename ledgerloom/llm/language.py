@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.texts import hold_only
+
 GRAMS = 1 << 16  # trigrams are hashed into so many classes
 SMOOTHING = 0.1
 PENALTY = 4.0  # per further language, in units of the log of the number of trigrams
@@ -59,6 +61,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only(None)
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -119,6 +122,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: tuple[s
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ", lang_pred string, score double"
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold_only(None)
         for batch in batches:
             langs, scores = [], []
             for text in batch.column(batch.num_columns - 1 if alone else carry.index("text")).to_pylist():

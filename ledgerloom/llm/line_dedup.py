@@ -25,7 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.texts import SPACE
+from ledgerloom.llm.texts import SPACE, hold_only
 from ledgerloom.session import run_folder
 
 MIN_CHARS = 20
@@ -181,6 +181,7 @@ class LineIndex:
         least = self.min_chars
 
         def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hold_only(None)
             for batch in batches:
                 ids, found = [], []
                 for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -285,6 +286,7 @@ class LineIndex:
         out = ", ".join(f"`{n}` {fields[n].dataType.simpleString()}" for n in fields) + ", n_lines long, n_dropped long"
 
         def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            hold_only(None)
             for batch in batches:
                 texts, lines_in, lines_out = [], [], []
                 for text, gone in zip(batch.column("text").to_pylist(), batch.column("gone").to_pylist(), strict=True):

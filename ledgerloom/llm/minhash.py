@@ -311,7 +311,7 @@ def linked(posted: DataFrame, members: DataFrame, docs: DataFrame, percent: int,
     ``members`` has the ids with the columns of ``MEMBER``. Lists carry ids alone; sketches come to pairs, or to lists that are still open.
     A list whose outsiders make more than ``long`` pairs is compared in blocks.
     """
-    shared = _shared(posted)
+    shared = _shared(written(posted, "postings"))  # filtered by another worker than the one that posts: never both beside the heap
     members = written(members, "members")
     met = shared.where("id <> head").select(F.col("head").alias("a"), F.col("id").alias("b")).distinct()
     first = written(_possible(met, members, percent), "first-pairs")

@@ -56,8 +56,11 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
 _held: list[MutableMapping] = []
 
 
-def hold_only(table: MutableMapping) -> None:
-    """Empty the word table that this worker held for another operator: workers outlive their stages, and one table fits beside the heap."""
+def hold_only(table: MutableMapping | None) -> None:
+    """Empty the word table that this worker held for another operator: workers outlive their stages, and one table fits beside the heap.
+
+    Operators that read whole texts without a table of their own hold none.
+    """
     if _held and _held[0] is not table:
         _held[0].clear()
-    _held[:] = [table]
+    _held[:] = [] if table is None else [table]

@@ -20,6 +20,9 @@ SETTINGS = {
     "spark.sql.parquet.pushdown.inFilterThreshold": str(PUSHED_VALUES),
     # Functions over Arrow batches get whole texts; a batch of them stays small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    # Nor are thousands of whole texts held as one column of a Parquet batch.
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
     # Of repeated keys in a JSON answer the last one counts.
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import components, embeddings, language, minhash, packing
+from ledgerloom.llm import components, embeddings, language, line_dedup, minhash, packing, texts
 from ledgerloom.llm import queries as q
 
 SF = "/root/testdata/sf0.01"
@@ -199,3 +199,41 @@ def test_minhash_long_lists_in_blocks(spark, monkeypatch):
     assert 3 < sum(r[3] for r in expected) < 130
     got = rows(minhash.near_duplicates(spark.createDataFrame(out, "doc_id long, text string")), "doc_id", "n_shingles", "component_id", "kept")
     assert got == expected
+
+
+def test_lists_are_filtered_by_another_worker_than_they_are_posted_by(spark, monkeypatch):
+    """Python functions in one stage are as many workers beside each task's heap: the lists are written in between."""
+    plans = []
+
+    def shared(posted, inner=minhash._shared):
+        plans.append(posted._jdf.queryExecution().optimizedPlan().toString())
+        return inner(posted)
+
+    monkeypatch.setattr(minhash, "_shared", shared)
+    docs = spark.createDataFrame([(1, BASE), (2, BASE + " tail"), (3, "other words")], "doc_id long, text string")
+    assert rows(minhash.near_duplicates(docs), "doc_id", "component_id") == [(1, 1), (2, 1), (3, 3)]
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]
+
+
+def test_word_tables_go_before_other_operators():
+    table = {b"word": 1}
+    texts.hold_only(table)
+    texts.hold_only(table)
+    assert table
+    texts.hold_only(None)
+    assert not table
+
+
+def test_operators_without_word_tables_empty_those_of_others(spark, monkeypatch):
+    """Language and lines run in workers that may still hold the words of packing."""
+    docs, used = spark.createDataFrame([(1, "some words", "en")], "doc_id long, text string, lang string"), []
+    inner = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **k: used.append(f) or inner(self, f, *a, **k))
+    language.predict(docs, language.train(docs))
+    line_dedup.LineIndex(spark).insert(docs).clean(docs)
+    assert len(used) == 5  # train, predict; holdings of insert and clean, clean
+    for f in used:
+        table = {b"word": 1}
+        texts.hold_only(table)
+        list(f(iter([])))
+        assert not table
