@@ -5,6 +5,7 @@ import random
 
 import brute
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, line_dedup, secrets, sharding
 from ledgerloom.llm import queries as q
@@ -59,6 +60,24 @@ def test_decontaminate_table(spark):
     same(q.op1_decontaminate(spark, SF), expected, "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def test_decontaminate_splits_texts_once(spark, tmp_path):
+    """Counts of words come from the pass that finds fingerprints: the result no longer reads the texts. Rows that repeat stay."""
+    rows = [*ODD, (None, None), (None, ""), (None, PASSAGE), (None, PASSAGE), (19, f"...{PASSAGE}"), (20, f"{'a, ' * 5000}b")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    for items in (bench, bench.limit(0)):
+        found = decontaminate.decontaminate(spark.read.parquet(str(tmp_path / "docs")), items)
+        assert not [f for f in found.inputFiles() if "/docs/" in f]
+        expected = [(r[0], r[1], r[2], r[3], r[5]) for r in brute.decontaminate(rows, [tuple(r) for r in items.collect()])]
+        same(found.selectExpr("doc_id", "n_words", "n_hit", "size(items) n_items", "contaminated"), expected, "*")
+
+
+def test_words_of_odd_texts(spark):
+    texts = [None, "", " ", "a", "A b", " a", "a ", ".a..B.", "\x00a\x7f", "é", "\x80x\x81", "İI ı", "日本\u3000語 x", "😀a 😀", "[A]`b{c}@d/0:9", "\x00" * 9, "a\u0301 \ufffd\n\r\tb\x0bc"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", decontaminate.words(F.col("t")).alias("w")).collect()
+    assert {r.i: list(r.w) for r in got} == dict(enumerate(map(brute.words, texts)))
+
+
 def test_line_dedup_odd(spark, odd, none):
     index = line_dedup.LineIndex(spark).insert(odd)
     same(index.clean(odd).selectExpr("doc_id", "n_lines", "n_dropped", "sha2(coalesce(text, ''), 256) s"), brute.line_dedup(ODD), "doc_id", "n_lines", "n_dropped", "s")
