@@ -22,6 +22,7 @@ SPAN = 13
 GRAM = 8
 SEGMENT = 2048
 SHARE = 20  # contaminated from one word in twenty
+BROADCAST_PRINTS = 500_000  # about 30 MB as rows of documents
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -63,7 +64,7 @@ def _window_texts(tokens: Column, at: Column, span: Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """Distinct windows of each item: span, hash, window, item_id. Items without id or words have none."""
+    """Windows of each item, one row for each place: span, hash, window, item_id. Items without id or words have none."""
     items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", words(F.col("text")).alias("tokens")).where("size(tokens) > 0")
     items = items.withColumn("span", F.least(F.size("tokens"), F.lit(SPAN)))
     prints = reduce(
@@ -72,7 +73,7 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
         window_prints(F.col("tokens"), SPAN),
     )
     placed = items.select("item_id", "tokens", "span", F.posexplode(prints).alias("at", "hash"))
-    return placed.select("span", "hash", _window_texts(F.col("tokens"), F.col("at"), F.col("span")).alias("window"), "item_id").distinct()
+    return placed.select("span", "hash", _window_texts(F.col("tokens"), F.col("at"), F.col("span")).alias("window"), "item_id")
 
 
 def segments(docs: DataFrame) -> DataFrame:
@@ -97,6 +98,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     repeat only the id are judged each by its own text; null ids are compared as equal. Null or empty texts have no words. Extra columns are ignored.
     One result row per input row. One pass splits all texts: it finds the fingerprints that the benchmark holds, and
     beside them each row keeps its count of words as a mark, a print of span 0 that joins with nothing.
+
+    Tables in between are written as they come from scans and told apart where they are read, or by one task a core: so their
+    files are not one for each shuffle partition, and their small size lets Spark broadcast them.
     """
     docs = docs.select("doc_id", "text").withColumn("print", F.xxhash64("text"))
     bench = written(benchmark_windows(benchmark), "benchmark-windows")
@@ -110,9 +114,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     matched = own.join(bench.select("span", "hash").distinct().withColumn("hit", F.lit(True)), ["span", "hash"], "left")
     matched = written(matched.where(F.col("hit") | (F.col("span") == 0)), "matched")
-    hit_prints = written(
-        matched.where("hit").groupBy("doc_id", "print", "base").agg(F.collect_set(F.struct("span", "hash")).alias("found")), "matched-prints"
-    )
+    hit_prints = written(matched.where("hit").select("doc_id", "print", "base", "span", "hash"), "matched-prints")
     hits = written(_extended(docs, hit_prints, bench, spans), "hits")
 
     reach = Window.partitionBy("doc_id", "print").orderBy("at", "end")
@@ -124,10 +126,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     items = (
         hits.select("doc_id", "print", "window").distinct()
-        .join(bench.select("window", F.col("item_id").cast("string").alias("item")), "window")
+        .join(bench.select("window", F.col("item_id").cast("string").alias("item")).distinct(), "window")
         .groupBy("doc_id", "print").agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     found = covered.join(items, _same(covered, items)).select(covered["doc_id"], covered["print"], "n_hit", "items")
+    found = written(found.coalesce(docs.sparkSession.sparkContext.defaultParallelism), "found")
     counted = matched.where("span = 0").select("doc_id", "print", "n_words")
     n_hit = F.coalesce("n_hit", F.lit(0))
     return counted.join(found, _same(counted, found), "left").select(
@@ -142,8 +145,14 @@ def _same(a: DataFrame, b: DataFrame) -> Column:
 
 
 def _extended(docs: DataFrame, hit_prints: DataFrame, bench: DataFrame, spans: list[int]) -> DataFrame:
-    """Windows of the documents that occur in the benchmark word by word: doc_id, print, span, at, window."""
-    of_doc = hit_prints.groupBy("doc_id", "print").agg(F.collect_list(F.struct("base", "found")).alias("matched"))
+    """Windows of the documents that occur in the benchmark word by word: doc_id, print, span, at, window. Rows may repeat.
+
+    The matched prints are broadcast while they are few, so that the texts stay where they are; beyond, Spark chooses.
+    """
+    of_piece = hit_prints.repartition("doc_id", "print").groupBy("doc_id", "print", "base").agg(F.collect_set(F.struct("span", "hash")).alias("found"))
+    of_doc = of_piece.groupBy("doc_id", "print").agg(F.collect_list(F.struct("base", "found")).alias("matched"))
+    if hit_prints.count() <= BROADCAST_PRINTS:
+        of_doc = F.broadcast(of_doc)
     rows = docs.join(of_doc, _same(docs, of_doc)).select(docs["doc_id"], docs["print"], words(docs["text"]).alias("tokens"), "matched")
     pieces = let(F.col("tokens"), lambda t: F.transform("matched", lambda m: F.struct(
         m["base"].alias("base"), F.slice(t, m["base"] + 1, F.lit(SEGMENT + SPAN - 1)).alias("part"), m["found"].alias("found")
@@ -162,7 +171,7 @@ def _extended(docs: DataFrame, hit_prints: DataFrame, bench: DataFrame, spans: l
     if not spans:
         return with_found.select("doc_id", "print", F.lit(0).alias("span"), F.lit(0).alias("at"), F.lit("").alias("window")).limit(0)
     windows = with_found.select("doc_id", "print", "base", F.inline(F.concat(*[places(n) for n in spans])))
-    windows = windows.select("doc_id", "print", "span", (F.col("base") + F.col("at")).alias("at"), "window").distinct()
+    windows = windows.select("doc_id", "print", "span", (F.col("base") + F.col("at")).alias("at"), "window")
     return windows.join(bench.select("window").distinct(), "window", "left_semi")
 
 

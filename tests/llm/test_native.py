@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, line_dedup, secrets, sharding
 from ledgerloom.llm import queries as q
+from ledgerloom.session import written
 
 SF = "/root/testdata/sf0.01"
 PASSAGE = " ".join(f"Word{i}" for i in range(40))
@@ -72,6 +73,36 @@ def test_decontaminate_splits_texts_once(spark, tmp_path):
         same(found.selectExpr("doc_id", "n_words", "n_hit", "size(items) n_items", "contaminated"), expected, "*")
 
 
+def test_decontaminate_writes_few_files(spark, tmp_path, monkeypatch):
+    """Small tables in between have as many files as their bytes ask for, however many shuffle partitions there are; texts are not shuffled."""
+    rows = [*ODD, (None, PASSAGE), (19, f"...{PASSAGE}"), (19, f"...{PASSAGE}"), (20, f"{'a, ' * 5000}{PASSAGE}")]
+    spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "docs"))
+    spark.createDataFrame(BENCH + BENCH, "item_id long, text string").coalesce(1).write.parquet(str(tmp_path / "bench"))
+    files, plans = {}, {}
+
+    def counted(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        out = written(df, label)
+        files[label] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(decontaminate, "written", counted)
+    wide = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "64k"}
+    before = {k: spark.conf.get(k) for k in wide}
+    try:
+        for k, v in wide.items():
+            spark.conf.set(k, v)
+        found = decontaminate.decontaminate(spark.read.parquet(str(tmp_path / "docs")), spark.read.parquet(str(tmp_path / "bench")))
+        got = found.selectExpr("doc_id", "n_words", "n_hit", "size(items) n_items", "contaminated")
+        same(got, [(r[0], r[1], r[2], r[3], r[5]) for r in brute.decontaminate(rows, BENCH)], "*")
+        assert got.rdd.getNumPartitions() <= 4
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert set(files) == {"benchmark-windows", "matched", "matched-prints", "hits", "found"} and max(files.values()) <= 4, files
+    assert "SortMergeJoin" not in plans["hits"]
+
+
 def test_words_of_odd_texts(spark):
     texts = [None, "", " ", "a", "A b", " a", "a ", ".a..B.", "\x00a\x7f", "é", "\x80x\x81", "İI ı", "日本\u3000語 x", "😀a 😀", "[A]`b{c}@d/0:9", "\x00" * 9, "a\u0301 \ufffd\n\r\tb\x0bc"]
     got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", decontaminate.words(F.col("t")).alias("w")).collect()
